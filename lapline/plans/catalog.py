@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline.functions import is_street_circuit
-from lapline.operators import quality, telemetry
+from lapline.models import metrics
+from lapline.operators import features, profile, quality, telemetry
 from lapline.plans import inputs as I
 from lapline.plans.inputs import finish
 
+NUDGE = 1e-9
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -91,3 +93,142 @@ def q_clean_samples(spark, sf):
 @register("lap_telemetry_summary")
 def q_lap_telemetry_summary(spark, sf):
     return finish(telemetry.clean_lap_summary(I.telemetry(spark, sf), I.laps(spark, sf)))
+
+
+# -- history, targets, feature matrices (A2, W1-W4, J3, T1-T7) --------------
+
+def _lap_summary(spark, sf):
+    return telemetry.clean_lap_summary(I.telemetry(spark, sf), I.laps(spark, sf))
+
+
+@register("team_round_rate")
+def q_team_round_rate(spark, sf):
+    return finish(features.team_round_dnf_rate(I.results(spark, sf)))
+
+
+@register("team_reliability")
+def q_team_reliability(spark, sf):
+    df = features.compute_team_reliability_feature(I.results(spark, sf))
+    return finish(df.select("entry_id", "season", "round_number", "team", "driver",
+                            "team_reliability"))
+
+
+@register("team_reliability_filled")
+def q_team_reliability_filled(spark, sf):
+    df = features.fill_missing_team_reliability(
+        features.compute_team_reliability_feature(I.results(spark, sf)))
+    return finish(df.select("entry_id", "team", "team_reliability"))
+
+
+@register("driver_delta")
+def q_driver_delta(spark, sf):
+    laps = quality.select_green_flag_laps(I.laps(spark, sf))
+    df = features.compute_driver_delta_target(laps)
+    return finish(df.select("driver", "lap_number", "lap_time_s", "lap_time_delta_s"), nudge=NUDGE)
+
+
+@register("style_centered")
+def q_style_centered(spark, sf):
+    return finish(features.build_driving_style_features(_lap_summary(spark, sf),
+                                                        relative_to_driver=True))
+
+
+@register("style_detrended")
+def q_style_detrended(spark, sf):
+    return finish(features.build_driving_style_features(_lap_summary(spark, sf),
+                                                        detrend_lap_number=True), nudge=NUDGE)
+
+
+@register("pace_matrix")
+def q_pace_matrix(spark, sf):
+    laps = quality.select_green_flag_laps(I.laps(spark, sf))
+    return finish(features.build_pace_features(laps, keep=()))
+
+
+@register("dnf_matrix")
+def q_dnf_matrix(spark, sf):
+    df = features.build_dnf_features(I.season_results(spark, sf), include_team_reliability=True,
+                                     include_circuit_type=True, keep=("entry_id",))
+    return finish(df)
+
+
+@register("retirement_target")
+def q_retirement_target(spark, sf):
+    df = features.build_retirement_target(quality.select_race_starters(I.results(spark, sf)))
+    return df.select("entry_id", "status", "retired")
+
+
+@register("tyre_matrix")
+def q_tyre_matrix(spark, sf):
+    return finish(features.build_tyre_features(_lap_summary(spark, sf)))
+
+
+# -- metrics on a data-derived score (A3-A5, C0, E1-E9) ---------------------
+
+@register("class_weights")
+def q_class_weights(spark, sf):
+    df = I.results(spark, sf).select(F.col("dnf").cast("double").alias("label"))
+    return finish(metrics.class_weights(df))
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark, sf):
+    return finish(metrics.binary_metrics(metrics.predict_at(I.scores(spark, sf), 0.5)))
+
+
+@register("fold_metrics")
+def q_fold_metrics(spark, sf):
+    sc = I.scores(spark, sf).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
+    return finish(metrics.cv_binary_metrics(sc))
+
+
+@register("best_threshold")
+def q_best_threshold(spark, sf):
+    return finish(metrics.best_threshold(I.scores(spark, sf)))
+
+
+@register("tuned_metrics")
+def q_tuned_metrics(spark, sf):
+    return finish(metrics.tuned_binary_metrics(I.scores(spark, sf)))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf):
+    return finish(metrics.roc_auc(I.scores(spark, sf)))
+
+
+@register("calibration")
+def q_calibration(spark, sf):
+    return finish(metrics.calibration(I.scores(spark, sf), n_bins=10))
+
+
+@register("brier")
+def q_brier(spark, sf):
+    return finish(metrics.brier_score(I.scores(spark, sf)))
+
+
+@register("macro_metrics")
+def q_macro_metrics(spark, sf):
+    return finish(metrics.cv_macro_metrics(I.scores(spark, sf), truth="truth"))
+
+
+# -- profiles (A7-A10, J4) ---------------------------------------------------
+
+def _gear_clusters(summary):
+    return summary.withColumn("cluster", (F.floor("mean_gear").cast("int") % 3))
+
+
+@register("status_counts")
+def q_status_counts(spark, sf):
+    return profile.value_counts(I.results(spark, sf), "status")
+
+
+@register("cluster_crosstab")
+def q_cluster_crosstab(spark, sf):
+    return finish(profile.cluster_crosstab(_gear_clusters(_lap_summary(spark, sf))))
+
+
+@register("cluster_profile")
+def q_cluster_profile(spark, sf):
+    clusters = _gear_clusters(_lap_summary(spark, sf))
+    return finish(profile.cluster_profile(clusters, I.laps(spark, sf)))

@@ -38,13 +38,21 @@ def pace_laps(spark: SparkSession, sf: str) -> DataFrame:
     return A.pace_laps_from_lineitem(A.read_table(spark, sf, "lineitem"))
 
 
-def finish(df: DataFrame, digits: int = 6) -> DataFrame:
+def finish(df: DataFrame, digits: int = 6, nudge: float = 0.0) -> DataFrame:
     """Round float columns so engine-specific summation order cannot flip
-    the last bits of a compared value."""
+    the last bits of a compared value.
+
+    ``nudge`` shifts values by a tiny constant before rounding, for
+    outputs whose exact values often sit on a rounding tie (averages of
+    short decimals): a 1-ulp difference then cannot decide the tie.
+    """
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            x = F.col(f.name).cast("double")
+            if nudge:
+                x = x + F.lit(nudge)
+            cols.append(F.round(x, digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

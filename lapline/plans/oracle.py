@@ -177,4 +177,162 @@ def oracle() -> dict[str, str]:
         "OR lower(event_name) LIKE '%singapore%' OR lower(event_name) LIKE '%las vegas%' "
         "OR lower(event_name) LIKE '%miami%' OR lower(event_name) LIKE '%saudi arabian%') AS is_street_circuit, "
         "count(*) AS n_entries FROM sres GROUP BY event_name")
+    _more(q)
     return q
+
+
+STYLE = ("mean_speed_kmh", "max_speed_kmh", "mean_throttle_pct", "brake_fraction",
+         "mean_rpm", "mean_gear")
+
+REL = """,
+tr AS (SELECT season, team, round_number, avg(CAST(dnf AS DOUBLE)) AS dnf_rate
+       FROM res GROUP BY season, team, round_number),
+rel AS (SELECT *, avg(dnf_rate) OVER (PARTITION BY season, team ORDER BY round_number
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS team_reliability FROM tr),
+rres AS (SELECT res.*, rel.team_reliability FROM res LEFT JOIN rel USING (season, team, round_number)),
+frel AS (SELECT rres.* REPLACE (coalesce(team_reliability,
+           (SELECT avg(team_reliability) FROM rres)) AS team_reliability) FROM rres)"""
+
+
+def _metric_select(tp="tp", fp="fp", fn="fn", tn="tn") -> str:
+    n = f"({tp} + {fp} + {fn} + {tn})"
+    return (f"round(CASE WHEN {n} <> 0 THEN ({tp} + {tn}) / {n} ELSE 0 END, 6) AS accuracy, "
+            f"round(CASE WHEN {tp} + {fp} <> 0 THEN {tp} / ({tp} + {fp}) ELSE 0 END, 6) AS precision, "
+            f"round(CASE WHEN {tp} + {fn} <> 0 THEN {tp} / ({tp} + {fn}) ELSE 0 END, 6) AS recall, "
+            f"round(CASE WHEN 2 * {tp} + {fp} + {fn} <> 0 THEN 2 * {tp} / (2 * {tp} + {fp} + {fn}) ELSE 0 END, 6) AS f1")
+
+
+_CONF = ("CAST(sum(CASE WHEN label = 1 AND pr = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp, "
+         "CAST(sum(CASE WHEN label = 0 AND pr = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fp, "
+         "CAST(sum(CASE WHEN label = 1 AND pr = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS fn, "
+         "CAST(sum(CASE WHEN label = 0 AND pr = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS tn")
+
+CURVE = """,
+sd AS (SELECT probability AS p, CAST(sum(label) AS DOUBLE) AS pos, CAST(sum(1 - label) AS DOUBLE) AS neg
+       FROM sc GROUP BY probability),
+cu AS (SELECT p, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(neg) OVER (ORDER BY p DESC) AS fp,
+              sum(pos) OVER () AS tot FROM sd),
+pr AS (SELECT p AS threshold, CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0 END AS prec,
+              CASE WHEN tot <> 0 THEN tp / tot ELSE 0 END AS rec FROM cu),
+best AS (SELECT threshold, prec, rec, 2 * prec * rec / (prec + rec + 1e-12) AS f1 FROM pr
+         ORDER BY f1 DESC, threshold ASC LIMIT 1)"""
+
+
+def nudged(sql: str) -> str:
+    """Same tie-breaking as ``finish(nudge=1e-9)``; ``+ 0.0`` turns -0.0 into 0.0."""
+    return sql.replace(", 6) AS", " + 1e-9, 6) + 0.0 AS")
+
+
+def _more(q: dict[str, str]) -> None:
+    team_cols = ", ".join(f"CAST(team = 'N{i}' AS DOUBLE) AS team_N{i}" for i in range(25))
+    q["team_round_rate"] = (f"WITH {RES} SELECT season, team, round_number, "
+                            "round(avg(CAST(dnf AS DOUBLE)), 6) AS dnf_rate FROM res "
+                            "GROUP BY season, team, round_number")
+    q["team_reliability"] = (f"WITH {RES}{REL} SELECT entry_id, season, round_number, team, driver, "
+                             "round(team_reliability, 6) AS team_reliability FROM rres")
+    q["team_reliability_filled"] = (f"WITH {RES}{REL} SELECT entry_id, team, "
+                                    "round(team_reliability, 6) AS team_reliability FROM frel")
+    q["driver_delta"] = (f"WITH {LAPS} SELECT driver, round(lap_number, 6) AS lap_number, "
+                         "round(lap_time_s, 6) AS lap_time_s, "
+                         "round(lap_time_s - avg(lap_time_s) OVER (PARTITION BY driver), 6) AS lap_time_delta_s "
+                         "FROM green")
+    centred = ", ".join(f"round({c} - avg({c}) OVER w, 6) AS {c}" for c in STYLE)
+    q["style_centered"] = (f"WITH {LAPS}{TEL} SELECT driver, lap_number, compound, {centred} "
+                           "FROM summary WINDOW w AS (PARTITION BY driver)")
+
+    def detr(c):
+        s = f"regr_slope({c}, lap_number) OVER w"
+        slope = f"(CASE WHEN isnan({s}) THEN 0 ELSE coalesce({s}, 0) END)"
+        mx = f"avg(CASE WHEN {c} IS NOT NULL THEN lap_number END) OVER w"
+        return f"round({c} - avg({c}) OVER w - {slope} * (lap_number - {mx}), 6) AS {c}"
+    q["style_detrended"] = (f"WITH {LAPS}{TEL} SELECT driver, lap_number, compound, "
+                            f"{', '.join(detr(c) for c in STYLE)} FROM summary "
+                            "WINDOW w AS (PARTITION BY driver)")
+    q["driver_delta"] = nudged(q["driver_delta"])
+    q["style_detrended"] = nudged(q["style_detrended"])
+    q["pace_matrix"] = (f"WITH {LAPS} SELECT driver AS \"group\", round(tyre_life, 6) AS tyre_life, "
+                        "round(lap_number, 6) AS lap_number, "
+                        "CAST(coalesce(compound = 'soft', false) AS DOUBLE) AS compound_soft, "
+                        "CAST(coalesce(compound = 'medium', false) AS DOUBLE) AS compound_medium, "
+                        "CAST(coalesce(compound = 'hard', false) AS DOUBLE) AS compound_hard, "
+                        "round(lap_time_s, 6) AS label FROM green")
+    q["dnf_matrix"] = (
+        f"WITH {RES}{REL}, fs AS (SELECT frel.*, s.event_name FROM frel JOIN sched s USING (round_number)) "
+        f"SELECT entry_id, driver AS \"group\", round(grid_position, 6) AS grid_position, {team_cols}, "
+        "round(team_reliability, 6) AS team_reliability, "
+        "CAST((lower(event_name) LIKE '%monaco%' OR lower(event_name) LIKE '%azerbaijan%' "
+        "OR lower(event_name) LIKE '%singapore%' OR lower(event_name) LIKE '%las vegas%' "
+        "OR lower(event_name) LIKE '%miami%' OR lower(event_name) LIKE '%saudi arabian%') AS DOUBLE) "
+        "AS is_street_circuit, CAST(dnf AS DOUBLE) AS label FROM fs")
+    q["retirement_target"] = (f"WITH {RES} SELECT entry_id, status, coalesce(status = 'Retired', false) "
+                              "AS retired FROM res WHERE status IS DISTINCT FROM 'Did not start'")
+    q["tyre_matrix"] = (f"WITH {LAPS}{TEL} SELECT driver, lap_number, driver AS \"group\", "
+                        + ", ".join(f"round({c}, 6) AS {c}" for c in STYLE)
+                        + ", compound AS label FROM summary")
+    q["class_weights"] = (
+        f"WITH {RES}, c AS (SELECT CAST(dnf AS DOUBLE) AS label, count(*) AS n FROM res GROUP BY 1) "
+        "SELECT label, n, round(sum(n) OVER () / (count(*) OVER () * n), 6) AS balanced_weight, "
+        "round(CASE WHEN sum(CASE WHEN label = 1 THEN n ELSE 0 END) OVER () > 0 "
+        "THEN sum(CASE WHEN label = 0 THEN n ELSE 0 END) OVER () / sum(CASE WHEN label = 1 THEN n ELSE 0 END) OVER () "
+        "ELSE 1.0 END, 6) AS scale_pos_weight FROM c")
+    q["binary_metrics"] = (
+        f"WITH {SCORES}, c AS (SELECT {_CONF} FROM (SELECT label, CAST(probability >= 0.5 AS INTEGER) AS pr FROM sc)) "
+        f"SELECT {_metric_select()}, round((tp + fn) / (tp + fp + fn + tn), 6) AS positive_rate FROM c")
+    q["fold_metrics"] = (
+        f"WITH {SCORES}, c AS (SELECT fold, {_CONF} FROM (SELECT fold, label, CAST(probability > 0.5 AS INTEGER) AS pr FROM sc) GROUP BY fold), "
+        f"m AS (SELECT tp, fp, fn, tn, {_metric_select()} FROM c) "
+        "SELECT round(avg(accuracy), 6) AS accuracy, round(avg(precision), 6) AS precision, "
+        "round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1, "
+        "round(sum(tp + fn) / sum(tp + fp + fn + tn), 6) AS positive_rate FROM m")
+    q["best_threshold"] = (f"WITH {SCORES}{CURVE} SELECT round(threshold, 6) AS threshold, "
+                           "round(prec, 6) AS precision, round(rec, 6) AS recall, round(f1, 6) AS f1 FROM best")
+    q["tuned_metrics"] = (
+        f"WITH {SCORES}{CURVE}, c AS (SELECT {_CONF} FROM (SELECT label, "
+        "CAST(probability >= (SELECT threshold FROM best) AS INTEGER) AS pr FROM sc)) "
+        f"SELECT round((SELECT threshold FROM best), 6) AS threshold, {_metric_select()}, "
+        "round((tp + fn) / (tp + fp + fn + tn), 6) AS positive_rate FROM c")
+    q["roc_auc"] = (
+        f"WITH {SCORES}, sd AS (SELECT probability AS p, CAST(sum(label) AS DOUBLE) AS pos, "
+        "CAST(sum(1 - label) AS DOUBLE) AS neg FROM sc GROUP BY probability), "
+        "c AS (SELECT pos, neg, sum(neg) OVER (ORDER BY p) - neg AS below FROM sd) "
+        "SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS roc_auc FROM c")
+    qs = ", ".join(str(i / 10) for i in range(1, 10))
+    bins = " + ".join(f"CAST(probability > e.q[{i}] AS INTEGER)" for i in range(1, 10))
+    q["calibration"] = (
+        f"WITH {SCORES}, e AS (SELECT quantile_cont(probability, [{qs}]) AS q FROM sc), "
+        f"b AS (SELECT sc.probability, sc.label, CAST({bins} AS INTEGER) AS bin FROM sc, e) "
+        "SELECT bin, count(*) AS n, round(avg(probability), 6) AS mean_predicted_value, "
+        "round(avg(CAST(label AS DOUBLE)), 6) AS fraction_of_positives FROM b GROUP BY bin")
+    q["brier"] = (f"WITH {SCORES} SELECT round(avg(power(probability - label, 2)), 6) AS brier_score FROM sc")
+    q["macro_metrics"] = (
+        f"WITH {SCORES}, c AS (SELECT fold, truth, prediction, CAST(count(*) AS DOUBLE) AS n FROM sc GROUP BY ALL), "
+        "t AS (SELECT fold, truth AS cls, sum(n) AS n_true, sum(CASE WHEN truth = prediction THEN n ELSE 0 END) AS tp "
+        "      FROM c GROUP BY ALL), "
+        "p AS (SELECT fold, prediction AS cls, sum(n) AS n_pred FROM c GROUP BY ALL), "
+        "pc AS (SELECT coalesce(t.fold, p.fold) AS fold, coalesce(tp, 0) AS tp, coalesce(n_true, 0) AS nt, "
+        "       coalesce(n_pred, 0) AS np FROM t FULL JOIN p ON t.fold = p.fold AND t.cls = p.cls), "
+        "pf AS (SELECT fold, sum(tp) / sum(nt) AS acc, avg(CASE WHEN np <> 0 THEN tp / np ELSE 0 END) AS pm, "
+        "       avg(CASE WHEN nt <> 0 THEN tp / nt ELSE 0 END) AS rm, "
+        "       avg(CASE WHEN nt + np <> 0 THEN 2 * tp / (nt + np) ELSE 0 END) AS fm FROM pc GROUP BY fold), "
+        "maj AS (SELECT max(n) / sum(n) AS ms FROM (SELECT truth, count(*) AS n FROM sc GROUP BY truth)) "
+        "SELECT round(avg(acc), 6) AS accuracy, round(avg(pm), 6) AS precision_macro, "
+        "round(avg(rm), 6) AS recall_macro, round(avg(fm), 6) AS f1_macro, "
+        "round((SELECT ms FROM maj), 6) AS majority_share FROM pf")
+    q["status_counts"] = f"WITH {RES} SELECT status, count(*) AS n FROM res GROUP BY status"
+    clus = f"WITH {LAPS}{TEL}, cl AS (SELECT *, CAST(floor(mean_gear) AS INTEGER) % 3 AS cluster FROM summary)"
+    q["cluster_crosstab"] = (
+        clus + ", ct AS (SELECT cluster, count(*) FILTER (WHERE compound = 'soft') AS n_soft, "
+        "count(*) FILTER (WHERE compound = 'medium') AS n_medium, count(*) FILTER (WHERE compound = 'hard') AS n_hard "
+        "FROM cl GROUP BY cluster) "
+        "SELECT cluster, n_soft, n_medium, n_hard, n_soft + n_medium + n_hard AS n_total, "
+        "round(100.0 * n_soft / (n_soft + n_medium + n_hard), 6) AS pct_soft, "
+        "round(100.0 * sum(n_soft) OVER () / sum(n_soft + n_medium + n_hard) OVER (), 6) AS overall_pct_soft FROM ct")
+    q["cluster_profile"] = (
+        clus + ", j AS (SELECT cl.cluster, l.lap_number, l.tyre_life, l.stint FROM cl "
+        "JOIN laps l ON cl.driver = l.driver AND cl.lap_number = l.lap_number), "
+        "m AS (SELECT cluster, stint, count(*) AS c FROM j GROUP BY ALL), "
+        "m2 AS (SELECT *, max(c) OVER (PARTITION BY cluster) AS mc FROM m), "
+        "md AS (SELECT cluster, min(stint) AS stint_mode FROM m2 WHERE c = mc GROUP BY cluster) "
+        "SELECT cluster, count(*) AS n_laps, round(avg(lap_number), 6) AS mean_lap_number, "
+        "round(avg(tyre_life), 6) AS mean_tyre_life, round(any_value(md.stint_mode), 6) AS stint_mode "
+        "FROM j JOIN md USING (cluster) GROUP BY cluster")
