@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline.functions import is_street_circuit
-from lapline.models import metrics
+from lapline.models import classify, cluster, folds, linear, metrics
 from lapline.operators import features, profile, quality, telemetry
 from lapline.plans import inputs as I
 from lapline.plans.inputs import finish
+from lapline.schemas import PACE_FEATURES, STYLE_COLUMNS
 
 NUDGE = 1e-9
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,3 +233,148 @@ def q_cluster_crosstab(spark, sf):
 def q_cluster_profile(spark, sf):
     clusters = _gear_clusters(_lap_summary(spark, sf))
     return finish(profile.cluster_profile(clusters, I.laps(spark, sf)))
+
+
+# -- folds and pace regression (K1, K2, L0-L7) ------------------------------
+
+PACE_X = list(PACE_FEATURES)
+
+
+def _pace_set(spark, sf):
+    """Large pace table (lineitem based) with its group-derived fold."""
+    return features.build_pace_features(I.pace_laps(spark, sf), keep=("fold",))
+
+
+@register("pace_moments")
+def q_pace_moments(spark, sf):
+    m = linear.moments(_pace_set(spark, sf), PACE_X, "label", by=["fold"])
+    n = F.col("n")
+    cols = [F.col("fold"), n.cast("long").alias("n")]
+    cols += [(F.col(c) / n).alias("m" + c[1:]) for c in m.columns if c.startswith("s_")]
+    return finish(m.select(*cols))
+
+
+@register("group_folds")
+def q_group_folds(spark, sf):
+    df = features.build_pace_features(I.pace_laps(spark, sf), keep=())
+    with_fold = folds.group_kfold(df, "group", n_splits=5)
+    return with_fold.groupBy("group", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stratified_group_folds")
+def q_stratified_group_folds(spark, sf):
+    df = features.build_dnf_features(I.results(spark, sf), teams=(), keep=())
+    with_fold = folds.stratified_group_kfold(df, "group", "label", n_splits=5)
+    return with_fold.groupBy("group", "fold").agg(F.count(F.lit(1)).alias("n"),
+                                                  F.sum("label").alias("positives"))
+
+
+def _pace_fit(method, alpha=1.0):
+    def q(spark, sf):
+        model = linear.fit_linear(_pace_set(spark, sf), PACE_X, "label", method, alpha)
+        return model.coefficients(spark)
+    return q
+
+
+register("pace_ols")(_pace_fit("ols"))
+register("pace_ridge")(_pace_fit("ridge", 1.0))
+register("pace_lasso")(_pace_fit("lasso", 1.0))
+
+
+@register("pace_cv")
+def q_pace_cv(spark, sf):
+    df = folds.group_kfold(features.build_pace_features(I.pace_laps(spark, sf), keep=()),
+                           "group", n_splits=5)
+    summary, _ = linear.cross_validate_linear(df, PACE_X, "label", "fold", "ols")
+    return summary
+
+
+# -- classifiers (C0-C8, K3, K4) ---------------------------------------------
+
+def _dnf_cv_table(spark, sf):
+    df = features.build_dnf_features(I.season_results(spark, sf), keep=("entry_id",))
+    return folds.stratified_group_kfold(df, "group", "label", n_splits=5)
+
+
+def _oof(kind):
+    def q(spark, sf):
+        df = _dnf_cv_table(spark, sf)
+        feats = [c for c in df.columns if c == "grid_position" or c.startswith("team_")]
+        if kind == "tree":
+            est = classify.build_dnf_tree(feats)
+        elif kind == "logistic":
+            est = classify.build_dnf_logistic(feats)
+        elif kind == "forest":
+            est = classify.build_dnf_forest(feats)
+        elif kind == "boosting":
+            # the reference's small booster configuration (20 trees, depth 2)
+            est = classify.build_dnf_boosting(feats, classify.default_scale_pos_weight(df), 20, 2)
+        else:
+            est = classify.build_dnf_stacking(feats, classify.default_scale_pos_weight(df),
+                                              key_columns=("entry_id",))
+        oof = classify.out_of_fold_probabilities(df, est)
+        return oof.select("entry_id", "fold", "label", "probability", "prediction")
+    return q
+
+
+for _k in ("tree", "logistic", "forest", "boosting", "stacking"):
+    register(f"oof_{_k}")(_oof(_k))
+
+
+@register("tyre_svm")
+def q_tyre_svm(spark, sf):
+    df = features.build_tyre_features(_lap_summary(spark, sf))
+    df = df.na.drop(subset=list(STYLE_COLUMNS))
+    df = folds.stratified_group_kfold(df, "group", "label", n_splits=5)
+    est = classify.TyreSvm(list(STYLE_COLUMNS), kernel="rbf")
+    oof = classify.out_of_fold_probabilities(df, est)
+    return metrics.cv_macro_metrics(oof, truth="label", prediction="prediction")
+
+
+# -- clustering (U1-U7) ------------------------------------------------------
+
+def _style_scaled(spark, sf):
+    style = features.build_driving_style_features(_lap_summary(spark, sf), relative_to_driver=True)
+    style = style.na.drop(subset=list(STYLE_COLUMNS))
+    return cluster.standardize(style, list(STYLE_COLUMNS))
+
+
+@register("zscore")
+def q_zscore(spark, sf):
+    return finish(cluster.standardize(_lap_summary(spark, sf).na.drop(subset=list(STYLE_COLUMNS)),
+                                      list(STYLE_COLUMNS)), nudge=NUDGE)
+
+
+def _coords(spark, sf):
+    coords, _ = cluster.fit_pca(_style_scaled(spark, sf), list(STYLE_COLUMNS), 2)
+    return coords
+
+
+@register("pca")
+def q_pca(spark, sf):
+    return _coords(spark, sf).select("driver", "lap_number", "compound", "pc1", "pc2")
+
+
+@register("kmeans")
+def q_kmeans(spark, sf):
+    return cluster.fit_kmeans(_coords(spark, sf), ["pc1", "pc2"], 3).select(
+        "driver", "lap_number", "compound", "cluster")
+
+
+@register("gmm")
+def q_gmm(spark, sf):
+    _, out = cluster.fit_gmm(_coords(spark, sf), ["pc1", "pc2"], 2)
+    return out.select("driver", "lap_number", "compound", "cluster", "probability")
+
+
+@register("gmm_bic")
+def q_gmm_bic(spark, sf):
+    return cluster.select_n_components_by_bic(_coords(spark, sf), ["pc1", "pc2"], (1, 2, 3, 4, 5))
+
+
+@register("silhouette")
+def q_silhouette(spark, sf):
+    labelled = cluster.fit_kmeans(_coords(spark, sf), ["pc1", "pc2"], 3).cache()
+    exact = cluster.silhouette_exact(labelled, ["pc1", "pc2"])
+    squared = cluster.silhouette_squared(labelled, ["pc1", "pc2"])
+    return spark.createDataFrame([(exact, squared)], "silhouette double, silhouette_squared double")

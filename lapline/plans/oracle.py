@@ -178,6 +178,7 @@ def oracle() -> dict[str, str]:
         "OR lower(event_name) LIKE '%miami%' OR lower(event_name) LIKE '%saudi arabian%') AS is_street_circuit, "
         "count(*) AS n_entries FROM sres GROUP BY event_name")
     _more(q)
+    _models(q)
     return q
 
 
@@ -336,3 +337,29 @@ def _more(q: dict[str, str]) -> None:
         "SELECT cluster, count(*) AS n_laps, round(avg(lap_number), 6) AS mean_lap_number, "
         "round(avg(tyre_life), 6) AS mean_tyre_life, round(any_value(md.stint_mode), 6) AS stint_mode "
         "FROM j JOIN md USING (cluster) GROUP BY cluster")
+
+
+def _models(q: dict[str, str]) -> None:
+    feats = ["tyre_life", "lap_number", "compound_soft", "compound_medium", "compound_hard"]
+    pace = """
+pl AS (
+  SELECT CAST(l_suppkey % 5 AS INTEGER) AS fold, l_quantity AS tyre_life,
+         CAST(l_linenumber AS DOUBLE) AS lap_number,
+         CAST(l_returnflag = 'A' AS DOUBLE) AS compound_soft,
+         CAST(l_returnflag = 'N' AS DOUBLE) AS compound_medium,
+         CAST(l_returnflag NOT IN ('A', 'N') AS DOUBLE) AS compound_hard,
+         l_extendedprice / l_quantity AS label
+  FROM lineitem)"""
+    cols = [f"avg({c}) AS m_{c}" for c in feats] + ["avg(label) AS m_y"]
+    cols += [f"avg({feats[i]} * {feats[j]}) AS m_{feats[i]}__{feats[j]}"
+             for i in range(len(feats)) for j in range(i, len(feats))]
+    cols += [f"avg({c} * label) AS m_{c}__y" for c in feats] + ["avg(label * label) AS m_y__y"]
+    q["pace_moments"] = (f"WITH {pace} SELECT fold, count(*) AS n, "
+                         + ", ".join(c.replace("avg(", "round(avg(").replace(") AS", "), 6) AS")
+                                     for c in cols)
+                         + " FROM pl GROUP BY fold")
+    z = ", ".join(f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () > 0 "
+                  f"THEN stddev_pop({c}) OVER () ELSE 1 END, 6) AS {c}" for c in STYLE)
+    q["zscore"] = nudged(f"WITH {LAPS}{TEL}, s AS (SELECT * FROM summary WHERE "
+                         + " AND ".join(f"{c} IS NOT NULL" for c in STYLE)
+                         + f") SELECT driver, lap_number, compound, {z} FROM s")
