@@ -1,8 +1,8 @@
 """Unsupervised profiling of lap vectors.
 
 Scaling statistics, PCA covariance, k-means and EM updates are all
-distributed aggregations inside ``pyspark.ml``; the driver only holds
-d x d matrices and k centres.
+distributed aggregations (``pyspark.ml`` or ``lapline.models.mixture``);
+the driver only holds d x d matrices and k centres.
 """
 
 from __future__ import annotations
@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapline.models.mixture import fit_gaussian_mixture
+
 DEFAULT_SEED = 0
 EXACT_SILHOUETTE_MAX_ROWS = 200_000
 # EM stopping rule of the reference's mixture defaults (100 iterations, 1e-3)
@@ -141,53 +143,23 @@ def silhouette_exact(df: DataFrame, columns: Sequence[str], cluster: str = "clus
 
 def fit_gmm(df: DataFrame, columns: Sequence[str], n_components: int = 3,
             seed: int = DEFAULT_SEED, name: str = "cluster"):
-    """U5 + U6: full-covariance EM mixture; hard label and the component
-    probabilities as an array column.  Returns (model, labelled)."""
-    vec = assemble(df, columns, "__v")
-    model = GaussianMixture(k=n_components, seed=seed, featuresCol="__v", predictionCol=name,
-                            probabilityCol="__p", maxIter=GMM_MAX_ITER, tol=GMM_TOL).fit(vec)
-    out = (model.transform(vec).withColumn("probability", vector_to_array("__p"))
-           .drop("__v", "__p"))
-    return model, out
-
-
-def _single_gaussian_loglik(df: DataFrame, columns: Sequence[str]) -> tuple[float, float]:
-    """k = 1 in closed form: ML mean and (population) covariance."""
-    d = len(columns)
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]
-    aggs += [F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}")
-             for i in range(d) for j in range(i, d)]
-    r = df.agg(*aggs).first()
-    cov = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
-    cov += 1e-6 * np.eye(d)
-    _, logdet = np.linalg.slogdet(cov)
-    n = float(r["n"])
-    return -0.5 * n * (d * np.log(2 * np.pi) + logdet + d), n
+    """U5 + U6: full-covariance EM mixture (``lapline.models.mixture``);
+    hard label and the component probabilities as an array column.
+    Returns (model, labelled)."""
+    model = fit_gaussian_mixture(df, columns, n_components, seed=seed,
+                                 max_iter=GMM_MAX_ITER, tol=GMM_TOL)
+    return model, model.transform(df, label=name, probability="probability")
 
 
 def select_n_components_by_bic(df: DataFrame, columns: Sequence[str],
                                candidates: Sequence[int] = (1, 2, 3, 4, 5),
-                               seeds: Sequence[int] = (DEFAULT_SEED,)) -> DataFrame:
+                               seed: int = DEFAULT_SEED) -> DataFrame:
     """BIC = -2 logL + p ln n per candidate k (lower is better),
-    p = k d(d+1)/2 + k d + k - 1.  k = 1 is closed form (Spark's mixture
-    refuses k = 1); other k keep the best likelihood over a few seeds."""
-    d = len(columns)
-    vec = assemble(df, columns, "__v").select("__v").cache()
-    n = float(vec.count())
+    p = k d(d+1)/2 + k d + k - 1.  k = 1 is a one-step fit of the same EM."""
     rows = []
     for k in candidates:
-        if k == 1:
-            ll, _ = _single_gaussian_loglik(df, columns)
-        else:
-            ll = max(GaussianMixture(k=k, seed=s, featuresCol="__v", maxIter=GMM_MAX_ITER,
-                                     tol=GMM_TOL)
-                     .fit(vec).summary.logLikelihood for s in seeds)
-        p = k * d * (d + 1) / 2 + k * d + k - 1
-        rows.append((int(k), float(-2 * ll + p * np.log(n))))
-    vec.unpersist()
+        m = fit_gaussian_mixture(df, columns, int(k), seed=seed, max_iter=GMM_MAX_ITER, tol=GMM_TOL)
+        rows.append((int(k), m.bic()))
     return df.sparkSession.createDataFrame(rows, "k int, bic double")
 
 
