@@ -35,6 +35,7 @@ _B = "__asof_b"
 _S = "__asof_side"
 _M = "__asof_match"
 _N = "__asof_next"
+_L = "__asof_local"
 
 
 def asof_forward(
@@ -105,22 +106,17 @@ def asof_forward(
     w = (Window.partitionBy(*by, _B)
          .orderBy(F.col(_T).desc(), F.col(_S).desc(), F.col(_M).desc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    phase1 = u.withColumn(_M, F.last(_M, ignorenulls=True).over(w)).where(F.col(_S) == 0)
-
-    # 3. phase 2: first right row of any later bucket of the same key
-    # every bucket of every key, from the small stats table (no re-scan)
-    all_buckets = stats.select(
-        *by, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__nb") - 1)).alias(_B),
-        F.lit(None).cast(match_type).alias(_M))
-    buckets = (
-        all_buckets.unionByName(rhs.select(*by, _B, _M))
-        .groupBy(*by, _B).agg(F.min(_M).alias(_M))
-    )
+    phase1 = u.withColumn(_L, F.last(_M, ignorenulls=True).over(w))
+
+    # 3. phase 2: first right row of any later bucket of the same key.  The
+    # bucket table is aggregated from the phase-1 output, which is already
+    # hash-partitioned by (key, bucket): no extra exchange, one row per bucket.
+    buckets = phase1.groupBy(*by, _B).agg(F.min(F.when(F.col(_S) == 1, F.col(_M))).alias(_M))
     wb = Window.partitionBy(*by).orderBy(F.col(_B).desc()).rowsBetween(
         Window.unboundedPreceding, -1)
     nxt = buckets.select(*by, _B, F.min(_M).over(wb).alias(_N))
-    matched = phase1.join(nxt, by + [_B], "left").withColumn(
-        _M, F.coalesce(F.col(_M), F.col(_N)))
+    matched = (phase1.where(F.col(_S) == 0).join(nxt, by + [_B], "left")
+               .withColumn(_M, F.coalesce(F.col(_L), F.col(_N))))
 
     carried = [F.col(f"{_M}.{c}").alias(c) for c in carry]
     result = matched.select(*[F.col(c) for c in out_cols], *carried)
