@@ -75,6 +75,8 @@ def fit_pca(df: DataFrame, columns: Sequence[str], n_components: int = 2,
 def fit_kmeans(df: DataFrame, columns: Sequence[str], n_clusters: int = 3,
                seed: int = DEFAULT_SEED, name: str = "cluster") -> DataFrame:
     """Seeded k-means (k-means|| init); adds the cluster label."""
+    # KMeans persists its own instance RDD for the iterations when the
+    # input is not cached
     vec = assemble(df, columns, "__v")
     model = KMeans(k=n_clusters, seed=seed, featuresCol="__v", predictionCol=name,
                    initMode="k-means||", maxIter=300, tol=1e-4).fit(vec)

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapline.session import ensure_checkpoint_dir
+
 DEFAULT_MAX_EXACT_GROUPS = 100_000
 
 
@@ -127,7 +129,7 @@ def out_of_fold(df: DataFrame, fit: Callable[[DataFrame], object], fold: str = "
     """K3/K4: for each fold, fit on the other folds and transform the held
     out one; the union is the out-of-fold prediction table.
 
-    The input is persisted once (every fit reads it).  Folds come from the
+    The input is persisted while the folds are fitted.  Folds come from the
     data, so this is a loop over a handful of fold ids, not over rows; the
     fits are submitted from a thread pool so their Spark jobs run
     concurrently, as ``CrossValidator(parallelism=...)`` does.
@@ -149,4 +151,10 @@ def out_of_fold(df: DataFrame, fit: Callable[[DataFrame], object], fold: str = "
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    # the OOF table is reused by every metric: write it once to the
+    # checkpoint folder (lineage cut, survives executor loss), then release
+    # the cached input
+    ensure_checkpoint_dir(df.sparkSession)
+    out = out.checkpoint(eager=True)
+    base.unpersist()
     return out

@@ -17,6 +17,7 @@ from lapline.models import classify, cluster, folds, linear, metrics
 from lapline.operators import features, profile, quality, telemetry
 from lapline.plans import inputs as I
 from lapline.plans.inputs import finish
+from lapline.sources import adapters as A
 from lapline.schemas import PACE_FEATURES, STYLE_COLUMNS
 
 NUDGE = 1e-9
@@ -377,4 +378,51 @@ def q_silhouette(spark, sf):
     labelled = cluster.fit_kmeans(_coords(spark, sf), ["pc1", "pc2"], 3).cache()
     exact = cluster.silhouette_exact(labelled, ["pc1", "pc2"])
     squared = cluster.silhouette_squared(labelled, ["pc1", "pc2"])
+    labelled.unpersist()
     return spark.createDataFrame([(exact, squared)], "silhouette double, silhouette_squared double")
+
+
+# -- documented experiments and profiles (C7, C8, A10, embeddings) ----------
+
+def _dnf_feats(df):
+    return [c for c in df.columns if c == "grid_position" or c.startswith("team_")]
+
+
+@register("capacity_sweep")
+def q_capacity_sweep(spark, sf):
+    df = _dnf_cv_table(spark, sf).persist()
+    out = classify.capacity_sweep(df, _dnf_feats(df))
+    df.unpersist()
+    return out
+
+
+@register("feature_ablation")
+def q_feature_ablation(spark, sf):
+    season = I.season_results(spark, sf).persist()
+    base = features.build_dnf_features(season, keep=("entry_id",))
+    fold_table, complete = folds.stratified_group_kfold_table(base, "group", "label", 5)
+    tables = {}
+    for name, rel, circ in (("base", False, False), ("reliability", True, False),
+                            ("reliability_circuit", True, True)):
+        df = features.build_dnf_features(season, include_team_reliability=rel,
+                                         include_circuit_type=circ, keep=("entry_id",))
+        df = folds._attach(df, fold_table, "group", 5, complete, "fold")
+        feats = _dnf_feats(df) + [c for c in ("team_reliability", "is_street_circuit") if c in df.columns]
+        tables[name] = (df, feats)
+    builders = {"tree": lambda f, d: classify.build_dnf_tree(f),
+                "logistic": lambda f, d: classify.build_dnf_logistic(f)}
+    out = classify.feature_ablation(tables, builders)
+    season.unpersist()
+    return out
+
+
+@register("compound_spread")
+def q_compound_spread(spark, sf):
+    labelled = cluster.fit_kmeans(_coords(spark, sf), ["pc1", "pc2"], 3)
+    return profile.compound_spread(profile.cluster_crosstab(labelled))
+
+
+@register("gmm_top_probability")
+def q_gmm_top_probability(spark, sf):
+    _, out = cluster.fit_gmm(_coords(spark, sf), ["pc1", "pc2"], 2)
+    return profile.mean_top_probability(out)

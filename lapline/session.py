@@ -15,6 +15,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     AQE is on so that join strategies (broadcast vs sort-merge), partition
     coalescing and skew splitting are decided from runtime statistics.
     """
+    # driver memory only takes effect when the JVM is launched
+    os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--driver-memory 16g pyspark-shell")
     spark = (
         SparkSession.builder.master(master)
         .appName(app_name)
