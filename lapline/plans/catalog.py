@@ -17,6 +17,7 @@ from lapline.models import classify, cluster, folds, linear, metrics
 from lapline.operators import features, profile, quality, telemetry
 from lapline.plans import inputs as I
 from lapline.plans.inputs import finish
+from lapline.session import ensure_checkpoint_dir
 from lapline.sources import adapters as A
 from lapline.schemas import PACE_FEATURES, STYLE_COLUMNS
 
@@ -337,6 +338,11 @@ def q_tyre_svm(spark, sf):
 def _style_scaled(spark, sf):
     style = features.build_driving_style_features(_lap_summary(spark, sf), relative_to_driver=True)
     style = style.na.drop(subset=list(STYLE_COLUMNS))
+    # scaling, PCA and the clustering iterations each re-read this table:
+    # write it once to the checkpoint folder instead of re-running the
+    # as-of join for every pass
+    ensure_checkpoint_dir(spark)
+    style = style.checkpoint(eager=True)
     return cluster.standardize(style, list(STYLE_COLUMNS))
 
 
