@@ -7,9 +7,10 @@ functions of the input rows, so the DuckDB oracle can rebuild them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapline.operators.sequence import number_within_key
 from lapline.session import table_path
 
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
@@ -42,15 +43,13 @@ def _since_epoch() -> Column:
 def raw_laps_from_events(events: DataFrame) -> DataFrame:
     """Purchases become lap ends of driver 'U<user_id>' (raw lap schema).
 
-    The lap number is the per-user order of (ts, event_id).
+    The lap number is the per-user order of (ts, event_id), computed with
+    per-user time buckets so a hot user is not one task.
     """
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    base = (
-        events.where(F.col("event_type") == "purchase")
-        .select("user_id", "ts", "event_id", _k().alias("k"))
-        .withColumn("n", F.row_number().over(w))
-        .withColumn("prev_ts", F.lag("ts").over(w))
-    )
+    purchases = (events.where(F.col("event_type") == "purchase")
+                 .select("user_id", "ts", "event_id", _k().alias("k")))
+    base = number_within_key(purchases, ["user_id"], _t(), ["ts", "event_id"], "ts",
+                             number="n", previous="prev_ts")
     n = F.col("n")
     k = F.col("k")
     lap_time = F.col("ts") - F.col("prev_ts")
