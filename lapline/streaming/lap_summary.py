@@ -16,11 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapline.operators.normalize import normalize_telemetry
 from lapline.operators.quality import green_predicate
+from lapline.operators.sequence import number_within_key
 from lapline.schemas import RAW_TELEMETRY
 
 
@@ -30,12 +31,15 @@ def lap_intervals(laps: DataFrame, session_keys: Sequence[str] = (),
     end_s, lap_end_ts).  Equal end times: the lower lap number keeps the
     interval, the next one gets an empty one, as the as-of tie rule does."""
     keys = [*session_keys, "driver"]
-    w = Window.partitionBy(*keys).orderBy("session_time_s", "lap_number")
     origin_ts = F.to_timestamp(F.lit(origin))
-    return (laps.where(F.col("driver").isNotNull() & F.col("session_time_s").isNotNull())
-            .select(*keys, "lap_number", "compound", green_predicate().alias("clean"),
-                    F.lag("session_time_s").over(w).alias("start_s"),
-                    F.col("session_time_s").alias("end_s"))
+    valid = (laps.where(F.col("driver").isNotNull() & F.col("session_time_s").isNotNull())
+             .select(*keys, "lap_number", "compound", "session_time_s",
+                     green_predicate().alias("clean")))
+    # previous lap end per driver, bucketed so a hot driver is not one task
+    seq = number_within_key(valid, keys, F.col("session_time_s"), ["session_time_s", "lap_number"],
+                            "session_time_s", number="__n", previous="start_s")
+    return (seq.select(*keys, "lap_number", "compound", "clean", "start_s",
+                       F.col("session_time_s").alias("end_s"))
             .withColumn("lap_end_ts", F.timestamp_add("MICROSECOND", (F.col("end_s") * 1e6).cast("long"),
                                                       origin_ts)))
 
