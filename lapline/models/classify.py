@@ -290,7 +290,7 @@ class TyreSvm:
         df = balanced_weight_column(indexer.transform(train), "__y")
         total_w = df.agg(F.sum(W)).first()[0]
         svc = LinearSVC(regParam=1.0 / (self.C * total_w), standardization=False, maxIter=100,
-                        weightCol=W, tol=1e-6)
+                        weightCol=W, tol=1e-3)  # the reference SVC's stopping tolerance
         ovr = OneVsRest(classifier=svc, featuresCol="__x", labelCol="__y",
                         predictionCol="__pred", weightCol=W, parallelism=3)
         design = proto._design(df).persist(StorageLevel.MEMORY_AND_DISK)
