@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +67,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch that hold about ``limit`` bytes of ``column`` each (one row at least)."""
     sizes = np.asarray(
-        pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+        pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
     part = np.cumsum(sizes) // limit if len(sizes) else sizes
     starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
     for a, b in zip(starts, [*starts[1:], len(part)], strict=False):
