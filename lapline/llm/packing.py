@@ -36,20 +36,21 @@ END_ID = 0
 _CHUNK = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ ,.|\n]|\Z)|[,.]+(?=[ \n]|\Z)| ?\S+|\s+(?!\S)|\s+")
 #: White space to Python's ``re`` but not to the tokenizer; texts with these are encoded whole.
 _ODD = re.compile("[\x1c-\x1f]")
-_CACHE_LIMIT = 800_000
+#: Chunks in each of the two generations that a worker keeps.
+_CACHE_LIMIT = 450_000
 _tokenizers: dict[str, tuple] = {}
 
 
 def _encoder(path: str):
-    """texts -> little-endian 32-bit ids of each; chunks are encoded once and kept for the worker's life."""
+    """texts -> little-endian 32-bit ids of each; chunks that come again are encoded once (two generations of a bounded table)."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
         made = Tokenizer.from_file(path)
         made.encode_special_tokens = True
-        _tokenizers[path] = made, {}
-    tokenizer, known = _tokenizers[path]
+        _tokenizers[path] = made, {}, {}
+    tokenizer, known, older = _tokenizers[path]
 
     def ids(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -57,9 +58,14 @@ def _encoder(path: str):
 
     def encode(texts: list[str]) -> list[bytes]:
         if len(known) > _CACHE_LIMIT:
+            older.clear()
+            older.update(known)
             known.clear()
         parts = [None if _ODD.search(x) else _CHUNK.findall(x) for x in texts]
-        new = list(set().union(*(p for p in parts if p)).difference(known))
+        new = set().union(*(p for p in parts if p)).difference(known)
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        new = list(new - again)
         known.update(zip(new, ids(new), strict=True))
         return [b"".join(map(known.__getitem__, p)) if p is not None else ids([x])[0]
                 for p, x in zip(parts, texts, strict=True)]
