@@ -76,12 +76,12 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator
 
 def with_columns(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]], fields: Sequence[tuple[str, T.DataType]],
-    text_col: str,
+    text_col: str, limit: int = 8 << 20,
 ) -> DataFrame:
     """Append columns computed in Arrow batches; same-named columns of ``df`` are replaced.
 
     ``make`` runs once for each task and returns a function from a batch to
-    one array (or list) for each of ``fields``.
+    one array (or list) for each of ``fields``; a batch has about ``limit`` bytes of text.
     """
     names = {n for n, _ in fields}
     keep = [f for f in df.schema.fields if f.name not in names]
@@ -91,7 +91,7 @@ def with_columns(
     def run(batches):
         compute = make()
         for whole in batches:
-            for batch in pieces(whole, text_col):
+            for batch in pieces(whole, text_col, limit):
                 made = compute(batch)
                 arrays = [batch.column(batch.schema.get_field_index(n)) for n in kept_names]
                 arrays += [pa.array(x, type=t) for x, t in zip(made, types, strict=True)]
@@ -171,9 +171,3 @@ def running_total(df: DataFrame, group: str, order: Sequence[str], value: str, o
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(result)], names=[*columns, out])
 
     return ordered.mapInArrow(totals, schema)
-
-
-def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Concatenated ranges start..start+length-1."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)

@@ -1,6 +1,6 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Features are the character n-grams of a text's words, hashed; a feature's value is
+Features are the character n-grams of a text, hashed; a feature's value is
 its share of the text's n-grams times its inverse document frequency, which
 is counted over all training texts.  The weights are fitted with
 follow-the-regularised-leader (per-coordinate steps, elastic-net penalty) on a
@@ -20,15 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapline.llm import chargrams
 from lapline.llm.common import pieces, remainder, with_columns
-from lapline.llm.words import NgramTable, WordIds
 
 UNDETERMINED = "und"
-SIZES, BITS = (1, 4), 17
+SIZES, BITS = (1, 2, 3), 16
 #: Labelled texts of each language that the weights and the temperature are fitted on.
 SAMPLE_PER_LANGUAGE = 600
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.3, 1.0, 0.02, 0.01
 _SCALE = 50.0
+_BATCH = 1 << 19
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -39,34 +40,18 @@ class Model(NamedTuple):
     temperature: float
 
 
-def _vocabulary():
-    return WordIds(150_000), NgramTable(*SIZES, BITS)
-
-
-def _read(words: WordIds, grams: NgramTable, texts: list[str | None]):
-    """(word ids, words of each text) after lower-casing, with the n-grams of new words taken in."""
-    if words.reset_if_full():
-        grams.clear()
-    ids, lengths = words.ids([(x or "").lower().split() for x in texts])
-    grams.extend(words.words)
-    return ids, lengths
-
-
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts of a one-column table each feature occurs (an array of fixed length), and the number of texts."""
 
     def count(batches):
-        (words, grams), df, n = _vocabulary(), np.zeros(1 << BITS, np.int64), 0
+        df, n, scratch = np.zeros(1 << BITS, np.int64), 0, np.zeros(1 << BITS, np.int32)
         for whole in batches:
-            for batch in pieces(whole, "text"):
-                ids, lengths = _read(words, grams, batch.column(0).to_pylist())
-                at = 0
-                for m in lengths.tolist():
-                    df[np.unique(grams.of(np.unique(ids[at:at + m])))] += 1
-                    at += m
-                n += len(lengths)
+            for batch in pieces(whole, "text", _BATCH):
+                for features in chargrams.by_text(batch.column(0).to_pylist(), SIZES, BITS):
+                    df[chargrams.distinct(features, scratch)] += 1
+                n += batch.num_rows
         has = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, has]), pa.array(np.r_[n, df[has]])], names=["feature", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, has]), pa.array(np.r_[n, df[has]].astype(np.int64))], names=["feature", "n"])
 
     found = texts.toDF("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(1 << BITS, np.int64)
@@ -75,15 +60,6 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return df, int(found["n"][~real].sum())
 
 
-def _counts(words, grams, texts):
-    """(feature, count) arrays of each text."""
-    ids, lengths = _read(words, grams, texts)
-    at = 0
-    for m in lengths.tolist():
-        yield np.unique(grams.of(ids[at:at + m]), return_counts=True)
-        at += m
-
-
 def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, per_language: int) -> list:
     """About ``per_language`` texts of every language, by a hash of the text, as (lang, part, features, counts) rows."""
     known = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
@@ -94,10 +70,10 @@ def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, per_language:
     drawn = known.withColumn("h", hashed).join(F.broadcast(sizes), "lang").where(F.col("h") < share * (1 << 20))
 
     def read(batches):
-        words, grams = _vocabulary()
         for whole in batches:
-            for batch in pieces(whole, "text"):
-                found = list(_counts(words, grams, batch.column(1).to_pylist()))
+            for batch in pieces(whole, "text", _BATCH):
+                found = [np.unique(f, return_counts=True)
+                         for f in chargrams.by_text(batch.column(1).to_pylist(), SIZES, BITS)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(2),
                      pa.array([f.astype(np.int32).tobytes() for f, _ in found], pa.binary()),
@@ -174,35 +150,22 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def make():
         languages, w, b, temperature = sent.value
-        words, grams = _vocabulary()
-        state = {"sums": np.empty((0, len(languages) + 1)), "words": words.words}
+        tables = [np.ascontiguousarray(w[:, k], np.float32) for k in range(len(languages))]
 
         def compute(batch):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            before = len(words.words)
-            ids, lengths = _read(words, grams, texts)
-            if len(state["sums"]) > len(words.words) or before >= words.limit:
-                state["sums"] = np.empty((0, len(languages) + 1))
-            new = np.arange(len(state["sums"]), len(words.words))
-            if len(new):  # what each new word adds: its weights, and its number of n-grams
-                f = grams.of(new)
-                ends = np.cumsum(grams.length[new])
-                sums = np.add.reduceat(w[f], ends - grams.length[new]) if len(languages) else np.empty((len(new), 0))
-                state["sums"] = np.r_[state["sums"], np.c_[sums, grams.length[new]]]
-            has = np.flatnonzero(lengths)
-            starts = (np.cumsum(lengths) - lengths)[has]
-            total = np.add.reduceat(state["sums"][ids], starts) if len(has) else np.empty((0, len(languages) + 1))
             out, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            if languages and len(has):
-                p = _softmax((total[:, :-1] / total[:, -1:] + b) / temperature)
-                for i, row in zip(has.tolist(), p, strict=True):
-                    if _LETTER.search(texts[i]):
-                        out[i], score[i] = languages[int(row.argmax())], row.max()
+            if languages:
+                total, number = chargrams.sums(texts, SIZES, BITS, tables)
+                p = _softmax((total / np.maximum(1, number)[:, None] + b) / temperature)
+                for i, x in enumerate(texts):
+                    if x and _LETTER.search(x):
+                        out[i], score[i] = languages[int(p[i].argmax())], p[i].max()
             return [out, score]
 
         return compute
 
-    return with_columns(docs, make, [("lang_pred", T.StringType()), ("score", T.DoubleType())], text_col)
+    return with_columns(docs, make, [("lang_pred", T.StringType()), ("score", T.DoubleType())], text_col, _BATCH)
 
 
 def identify(docs: DataFrame, modulus: int = 4, held_remainder: int = 2, id_col: str = "doc_id", text_col: str = "text",

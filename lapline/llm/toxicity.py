@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the character n-grams of a text's words, hashed, present or not.  For
+Features are the character n-grams of a text that don't cross words, hashed, present or not.  For
 each feature the log ratio of its shares among toxic and other labelled
 texts is counted over all labelled rows; it scales the feature.  A logistic
 regression on the scaled features is fitted on a bounded sample of the labelled
@@ -17,14 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapline.llm import chargrams
 from lapline.llm.common import pieces, remainder, with_columns
-from lapline.llm.words import NgramTable, WordIds
 
-SIZES, BITS = (3, 6), 18
+SIZES, BITS = (3, 4, 5, 6), 18
 #: Labelled rows of each class that the linear classifier is fitted on.
 SAMPLE_PER_CLASS = 2000
 #: Labelled texts a feature must occur in; rarer ones have ratio 0.
 MIN_TEXTS = 20
+_BATCH = 1 << 19
 SMOOTHING, PENALTY, STEPS = 1.0, 0.3, 200
 #: Largest label table that is broadcast; beyond it labels and texts meet by a shuffled join.
 BROADCAST_LABELS = 2_000_000
@@ -35,20 +36,14 @@ class Model(NamedTuple):
     bias: float
 
 
-def _vocabulary():
-    return WordIds(100_000), NgramTable(*SIZES, BITS)
+def _features(texts: list[str | None], scratch: np.ndarray):
+    """The distinct features of each text."""
+    for f in chargrams.by_text(texts, SIZES, BITS, within_words=True):
+        yield chargrams.distinct(f, scratch)
 
 
-def _features(words: WordIds, grams: NgramTable, texts: list[str | None]):
-    """The distinct features of each text."""
-    if words.reset_if_full():
-        grams.clear()
-    ids, lengths = words.ids([(x or "").lower().split() for x in texts])
-    grams.extend(words.words)
-    at = 0
-    for m in lengths.tolist():
-        yield np.unique(grams.of(np.unique(ids[at:at + m])))
-        at += m
+def _scratch() -> np.ndarray:
+    return np.zeros(1 << BITS, np.int32)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -66,11 +61,11 @@ def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     """The ratio of each feature over all (text, toxic) rows, and the number of rows of both classes."""
 
     def count(batches):
-        (words, grams), n, texts = _vocabulary(), np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
+        scratch, n, texts = _scratch(), np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", _BATCH):
                 toxic = np.asarray(batch.column(1))
-                for f, c in zip(_features(words, grams, batch.column(0).to_pylist()), toxic.tolist(), strict=True):
+                for f, c in zip(_features(batch.column(0).to_pylist(), scratch), toxic.tolist(), strict=True):
                     n[c, f] += 1
                     texts[c] += 1
         has = np.flatnonzero(n.any(axis=0))
@@ -97,10 +92,10 @@ def labelled_sample(rows: DataFrame, per_class: int, counts: tuple[int, int]) ->
         F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 20)) < F.least(F.lit(1.0), share) * (1 << 20))
 
     def read(batches):
-        words, grams = _vocabulary()
+        scratch = _scratch()
         for whole in batches:
-            for batch in pieces(whole, "text"):
-                found = [f.astype(np.int32).tobytes() for f in _features(words, grams, batch.column(1).to_pylist())]
+            for batch in pieces(whole, "text", _BATCH):
+                found = [f.tobytes() for f in _features(batch.column(1).to_pylist(), scratch)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["toxic", "features"])
 
     return drawn.mapInArrow(read, "toxic int, features binary").collect()
@@ -157,17 +152,17 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def make():
         weights, bias = sent.value
-        words, grams = _vocabulary()
+        weights, scratch = weights.astype(np.float32), _scratch()
 
         def compute(batch):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            z = np.array([weights[f].sum() for f in _features(words, grams, texts)]) + bias
+            z = np.array([weights[f].sum(dtype=np.float64) for f in _features(texts, scratch)]) + bias
             score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             return [score, (score >= 0.5).astype(np.int32)]
 
         return compute
 
-    return with_columns(docs, make, [("score", T.DoubleType()), ("predicted", T.IntegerType())], text_col)
+    return with_columns(docs, make, [("score", T.DoubleType()), ("predicted", T.IntegerType())], text_col, _BATCH)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_remainder: int = 0, id_col: str = "doc_id",

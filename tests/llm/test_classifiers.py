@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from lapline.llm import langid, toxicity
+from lapline.llm import chargrams, langid, toxicity
 from tests.llm.conftest import SF_MID
 
 
@@ -11,6 +11,28 @@ def fold(doc_id, m):
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % m
 
 
+def features(text, sizes, bits, within_words=False):
+    """One n-gram at a time."""
+    codes = [32 if 9 <= ord(c) <= 13 else ord(c) for c in f" {(text or '').lower()} "]
+    out = []
+    for n in sizes:
+        for i in range(len(codes) - n + 1):
+            if within_words and 32 in codes[i + 1:i + n - 1]:
+                continue
+            h = codes[i] * 0x01000193 % 2**32
+            for k in range(1, n):
+                h = (h ^ (codes[i + k] * (2 * k + 3) % 2**32)) * 0x01000193 % 2**32
+            out.append(((h ^ (h >> 15)) * 0x9E3779B1 % 2**32) >> (32 - bits))
+    return np.array(out, np.int64)
+
+
+def test_grams_of_many_texts_at_once():
+    texts = ["Ab c", None, "", "x", "Größe  und\tMaß\n", "a b", "word"]
+    for sizes, within in (((1, 2, 3), False), ((3, 4, 5, 6), True)):
+        for text, got in zip(texts, chargrams.by_text(texts, sizes, 16, within)):
+            assert got.tolist() == features(text, sizes, 16, within).tolist()
+
+
 def test_language_of_held_out_texts(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
@@ -26,22 +48,20 @@ def test_language_of_held_out_texts(spark):
 def test_document_frequencies_are_exact(spark, documents):
     texts = [r["text"] for r in documents.collect()]
     df, n = langid.document_frequencies(documents.select("text").repartition(3))
-    grams = langid.NgramTable(*langid.SIZES, langid.BITS)
     plain = np.zeros_like(df)
     for t in texts:
-        plain[list({f for w in set((t or "").lower().split()) for f in grams.features(w)})] += 1
+        plain[np.unique(features(t, langid.SIZES, langid.BITS))] += 1
     assert n == len(texts) and (df == plain).all()
 
 
 def test_score_is_the_linear_model_of_whole_text(spark, documents):
     model = langid.train(documents)
     found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(documents, model).collect()}
-    grams = langid.NgramTable(*langid.SIZES, langid.BITS)
     for r in documents.collect():
-        f = [x for w in r["text"].lower().split() for x in grams.features(w)]
+        f = features(r["text"], langid.SIZES, langid.BITS)
         p = langid._softmax((model.weights[f].sum(axis=0) / len(f) + model.bias) / model.temperature)
         lang, score = found[r["doc_id"]]
-        assert lang == model.languages[int(p.argmax())] and abs(score - p.max()) < 1e-9
+        assert lang == model.languages[int(p.argmax())] and abs(score - p.max()) < 1e-4
 
 
 def test_weights_are_sparse(spark, documents):
@@ -77,10 +97,9 @@ def test_ratios_are_exact(spark, documents):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     rows = toxicity.labelled(documents, labels)
     ratio, none, toxic = toxicity.log_count_ratios(rows.repartition(3))
-    grams = toxicity.NgramTable(*toxicity.SIZES, toxicity.BITS)
     n, texts = np.zeros((2, 1 << toxicity.BITS)), [0, 0]
     for r in rows.collect():
-        n[r["toxic"], list({f for w in r["text"].lower().split() for f in grams.features(w)})] += 1
+        n[r["toxic"], np.unique(features(r["text"], toxicity.SIZES, toxicity.BITS, True))] += 1
         texts[r["toxic"]] += 1
     share = (n + 1) / (n + 1).sum(axis=1, keepdims=True)
     assert [none, toxic] == texts
