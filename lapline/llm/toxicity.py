@@ -22,9 +22,11 @@ from lapline.llm.common import pieces, remainder, with_columns
 
 SIZES, BITS = (3, 4, 5, 6), 18
 #: Labelled rows of each class that the linear classifier is fitted on.
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 1000
 #: Labelled texts a feature must occur in; rarer ones have ratio 0.
 MIN_TEXTS = 20
+#: Ratios nearer to 0 than this (in nats) count as 0.
+MIN_RATIO = 0.5
 _BATCH = 1 << 19
 SMOOTHING, PENALTY, STEPS = 1.0, 0.3, 200
 #: Largest label table that is broadcast; beyond it labels and texts meet by a shuffled join.
@@ -80,22 +82,24 @@ def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     n[0, found["feature"][real]] = found["n0"][real]
     n[1, found["feature"][real]] = found["n1"][real]
     share = (n + SMOOTHING) / (n + SMOOTHING).sum(axis=1, keepdims=True)
-    ratio = np.where(n.sum(axis=0) >= MIN_TEXTS, np.log(share[1] / share[0]), 0.0)
+    ratio = np.log(share[1] / share[0])
+    ratio = np.where((n.sum(axis=0) >= MIN_TEXTS) & (np.abs(ratio) >= MIN_RATIO), ratio, 0.0)
     none, toxic = (int(found[c][~real].sum()) for c in ("n0", "n1"))
     return ratio, none, toxic
 
 
-def labelled_sample(rows: DataFrame, per_class: int, counts: tuple[int, int]) -> list:
-    """About ``per_class`` rows of either class, by a hash of the text, as (toxic, features)."""
+def labelled_sample(rows: DataFrame, per_class: int, counts: tuple[int, int], ratio: np.ndarray) -> list:
+    """About ``per_class`` rows of either class, by a hash of the text, as (toxic, features whose ratio isn't 0)."""
+    sent = rows.sparkSession.sparkContext.broadcast(ratio != 0)
     share = F.when(F.col("toxic") == 1, per_class / max(1, counts[1])).otherwise(per_class / max(1, counts[0]))
     drawn = rows.select("toxic", "text").where(
         F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 20)) < F.least(F.lit(1.0), share) * (1 << 20))
 
     def read(batches):
-        scratch = _scratch()
+        scratch, used = _scratch(), sent.value
         for whole in batches:
             for batch in pieces(whole, "text", _BATCH):
-                found = [f.tobytes() for f in _features(batch.column(1).to_pylist(), scratch)]
+                found = [f[used[f]].tobytes() for f in _features(batch.column(1).to_pylist(), scratch)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["toxic", "features"])
 
     return drawn.mapInArrow(read, "toxic int, features binary").collect()
@@ -105,11 +109,11 @@ def _fit(features: list[np.ndarray], truth: np.ndarray, ratio: np.ndarray) -> tu
     """Logistic regression on the scaled features, by full-batch gradient steps with momentum."""
     used = np.unique(np.concatenate(features)) if features else np.empty(0, np.int64)
     used = used[ratio[used] != 0]
-    place = np.full(len(ratio), -1)
-    place[used] = np.arange(len(used))
+    place = np.full(len(ratio), -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
     rows = [place[f][place[f] >= 0] for f in features]
     lengths = np.array([len(r) for r in rows])
-    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), lengths)
+    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
     scale = ratio[used]
     w, b = np.zeros(len(used)), 0.0
     v, vb = np.zeros_like(w), 0.0
@@ -134,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ratio, none, toxic = log_count_ratios(rows)
     if not none or not toxic:
         return Model(np.zeros(1 << BITS), float(np.log((toxic + 1) / (none + 1))))
-    drawn = sorted(labelled_sample(rows, per_class, (none, toxic)), key=lambda r: (r["toxic"], r["features"]))
+    drawn = sorted(labelled_sample(rows, per_class, (none, toxic), ratio), key=lambda r: (r["toxic"], r["features"]))
     truth = np.array([r["toxic"] for r in drawn], float)
     if not 0 < truth.sum() < len(truth):
         return Model(ratio / 10, float(np.log(toxic / none)))
