@@ -17,10 +17,16 @@ from pyspark.sql import types as T
 
 
 _shipped: set[str] = set()
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once for each application, as ``--py-files`` would."""
+    """Send this package's code to the executors, once for each application, as ``--py-files`` would.
+
+    Texts are long, so Arrow batches get fewer rows unless the session says otherwise.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":  # Spark's default
+        spark.conf.set(_BATCH_ROWS, "1000")
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -34,13 +35,25 @@ CAPACITY = 2048
 END_ID = 0
 #: Words, their punctuation and white space: a byte-level BPE never merges across these borders.
 _CHUNK = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ ,.|\n]|\Z)|[,.]+(?=[ \n]|\Z)| ?\S+|\s+(?!\S)|\s+")
+#: One word of the tokenizer's own splitting: the merges alone make its ids.
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: The byte-level alphabet: printable bytes stand for themselves, the others, in order, for code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 #: White space to Python's ``re`` but not to the tokenizer; texts with these are encoded whole.
 _ODD = re.compile("[\x1c-\x1f]")
 #: Chunks in each of the two generations that a worker keeps.
-_CACHE_LIMIT = 450_000
+_CACHE_LIMIT = 300_000
 _tokenizers: dict[str, tuple] = {}
 
 
+def _byte_level(text: str) -> str:
+    """A word of ``_LETTERS`` in the byte-level alphabet."""
+    if text.isascii():
+        return text.replace(" ", chr(_BYTE_LEVEL[32]))
+    return text.encode().decode("latin-1").translate(_BYTE_LEVEL)
+
+
 def _encoder(path: str):
     """texts -> little-endian 32-bit ids of each; chunks that come again are encoded once (two generations of a bounded table)."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -52,9 +65,15 @@ def _encoder(path: str):
         _tokenizers[path] = made, {}, {}
     tokenizer, known, older = _tokenizers[path]
 
+    bpe = tokenizer.model.tokenize
+
     def ids(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out = [array("I", [t.id for t in bpe(_byte_level(x))]).tobytes()
+               if _LETTERS.fullmatch(x) else None for x in texts]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
 
     def encode(texts: list[str]) -> list[bytes]:
         if len(known) > _CACHE_LIMIT:
@@ -90,7 +109,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
 
         encode, row = _encoder(tokenizer_path), TaskContext.get().partitionId() << 33
         for whole in batches:
-            for batch in pieces(whole, "text", 4 << 20):
+            for batch in pieces(whole, "text", 1 << 20):
                 out = [[] for _ in range(7)]
                 encoded = encode([x or "" for x in batch.column(1).to_pylist()])
                 for doc, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
