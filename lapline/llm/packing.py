@@ -18,6 +18,7 @@ rank in the broadcast runs, whose number is bounded by the capacity alone.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -44,50 +45,63 @@ _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not i
 _ODD = re.compile("[\x1c-\x1f]")
 #: Chunks in each of the two generations that a worker keeps.
 _CACHE_LIMIT = 300_000
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict = {}
 
 
-def _byte_level(text: str) -> str:
-    """A word of ``_LETTERS`` in the byte-level alphabet."""
-    if text.isascii():
-        return text.replace(" ", chr(_BYTE_LEVEL[32]))
-    return text.encode().decode("latin-1").translate(_BYTE_LEVEL)
+def _merger(tokenizer):
+    """word -> ids by tiktoken's merges, if they must equal the tokenizer's: its ids rise in the order of its merges."""
+    import tiktoken
+
+    model = json.loads(tokenizer.to_str())["model"]
+    vocab = model.get("vocab", {})
+    merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model.get("merges", [])]
+    byte_of = {chr(_BYTE_LEVEL.get(b, b)): b for b in range(256)}
+    plain = {t: i for t, i in vocab.items() if t and all(c in byte_of for c in t)}
+    made = set(merged)
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in plain.items() if len(t) == 1 or i in made}
+    if None in merged or merged != sorted(merged) or not {bytes([b]) for b in range(256)} <= ranks.keys() \
+            or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")):
+        return None
+    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
+class _Chunks(dict):
+    """chunk -> its ids, little-endian in 32 bits; two generations of a bounded table."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.merge, self.older = tokenizer, _merger(tokenizer), {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = array("I", self.merge(chunk)).tobytes() if self.merge and _LETTERS.fullmatch(chunk) else self.whole(chunk)
+        self[chunk] = ids
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def turn(self) -> None:
+        if len(self) > _CACHE_LIMIT:
+            self.older = dict(self)
+            self.clear()
 
 
 def _encoder(path: str):
-    """texts -> little-endian 32-bit ids of each; chunks that come again are encoded once (two generations of a bounded table)."""
+    """texts -> little-endian 32-bit ids of each; the tokenizer and its table of chunks are a worker's."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
         made = Tokenizer.from_file(path)
         made.encode_special_tokens = True
-        _tokenizers[path] = made, {}, {}
-    tokenizer, known, older = _tokenizers[path]
-
-    bpe = tokenizer.model.tokenize
-
-    def ids(texts: list[str]) -> list[bytes]:
-        out = [array("I", [t.id for t in bpe(_byte_level(x))]).tobytes()
-               if _LETTERS.fullmatch(x) else None for x in texts]
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, "<u4").tobytes()
-        return out
+        _tokenizers[path] = _Chunks(made)
+    chunks = _tokenizers[path]
 
     def encode(texts: list[str]) -> list[bytes]:
-        if len(known) > _CACHE_LIMIT:
-            older.clear()
-            older.update(known)
-            known.clear()
-        parts = [None if _ODD.search(x) else _CHUNK.findall(x) for x in texts]
-        new = set().union(*(p for p in parts if p)).difference(known)
-        again = new.intersection(older)
-        known.update(zip(again, map(older.__getitem__, again), strict=True))
-        new = list(new - again)
-        known.update(zip(new, ids(new), strict=True))
-        return [b"".join(map(known.__getitem__, p)) if p is not None else ids([x])[0]
-                for p, x in zip(parts, texts, strict=True)]
+        chunks.turn()
+        return [chunks.whole(x) if _ODD.search(x) else b"".join(map(chunks.__getitem__, _CHUNK.findall(x))) for x in texts]
 
     return encode
 

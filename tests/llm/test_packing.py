@@ -78,6 +78,16 @@ def test_white_space_and_marks_are_tokenised_alike(spark):
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_go_through_the_same_merges(spark, documents):
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    merge = packing._merger(tokenizer)
+    assert merge
+    words = {w for r in documents.collect() for w in packing._CHUNK.findall(r["text"]) if packing._LETTERS.fullmatch(w)}
+    assert len(words) > 5000
+    for w in words:
+        assert merge(w) == tokenizer.encode(w, add_special_tokens=False).ids
+
+
 def test_ids_come_back(spark, documents):
     found = packing.pack_documents(documents.limit(20), with_ids=True).collect()
     assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in found)
