@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapline.session import ensure_checkpoint_dir
+
 
 _shipped: set[str] = set()
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -36,13 +38,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; it must be set."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset, a local session gets its own."""
+    ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:

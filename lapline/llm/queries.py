@@ -75,8 +75,8 @@ ORACLES: dict[str, str] = {
         WITH RECURSIVE v AS (
             SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
             WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-              AND list_aggregate(list_transform(embedding, x -> CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0
-              AND list_aggregate(list_transform(embedding, x -> abs(x)), 'max') > 0),
+              AND list_aggregate(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0
+              AND list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') > 0),
         link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
                  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
                  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
@@ -110,9 +110,9 @@ ORACLES: dict[str, str] = {
         FROM q""",
     "op8_topk_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
             WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
-              AND list_aggregate(list_transform(embedding, x -> CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0),
+              AND list_aggregate(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0),
         s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_dot_product(a.e, b.e)::BIGINT AS score
               FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
         r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
