@@ -85,6 +85,7 @@ class BinaryClassifier:
     scale_pos_weight: float = 1.0
     scale_columns: tuple[str, ...] = ()
     step_size: float = 0.3
+    fit_intercept: bool = False  # the logistic kind only
 
     def _estimator(self, weight_col: str | None, n_train_weight: float):
         common = dict(featuresCol="__x", labelCol=self.label, probabilityCol="__prob",
@@ -94,7 +95,7 @@ class BinaryClassifier:
         if self.kind == "tree":
             return DecisionTreeClassifier(maxDepth=self.max_depth, maxBins=256, seed=SEED, **common)
         if self.kind == "logistic":
-            return LogisticRegression(fitIntercept=False, standardization=False, maxIter=1000,
+            return LogisticRegression(fitIntercept=self.fit_intercept, standardization=False, maxIter=1000,
                                       regParam=1.0 / (self.C * n_train_weight),
                                       elasticNetParam=0.0, tol=1e-10, **common)
         if self.kind == "forest":
@@ -210,7 +211,7 @@ class StackingClassifier:
                 *keys, F.col("probability").alias(f"__p_{name}"))
             meta_in = meta_in.join(oof, keys, "inner")
         meta = BinaryClassifier("logistic", [f"__p_{n}" for n in names], class_weight=None,
-                                C=1.0, label=self.label)
+                                C=1.0, label=self.label, fit_intercept=True)
         meta_model = meta.fit(meta_in)
         fitted = [est.fit(train) for _, est in bases]
         return StackingModel(fitted, meta_model, names)
@@ -290,7 +291,7 @@ class TyreSvm:
         df = balanced_weight_column(indexer.transform(train), "__y")
         total_w = df.agg(F.sum(W)).first()[0]
         svc = LinearSVC(regParam=1.0 / (self.C * total_w), standardization=False, maxIter=100,
-                        weightCol=W, tol=1e-3)  # the reference SVC's stopping tolerance
+                        weightCol=W, tol=1e-6)
         ovr = OneVsRest(classifier=svc, featuresCol="__x", labelCol="__y",
                         predictionCol="__pred", weightCol=W, parallelism=3)
         design = proto._design(df).persist(StorageLevel.MEMORY_AND_DISK)

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from lapline.models.mixture import fit_gaussian_mixture
 
 DEFAULT_SEED = 0
-EXACT_SILHOUETTE_MAX_ROWS = 200_000
 # EM stopping rule of the reference's mixture defaults (100 iterations, 1e-3)
 GMM_MAX_ITER = 100
 GMM_TOL = 1e-3
@@ -44,8 +43,9 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "") -> Data
 
 
 def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
+    """Columns as one vector; a null value raises, no row is dropped."""
     return VectorAssembler(inputCols=list(columns), outputCol=name,
-                           handleInvalid="skip").transform(df)
+                           handleInvalid="error").transform(df)
 
 
 def fit_pca(df: DataFrame, columns: Sequence[str], n_components: int = 2,
@@ -83,66 +83,14 @@ def fit_kmeans(df: DataFrame, columns: Sequence[str], n_clusters: int = 3,
     return model.transform(vec).drop("__v")
 
 
-def silhouette_squared(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> float:
-    """Linear-time silhouette with squared Euclidean distance (Spark's form)."""
+def silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> float:
+    """U4: mean silhouette in Spark's linear-time form, on squared Euclidean distances."""
     vec = assemble(df, columns, "__v")
     ev = ClusteringEvaluator(featuresCol="__v", predictionCol=cluster,
                              distanceMeasure="squaredEuclidean")
     return float(ev.evaluate(vec))
 
 
-def silhouette_exact(df: DataFrame, columns: Sequence[str], cluster: str = "cluster",
-                     max_rows: int = EXACT_SILHOUETTE_MAX_ROWS) -> float:
-    """U4: mean silhouette with plain Euclidean distance.
-
-    Exact silhouette needs every pairwise distance, so the reference set
-    is broadcast to the tasks, which is only done below a proven row bound
-    (counted first); the per-row sums run in parallel over the partitions
-    in Arrow batches.  Above the bound use ``silhouette_squared``.
-    """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"exact silhouette needs all pairs; {n} rows > {max_rows}. "
-                         "Use silhouette_squared for the linear-time form.")
-    pts = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"),
-                    F.col(cluster).cast("int").alias("c")).toPandas()
-    X = np.array(pts["x"].tolist(), dtype=float).reshape(len(pts), len(columns))
-    labels = pts["c"].to_numpy()
-    spark = df.sparkSession
-    bx = spark.sparkContext.broadcast((X, labels))
-    ids = np.unique(labels)
-
-    def per_row(batches):
-        import pandas as pd
-
-        Xa, La = bx.value
-        sizes = {c: int((La == c).sum()) for c in ids}
-        for b in batches:
-            xb = np.array(b["x"].tolist(), dtype=float).reshape(len(b), len(columns))
-            cb = b["c"].to_numpy()
-            d = np.sqrt(((xb[:, None, :] - Xa[None, :, :]) ** 2).sum(axis=2))
-            sums = np.stack([d[:, La == c].sum(axis=1) for c in ids], axis=1)
-            s = np.zeros(len(b))
-            for i in range(len(b)):
-                own = int(np.where(ids == cb[i])[0][0])
-                n_own = sizes[cb[i]]
-                if n_own <= 1:
-                    continue
-                a = sums[i, own] / (n_own - 1)
-                others = [sums[i, j] / sizes[c] for j, c in enumerate(ids) if j != own]
-                if not others:
-                    continue
-                bb = min(others)
-                s[i] = (bb - a) / max(a, bb) if max(a, bb) > 0 else 0.0
-            yield pd.DataFrame({"s": s})
-
-    rows = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"),
-                     F.col(cluster).cast("int").alias("c"))
-    val = rows.mapInPandas(per_row, "s double").agg(F.avg("s")).first()[0]
-    bx.unpersist()
-    return float(val)
-
-
 def fit_gmm(df: DataFrame, columns: Sequence[str], n_components: int = 3,
             seed: int = DEFAULT_SEED, name: str = "cluster"):
     """U5 + U6: full-covariance EM mixture (``lapline.models.mixture``);
@@ -165,15 +113,4 @@ def select_n_components_by_bic(df: DataFrame, columns: Sequence[str],
     return df.sparkSession.createDataFrame(rows, "k int, bic double")
 
 
-def embedding_columns(df: DataFrame, column: str = "embedding", dim: int | None = None,
-                      prefix: str = "e") -> tuple[DataFrame, list[str]]:
-    """Array column -> one double column per dimension (for the scalers)."""
-    if dim is None:
-        dim = df.select(F.size(column)).first()[0]
-    cols = [f"{prefix}{i}" for i in range(dim)]
-    return df.select("*", *[F.col(column)[i].cast("double").alias(c)
-                            for i, c in enumerate(cols)]).drop(column), cols
-
-
-__all__ = ["standardize", "fit_pca", "fit_kmeans", "silhouette_squared", "silhouette_exact",
-           "fit_gmm", "select_n_components_by_bic", "embedding_columns"]
+__all__ = ["standardize", "fit_pca", "fit_kmeans", "silhouette", "fit_gmm", "select_n_components_by_bic"]

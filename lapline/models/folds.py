@@ -1,127 +1,73 @@
 """Group-aware fold assignment (K1, K2) and out-of-fold scoring (K3, K4).
 
-Fold assignment is a greedy pass over *groups* (drivers), not rows: the
-per-group counts are one distributed aggregation, the greedy runs on the
-driver over at most ``max_exact_groups`` groups (the largest ones), and
-the resulting (group, fold) table -- bounded by that limit -- is broadcast
-back.  Groups beyond the limit are each smaller than every exactly placed
-group and are spread by a hash of the group key.
+Groups are ranked once, in a distributed sort of one row per group, and
+dealt to the folds in a snake: 0, 1, ..., k-1, k-1, ..., 1, 0, 0, 1, ...
+K1 ranks by (rows descending, group), K2 by (rows of the rarest class
+descending, rows descending, group).  The rule is the same at every number
+of groups and classes; nothing is collected, and the (group, fold) table
+meets the rows in a plain join.  A null group is a group of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from lapline.operators.prefix import global_rank
 from lapline.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_EXACT_GROUPS = 100_000
 
+def snake_fold(rank: Column, n_splits: int) -> Column:
+    """Fold of a rank: rows of ``n_splits`` ranks, dealt forth and back in turn."""
+    place = rank % n_splits
+    turn = F.floor(rank / n_splits) % 2
+    return F.when(turn == 0, place).otherwise(n_splits - 1 - place).cast("int")
 
-def _hash_fold(group: str, n_splits: int):
-    return F.pmod(F.xxhash64(F.col(group)), F.lit(n_splits)).cast("int")
 
+def _dealt(groups: DataFrame, order: list[Column], group: str, n_splits: int) -> DataFrame:
+    table = global_rank(groups, order, "__rank")
+    number = table.count()
+    if number and n_splits > number:
+        raise ValueError(f"Cannot have number of splits n_splits={n_splits} greater "
+                         f"than the number of groups: {number}.")
+    return table.select(group, snake_fold(F.col("__rank"), n_splits).alias("fold"))
 
-def _attach(df: DataFrame, table: DataFrame, group: str, n_splits: int, complete: bool,
-            name: str) -> DataFrame:
-    j = df.join(F.broadcast(table.withColumnRenamed("fold", "__fold")), group, "left")
-    fold = F.col("__fold") if complete else F.coalesce(F.col("__fold"), _hash_fold(group, n_splits))
-    return j.withColumn(name, fold.cast("int")).drop("__fold")
 
+def group_kfold_table(df: DataFrame, group: str = "group", n_splits: int = 5) -> DataFrame:
+    """K1: (group, fold), groups dealt by descending size."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
+    return _dealt(counts, [F.col("__n").desc(), F.col(group).asc()], group, n_splits)
 
-def _group_counts(df: DataFrame, group: str, max_exact: int):
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.col("n").desc(), F.col(group).desc()).limit(max_exact + 1).collect()
-    complete = len(top) <= max_exact
-    return counts, top[:max_exact], complete
 
+def stratified_group_kfold_table(df: DataFrame, group: str = "group", label: str = "label",
+                                 n_splits: int = 5) -> DataFrame:
+    """K2: (group, fold), groups dealt by their rows of the rarest class (the
+    smallest label on ties), then by size."""
+    rarest = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("__n")) \
+        .orderBy("__n", label).first()
+    positive = F.col(label) == F.lit(rarest[0]) if rarest else F.lit(False)
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), F.count(F.when(positive, 1)).alias("__p"))
+    return _dealt(counts, [F.col("__p").desc(), F.col("__n").desc(), F.col(group).asc()], group, n_splits)
 
-def group_kfold_table(df: DataFrame, group: str = "group", n_splits: int = 5,
-                      max_exact_groups: int = DEFAULT_MAX_EXACT_GROUPS):
-    """K1 greedy: groups by descending size, each to the currently lightest
-    fold (lowest index on ties).  Returns (table, complete)."""
-    _, top, complete = _group_counts(df, group, max_exact_groups)
-    if complete and n_splits > len(top):
-        raise ValueError(f"Cannot have number of splits n_splits={n_splits} greater "
-                         f"than the number of groups: {len(top)}.")
-    load = np.zeros(n_splits)
-    rows = []
-    for r in top:
-        f = int(np.argmin(load))
-        load[f] += r["n"]
-        rows.append((r[group], f))
-    spark = df.sparkSession
-    gtype = df.schema[group].dataType
-    schema = T.StructType([T.StructField(group, gtype), T.StructField("fold", T.IntegerType())])
-    return spark.createDataFrame(rows, schema), complete
-
-
-def group_kfold(df: DataFrame, group: str = "group", n_splits: int = 5, name: str = "fold",
-                max_exact_groups: int = DEFAULT_MAX_EXACT_GROUPS) -> DataFrame:
-    """K1: add a fold column such that no group is in two folds."""
-    table, complete = group_kfold_table(df, group, n_splits, max_exact_groups)
-    return _attach(df, table, group, n_splits, complete, name)
-
-
-def _stratified_assign(counts: np.ndarray, n_splits: int) -> np.ndarray:
-    """Greedy of StratifiedGroupKFold (no shuffle): groups ordered by
-    descending std of their class counts (stable), each to the fold that
-    minimises the mean over classes of the std across folds of the class
-    share; near-ties go to the fold with fewer samples."""
-    y_cnt = counts.sum(axis=0)
-    per_fold = np.zeros((n_splits, counts.shape[1]))
-    order = np.argsort(-np.std(counts, axis=1), kind="mergesort")
-    assign = np.zeros(len(counts), dtype=int)
-    for g in order:
-        best, best_eval, best_n = None, np.inf, np.inf
-        for i in range(n_splits):
-            per_fold[i] += counts[g]
-            ev = float(np.mean(np.std(per_fold / y_cnt.reshape(1, -1), axis=0)))
-            per_fold[i] -= counts[g]
-            n_i = per_fold[i].sum()
-            if ev < best_eval or (np.isclose(ev, best_eval) and n_i < best_n):
-                best, best_eval, best_n = i, ev, n_i
-        per_fold[best] += counts[g]
-        assign[g] = best
-    return assign
 
+def attach_folds(df: DataFrame, table: DataFrame, group: str = "group", name: str = "fold") -> DataFrame:
+    """Add the fold of each row's group."""
+    t = table.select(F.col(group).alias("__group"), F.col("fold").alias("__fold"))
+    return df.join(t, df[group].eqNullSafe(t["__group"]), "left") \
+        .withColumn(name, F.col("__fold")).drop("__group", "__fold")
 
-def stratified_group_kfold_table(df: DataFrame, group: str = "group", label: str = "label",
-                                 n_splits: int = 5,
-                                 max_exact_groups: int = DEFAULT_MAX_EXACT_GROUPS):
-    """K2: per-group class counts (one pivot aggregation), greedy on the
-    driver over the largest ``max_exact_groups`` groups."""
-    classes = sorted(r[0] for r in df.select(label).distinct().limit(10_001).collect())
-    if len(classes) > 10_000:
-        raise ValueError("too many classes for stratification")
-    piv = (df.groupBy(group).pivot(label, classes).agg(F.count(F.lit(1))).na.fill(0))
-    cls_cols = [str(c) for c in classes]
-    total = sum((F.col(f"`{c}`") for c in cls_cols), F.lit(0))
-    top = (piv.withColumn("__n", total).orderBy(F.col("__n").desc(), F.col(group).asc())
-           .limit(max_exact_groups + 1).collect())
-    complete = len(top) <= max_exact_groups
-    top = sorted(top[:max_exact_groups], key=lambda r: r[group])  # np.unique order
-    if complete and n_splits > len(top):
-        raise ValueError(f"Cannot have number of splits n_splits={n_splits} greater "
-                         f"than the number of groups: {len(top)}.")
-    counts = np.array([[r[c] for c in cls_cols] for r in top], dtype=float)
-    assign = _stratified_assign(counts, n_splits) if len(top) else np.array([], dtype=int)
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField(group, df.schema[group].dataType),
-                           T.StructField("fold", T.IntegerType())])
-    rows = [(r[group], int(a)) for r, a in zip(top, assign)]
-    return spark.createDataFrame(rows, schema), complete
+
+def group_kfold(df: DataFrame, group: str = "group", n_splits: int = 5, name: str = "fold") -> DataFrame:
+    """K1: add a fold column such that no group is in two folds."""
+    return attach_folds(df, group_kfold_table(df, group, n_splits), group, name)
 
 
 def stratified_group_kfold(df: DataFrame, group: str = "group", label: str = "label",
-                           n_splits: int = 5, name: str = "fold",
-                           max_exact_groups: int = DEFAULT_MAX_EXACT_GROUPS) -> DataFrame:
-    table, complete = stratified_group_kfold_table(df, group, label, n_splits, max_exact_groups)
-    return _attach(df, table, group, n_splits, complete, name)
+                           n_splits: int = 5, name: str = "fold") -> DataFrame:
+    """K2: as K1, with the rarest class spread evenly."""
+    return attach_folds(df, stratified_group_kfold_table(df, group, label, n_splits), group, name)
 
 
 def out_of_fold(df: DataFrame, fit: Callable[[DataFrame], object], fold: str = "fold",
@@ -138,8 +84,12 @@ def out_of_fold(df: DataFrame, fit: Callable[[DataFrame], object], fold: str = "
 
     from pyspark import StorageLevel
 
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    folds = sorted(r[0] for r in base.select(fold).distinct().collect())
+    cached = df.is_cached  # a caller's cache stays
+    base = df if cached else df.persist(StorageLevel.MEMORY_AND_DISK)
+    folds = [r[0] for r in base.select(fold).distinct().collect()]
+    if None in folds:
+        raise ValueError(f"{fold} must not be null")
+    folds.sort()
 
     def one(f):
         model = fit(base.where(F.col(fold) != F.lit(f)))
@@ -153,8 +103,9 @@ def out_of_fold(df: DataFrame, fit: Callable[[DataFrame], object], fold: str = "
         out = out.unionByName(p)
     # the OOF table is reused by every metric: write it once to the
     # checkpoint folder (lineage cut, survives executor loss), then release
-    # the cached input
+    # the input if it was cached here
     ensure_checkpoint_dir(df.sparkSession)
     out = out.checkpoint(eager=True)
-    base.unpersist()
+    if not cached:
+        base.unpersist()
     return out

@@ -108,6 +108,10 @@ def fit_gaussian_mixture(df: DataFrame, columns: Sequence[str], n_components: in
     columns = list(columns)
     k, d = n_components, len(columns)
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
+    # second moments are taken about the column means: far from zero they would cancel
+    centre = data.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    centre = np.array([centre[c] or 0.0 for c in columns])
+    data = data.select(*[(F.col(c) - F.lit(float(m))).alias(c) for c, m in zip(columns, centre)])
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     x = [F.col(c) for c in columns]
     # initial responsibilities: one-hot k-means labels
@@ -143,4 +147,5 @@ def fit_gaussian_mixture(df: DataFrame, columns: Sequence[str], n_components: in
         weights, means, covs = _m_step(row, k, d, reg_covar)
         model.weights, model.means, model.covariances = weights, means, covs
     data.unpersist()
+    model.means = model.means + centre
     return model

@@ -14,9 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapline.session import ensure_checkpoint_dir
+
 _R = "__range"
 
 
@@ -61,3 +63,22 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
         *[(F.col(f"__loc_{v}") + F.col(f"__off_{v}")).alias(f"{prefix}{v}") for v in value_cols],
         *[F.col(f"total_{v}") for v in value_cols],
     )
+
+
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """Add ``name``: the row's place, from 0, in the order of ``order``.
+
+    Rows are range-sorted and cut in the checkpoint folder, so that a row
+    keeps its partition; places within a partition are shifted by the row
+    counts of the partitions before it (one row for each partition).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("__pid"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__pos")).checkpoint()
+    before = Window.partitionBy(F.lit(0)).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    # one row for each partition
+    return ordered.join(F.broadcast(offsets), "__pid").withColumn(name, F.col("__off") + F.col("__pos")) \
+        .drop("__pid", "__pos", "__off")

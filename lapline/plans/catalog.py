@@ -309,8 +309,7 @@ def _oof(kind):
         elif kind == "forest":
             est = classify.build_dnf_forest(feats)
         elif kind == "boosting":
-            # the reference's small booster configuration (20 trees, depth 2)
-            est = classify.build_dnf_boosting(feats, classify.default_scale_pos_weight(df), 20, 2)
+            est = classify.build_dnf_boosting(feats, classify.default_scale_pos_weight(df))
         else:
             est = classify.build_dnf_stacking(feats, classify.default_scale_pos_weight(df),
                                               key_columns=("entry_id",))
@@ -335,8 +334,10 @@ def q_tyre_svm(spark, sf):
 
 # -- clustering (U1-U7) ------------------------------------------------------
 
-def _style_scaled(spark, sf):
-    style = features.build_driving_style_features(_lap_summary(spark, sf), relative_to_driver=True)
+def _style_scaled(spark, sf, detrend=False):
+    style = features.build_driving_style_features(_lap_summary(spark, sf), relative_to_driver=not detrend,
+                                                  detrend_lap_number=detrend)
+    # laps without samples of a channel have no place among the vectors
     style = style.na.drop(subset=list(STYLE_COLUMNS))
     # scaling, PCA and the clustering iterations each re-read this table:
     # write it once to the checkpoint folder instead of re-running the
@@ -348,8 +349,7 @@ def _style_scaled(spark, sf):
 
 @register("zscore")
 def q_zscore(spark, sf):
-    return finish(cluster.standardize(_lap_summary(spark, sf).na.drop(subset=list(STYLE_COLUMNS)),
-                                      list(STYLE_COLUMNS)), nudge=NUDGE)
+    return finish(cluster.standardize(_lap_summary(spark, sf), list(STYLE_COLUMNS)), nudge=NUDGE)
 
 
 def _coords(spark, sf):
@@ -382,10 +382,9 @@ def q_gmm_bic(spark, sf):
 @register("silhouette")
 def q_silhouette(spark, sf):
     labelled = cluster.fit_kmeans(_coords(spark, sf), ["pc1", "pc2"], 3).cache()
-    exact = cluster.silhouette_exact(labelled, ["pc1", "pc2"])
-    squared = cluster.silhouette_squared(labelled, ["pc1", "pc2"])
+    value = cluster.silhouette(labelled, ["pc1", "pc2"])
     labelled.unpersist()
-    return spark.createDataFrame([(exact, squared)], "silhouette double, silhouette_squared double")
+    return spark.createDataFrame([(value,)], "silhouette double")
 
 
 # -- documented experiments and profiles (C7, C8, A10, embeddings) ----------
@@ -406,13 +405,13 @@ def q_capacity_sweep(spark, sf):
 def q_feature_ablation(spark, sf):
     season = I.season_results(spark, sf).persist()
     base = features.build_dnf_features(season, keep=("entry_id",))
-    fold_table, complete = folds.stratified_group_kfold_table(base, "group", "label", 5)
+    fold_table = folds.stratified_group_kfold_table(base, "group", "label", 5)
     tables = {}
     for name, rel, circ in (("base", False, False), ("reliability", True, False),
                             ("reliability_circuit", True, True)):
         df = features.build_dnf_features(season, include_team_reliability=rel,
                                          include_circuit_type=circ, keep=("entry_id",))
-        df = folds._attach(df, fold_table, "group", 5, complete, "fold")
+        df = folds.attach_folds(df, fold_table)
         feats = _dnf_feats(df) + [c for c in ("team_reliability", "is_street_circuit") if c in df.columns]
         tables[name] = (df, feats)
     builders = {"tree": lambda f, d: classify.build_dnf_tree(f),
@@ -424,8 +423,14 @@ def q_feature_ablation(spark, sf):
 
 @register("compound_spread")
 def q_compound_spread(spark, sf):
-    labelled = cluster.fit_kmeans(_coords(spark, sf), ["pc1", "pc2"], 3)
-    return profile.compound_spread(profile.cluster_crosstab(labelled))
+    """Spread of the two-component mixture on driver-centred and on detrended laps."""
+    out = []
+    for name, detrend in (("centered", False), ("detrended", True)):
+        coords, _ = cluster.fit_pca(_style_scaled(spark, sf, detrend), list(STYLE_COLUMNS), 2)
+        _, labelled = cluster.fit_gmm(coords, ["pc1", "pc2"], 2)
+        spread = profile.compound_spread(profile.cluster_crosstab(labelled))
+        out.append(spread.select(F.lit(name).alias("variant"), "*"))
+    return out[0].unionByName(out[1])
 
 
 @register("gmm_top_probability")

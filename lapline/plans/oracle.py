@@ -360,6 +360,16 @@ pl AS (
                          + " FROM pl GROUP BY fold")
     z = ", ".join(f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () > 0 "
                   f"THEN stddev_pop({c}) OVER () ELSE 1 END, 6) AS {c}" for c in STYLE)
-    q["zscore"] = nudged(f"WITH {LAPS}{TEL}, s AS (SELECT * FROM summary WHERE "
-                         + " AND ".join(f"{c} IS NOT NULL" for c in STYLE)
-                         + f") SELECT driver, lap_number, compound, {z} FROM s")
+    q["zscore"] = nudged(f"WITH {LAPS}{TEL} SELECT driver, lap_number, compound, {z} FROM summary")
+    snake = "CAST(CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS INTEGER) AS fold"
+    q["group_folds"] = (
+        "WITH c AS (SELECT 'S' || l_suppkey AS \"group\", count(*) AS n FROM lineitem GROUP BY 1), "
+        "r AS (SELECT *, row_number() OVER (ORDER BY n DESC, \"group\") - 1 AS k FROM c) "
+        f"SELECT \"group\", {snake}, n FROM r")
+    q["stratified_group_folds"] = (
+        f"WITH {RES}, l AS (SELECT driver AS \"group\", CAST(dnf AS DOUBLE) AS label FROM res), "
+        "rare AS (SELECT label FROM l GROUP BY label ORDER BY count(*), label LIMIT 1), "
+        "c AS (SELECT \"group\", count(*) AS n, sum(label) AS positives, "
+        "count(*) FILTER (WHERE label = (SELECT label FROM rare)) AS p FROM l GROUP BY 1), "
+        "r AS (SELECT *, row_number() OVER (ORDER BY p DESC, n DESC, \"group\") - 1 AS k FROM c) "
+        f"SELECT \"group\", {snake}, n, positives FROM r")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,10 +38,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, setting a scratch one only if unset.
+    """Return the checkpoint directory that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is; a private temporary folder is created only for local tests.
+    On a cluster it must be set, to a folder that all machines share; only a
+    local session (one machine, as in tests) gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="lapline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

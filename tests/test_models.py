@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lapline.models import classify, cluster, folds, linear, metrics
+from lapline.models import classify, cluster, folds, linear, metrics, mixture
 
 
 def pace_rows(rng, drivers=6, laps=12, drop_medium=False):
@@ -60,6 +60,57 @@ def test_stratified_group_folds(spark):
     assert max(rates) - min(rates) < 0.15
 
 
+def test_folds_of_null_groups_and_one_rule_at_every_size(spark):
+    rows = [(None if g == 3 else f"g{g:03d}", i) for g in range(200) for i in range(1 + g % 7)]
+    df = spark.createDataFrame(rows, "group string, i int")
+    for deal in (folds.group_kfold(df, "group", 5),
+                 folds.stratified_group_kfold(df.withColumn("label", F.col("i") % 2), "group", "label", 5)):
+        found = deal.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("fold").alias("k"),
+                                          F.min("fold").alias("fold")).collect()
+        assert len(found) == 200 and all(r.k == 1 for r in found) and sum(r.n for r in found) == len(rows)
+        sizes = [r["count"] for r in deal.groupBy("fold").count().collect()]
+        assert max(sizes) - min(sizes) <= 7
+    ranked = sorted(((-r.n, r.group is not None, r.group or "", r.fold) for r in folds.group_kfold(df, "group", 5)
+                     .groupBy("group", "fold").agg(F.count(F.lit(1)).alias("n")).collect()))
+    assert [r[3] for r in ranked[:10]] == [0, 1, 2, 3, 4, 4, 3, 2, 1, 0]
+    with pytest.raises(ValueError):
+        folds.stratified_group_kfold(df.withColumn("label", F.col("i") % 2), "group", "label", 201)
+
+
+def test_a_callers_cache_survives_out_of_fold(spark):
+    df = spark.createDataFrame([(f"g{i % 6}", float(i), float(i % 2), i % 3) for i in range(60)],
+                               "group string, x double, label double, fold int").cache()
+    est = classify.build_dnf_tree(["x"])
+    assert folds.out_of_fold(df, est.fit).count() == 60
+    assert df.is_cached and df.storageLevel.useMemory
+    df.unpersist()
+    assert folds.out_of_fold(df, est.fit).count() == 60
+    assert not df.is_cached
+
+
+def test_stacking_meta_model_has_an_intercept(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, f"g{i % 8}", float(x), float(x + rng.normal() > 1.0)) for i, x in enumerate(rng.normal(size=240))]
+    df = spark.createDataFrame(rows, "row_id long, group string, x double, label double")
+    model = classify.build_dnf_stacking(["x"]).fit(df)
+    assert abs(model.meta.model.intercept) > 1e-6
+    scored = model.transform(df).toPandas()
+    assert scored.probability[scored.label == 1].mean() > scored.probability[scored.label == 0].mean()
+
+
+def test_mixture_far_from_zero(spark):
+    rng = np.random.default_rng(9)
+    x = np.r_[rng.normal(size=(150, 2)), rng.normal(size=(150, 2)) + 12]
+    fits = []
+    for shift in (0.0, 1e8):
+        df = spark.createDataFrame([tuple(map(float, r + shift)) for r in x], "a double, b double")
+        fits.append(mixture.fit_gaussian_mixture(df, ["a", "b"], 2))
+    near, far = (sorted(zip(m.means.tolist(), m.covariances.tolist())) for m in fits)
+    for (m0, c0), (m1, c1) in zip(near, far):
+        assert np.allclose(np.array(m0) + 1e8, m1, atol=1e-3)
+        assert np.allclose(c0, c1, rtol=1e-3, atol=1e-3) and np.linalg.eigvalsh(c1).min() > 0
+
+
 def test_ridge_matches_closed_form_and_lasso_zeroes(spark):
     rng = np.random.default_rng(5)
     Xm = rng.normal(size=(200, 3))
@@ -110,7 +161,7 @@ def test_clustering_blobs(spark):
         tab.setdefault(t, set()).add(c)
     assert all(len(v) == 1 for v in tab.values()) and len({min(v) for v in tab.values()}) == 3
     lab_df = cluster.fit_kmeans(coords, ["pc1", "pc2"], 3)
-    assert cluster.silhouette_exact(lab_df, ["pc1", "pc2"]) > 0.5
+    assert cluster.silhouette(lab_df, ["pc1", "pc2"]) > 0.5
     bic = {r.k: r.bic for r in cluster.select_n_components_by_bic(coords, ["pc1", "pc2"], (1, 2, 3, 4, 5)).collect()}
     assert min(bic, key=bic.get) == 3
     _, g = cluster.fit_gmm(coords, ["pc1", "pc2"], 3)
