@@ -1,4 +1,4 @@
-"""Forward as-of join by key (J1) as a two-phase, skew-safe window plan.
+"""Forward as-of join by key (J1) as a skew-safe window plan.
 
 Semantics: every left row is kept; it receives the carry columns of the
 first right row with the same ``by`` key whose ``on`` value is >= the left
@@ -9,29 +9,33 @@ nulls.
 
 Plan (no Python, no pairs):
 
-1. ``stats``: per key min/max of ``on`` and row count of the left side
-   (partial aggregation, one row per key).  From it each key gets
-   ``ceil(n / rows_per_bucket)`` equal-width time buckets, so a hot key is
-   split into many buckets instead of landing in one task.
-2. Phase 1: union of left rows and right rows; one window per
-   ``(key, bucket)`` ordered by time *descending* carries the nearest right
-   row forward with ``last(ignorenulls)`` -- linear per partition.
-3. Phase 2: left rows still unmatched at the end of their bucket take the
-   first right row of any later bucket of the same key.  That comes from a
-   table with one row per (key, bucket) and a reverse running ``min``.
+1. Layout: one partial aggregation counts the left rows of each key; keys
+   above ``rows_per_bucket`` are cut into equal-depth time buckets
+   (``operators/buckets.py``).  Rows without key or time get salted buckets
+   of their own.
+2. Phase 1: union of left and right rows; one window per ``(key, bucket)``
+   ordered by time *descending* carries the nearest right row forward with
+   ``last(ignorenulls)`` -- linear per partition, one exchange of the left
+   rows.
+3. Phase 2, for keys with several buckets: left rows still unmatched at the
+   end of their bucket take the first right row of any later bucket.  That
+   table is built from the right side alone, one row per bucket.  Without
+   such keys there is no later bucket, and the step is left out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapline.operators.buckets import BUCKET, sized, time_layout
+
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
 _T = "__asof_t"
-_B = "__asof_b"
 _S = "__asof_side"
 _M = "__asof_match"
 _N = "__asof_next"
@@ -55,34 +59,17 @@ def asof_forward(
     if clash:
         raise ValueError(f"carry columns already on the left side: {clash}")
 
-    valid = F.col(on).isNotNull()
-    for k in by:
-        valid = valid & F.col(k).isNotNull()
-    matchable = left.where(valid)
-    unmatchable = left.where(~valid)
-
-    # 1. per-key bucket layout from the left side
-    stats = (
-        matchable.groupBy(*by)
-        .agg(F.min(on).alias("__lo"), F.max(on).alias("__hi"), F.count(F.lit(1)).alias("__n"))
-        .select(
-            *by, "__lo",
-            F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(float(rows_per_bucket)))).cast("long").alias("__nb"),
-            (F.col("__hi") - F.col("__lo")).alias("__span"),
-        )
-    )
-
-    def bucket(t):
-        raw = F.floor((t - F.col("__lo")) * F.col("__nb") / F.col("__span"))
-        clamped = F.least(F.col("__nb") - 1, F.greatest(F.lit(0), raw))
-        return F.when(F.col("__span") > 0, clamped).otherwise(F.lit(0)).cast("long")
-
-    lhs = (
-        matchable.join(stats, by, "inner")
-        .withColumn(_T, F.col(on).cast("double"))
-        .withColumn(_B, bucket(F.col(on).cast("double")))
-        .drop("__lo", "__nb", "__span")
-    )
+    # 1. layout and buckets
+    t = F.col(on).cast("double")
+    layout = time_layout(left, by, t, rows_per_bucket)
+    lhs = layout.assign(left.withColumn(_T, t), F.col(_T))
+    if layout.invalid:
+        valid = F.col(_T).isNotNull()
+        for k in by:
+            valid = valid & F.col(k).isNotNull()
+        salts = math.ceil(layout.invalid / rows_per_bucket)
+        salted = -1 - F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+        lhs = lhs.withColumn(BUCKET, F.when(valid, F.col(BUCKET)).otherwise(salted))
     rvalid = F.col(right_on).isNotNull()
     for k in by:
         rvalid = rvalid & F.col(k).isNotNull()
@@ -91,34 +78,27 @@ def asof_forward(
         *[F.col(c).alias(f"__tie_{i}") for i, c in enumerate(tie)],
         *[F.col(c) for c in carry],
     )
-    rhs = (
-        right.where(rvalid)
-        .select(*by, F.col(right_on).cast("double").alias(_T), match.alias(_M))
-        .join(stats, by, "inner")
-        .withColumn(_B, bucket(F.col(_T)))
-        .select(*by, _T, _B, _M)
-    )
+    rhs = right.where(rvalid).select(*by, F.col(right_on).cast("double").alias(_T), match.alias(_M))
+    rhs = layout.assign(rhs, F.col(_T))
 
     # 2. phase 1: nearest right row at or after each left row, inside the bucket
     match_type = rhs.schema[_M].dataType
     u = lhs.withColumn(_S, F.lit(0)).withColumn(_M, F.lit(None).cast(match_type)).unionByName(
         rhs.withColumn(_S, F.lit(1)), allowMissingColumns=True)
-    w = (Window.partitionBy(*by, _B)
+    single = layout.table is None and not layout.invalid
+    w = (Window.partitionBy(*by, *([] if single else [BUCKET]))
          .orderBy(F.col(_T).desc(), F.col(_S).desc(), F.col(_M).desc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    phase1 = u.withColumn(_L, F.last(_M, ignorenulls=True).over(w))
-
-    # 3. phase 2: first right row of any later bucket of the same key.  The
-    # bucket table is aggregated from the phase-1 output, which is already
-    # hash-partitioned by (key, bucket): no extra exchange, one row per bucket.
-    buckets = phase1.groupBy(*by, _B).agg(F.min(F.when(F.col(_S) == 1, F.col(_M))).alias(_M))
-    wb = Window.partitionBy(*by).orderBy(F.col(_B).desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    nxt = buckets.select(*by, _B, F.min(_M).over(wb).alias(_N))
-    matched = (phase1.where(F.col(_S) == 0).join(nxt, by + [_B], "left")
-               .withColumn(_M, F.coalesce(F.col(_L), F.col(_N))))
-
-    carried = [F.col(f"{_M}.{c}").alias(c) for c in carry]
-    result = matched.select(*[F.col(c) for c in out_cols], *carried)
-    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in carry]
-    return result.unionByName(unmatchable.select(*out_cols, *nulls))
+    matched = u.withColumn(_L, F.last(_M, ignorenulls=True).over(w)).where(F.col(_S) == 0)
+
+    # 3. phase 2: first right row of any later bucket of the same key
+    found = F.col(_L)
+    if layout.table is not None:
+        firsts = rhs.groupBy(*by, BUCKET).agg(F.min(_M).alias(_M))
+        later = (Window.partitionBy(*by).orderBy(F.col(BUCKET).desc())
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        nxt = (layout.buckets().join(firsts, [*by, BUCKET], "left")
+               .select(*by, BUCKET, F.min(_M).over(later).alias(_N)))
+        matched = matched.join(sized(nxt, layout.entries), [*by, BUCKET], "left")
+        found = F.coalesce(found, F.col(_N))
+    return matched.withColumn(_M, found).select(*out_cols, *[F.col(f"{_M}.{c}").alias(c) for c in carry])

@@ -1,12 +1,12 @@
 """Per-key position and predecessor in time order, split for hot keys.
 
 ``row_number()`` and ``lag()`` over ``Window.partitionBy(key)`` put every
-row of a key into one task.  Here each key gets ``ceil(n / rows_per_bucket)``
-equal-width time buckets (from a one-row-per-key aggregate, as in the as-of
-join); numbering and ``lag`` run per (key, bucket), and each bucket is
-shifted by the row count of the earlier buckets of its key, taken from a
-table with one row per bucket.  The predecessor of a bucket's first row is
-the latest time of the earlier buckets.
+row of a key into one task.  Here keys with more than ``rows_per_bucket``
+rows are cut into equal-depth time buckets (``operators/buckets.py``);
+numbering and ``lag`` run per (key, bucket), and each bucket is shifted by
+the row count of the earlier buckets of its key, taken from a table with
+one row per bucket.  The predecessor of a bucket's first row is the latest
+time of the earlier buckets.  Without hot keys one window does it all.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapline.operators.buckets import BUCKET, time_layout
+
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
 
@@ -31,22 +33,18 @@ def number_within_key(df: DataFrame, by: Sequence[str], t: Column, order: Sequen
     maximum of the earlier buckets).
     """
     by = list(by)
-    x = df.withColumn("__t", t)
-    stats = (x.groupBy(*by).agg(F.min("__t").alias("__lo"), F.max("__t").alias("__hi"),
-                                F.count(F.lit(1)).alias("__n"))
-             .select(*by, "__lo", (F.col("__hi") - F.col("__lo")).alias("__span"),
-                     F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(float(rows_per_bucket))))
-                     .cast("long").alias("__nb")))
-    raw = F.floor((F.col("__t") - F.col("__lo")) * F.col("__nb") / F.col("__span"))
-    b = F.when(F.col("__span") > 0, F.least(F.col("__nb") - 1, F.greatest(F.lit(0), raw))).otherwise(0)
-    x = x.join(stats, by, "inner").withColumn("__b", b.cast("long")).drop("__lo", "__span", "__nb")
-    w = Window.partitionBy(*by, "__b").orderBy(*order)
+    layout = time_layout(df, by, t, rows_per_bucket)
+    if layout.table is None:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumn(number, F.row_number().over(w)).withColumn(previous, F.lag(lag_col).over(w))
+    x = layout.assign(df, t)
+    w = Window.partitionBy(*by, BUCKET).orderBy(*order)
     x = x.withColumn("__ln", F.row_number().over(w)).withColumn("__lp", F.lag(lag_col).over(w))
-    per_bucket = x.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"), F.max(lag_col).alias("__mx"))
-    wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*by, "__b", F.coalesce(F.sum("__c").over(wb), F.lit(0)).alias("__off"),
+    per_bucket = x.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("__c"), F.max(lag_col).alias("__mx"))
+    wb = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*by, BUCKET, F.coalesce(F.sum("__c").over(wb), F.lit(0)).alias("__off"),
                                 F.max("__mx").over(wb).alias("__pmx"))
-    x = x.join(offsets, [*by, "__b"], "left")
+    x = x.join(offsets, [*by, BUCKET], "left")
     return (x.withColumn(number, (F.col("__ln") + F.col("__off")).cast("int"))
             .withColumn(previous, F.coalesce(F.col("__lp"), F.col("__pmx")))
-            .drop("__t", "__b", "__ln", "__lp", "__off", "__pmx"))
+            .drop(BUCKET, "__ln", "__lp", "__off", "__pmx"))

@@ -43,19 +43,23 @@ def filter_to_clean_laps(tagged: DataFrame, laps: DataFrame,
     return tagged.join(clean, keys, "left_semi")
 
 
-def summarize_lap_telemetry(tagged: DataFrame, session_keys: Sequence[str] = ()) -> DataFrame:
+def summarize_lap_telemetry(tagged: DataFrame, session_keys: Sequence[str] = (),
+                            unique_laps: bool = False) -> DataFrame:
     """A1: one row per (driver, lap) with six driving statistics.
 
     Samples without a lap (or driver) are dropped, as a pandas groupby
     drops null keys.  ``compound`` is constant inside a lap after J1, so
-    the deterministic ``min`` stands for "first".
+    the deterministic ``min`` stands for "first".  With ``unique_laps`` the
+    caller states that a (driver, lap) has one compound: it then joins the
+    grouping keys, which keeps a hash aggregation (a string ``min`` sorts).
     """
     keys = [*session_keys, "driver", "lap_number"]
+    compound = [] if unique_laps else [F.min("compound").alias("compound")]
     return (
         tagged.where(F.col("driver").isNotNull() & F.col("lap_number").isNotNull())
-        .groupBy(*keys)
+        .groupBy(*keys, *(["compound"] if unique_laps else []))
         .agg(
-            F.min("compound").alias("compound"),
+            *compound,
             F.avg("speed_kmh").alias("mean_speed_kmh"),
             F.max("speed_kmh").alias("max_speed_kmh"),
             F.avg("throttle_pct").alias("mean_throttle_pct"),
@@ -84,4 +88,4 @@ def clean_lap_summary(
     tagged = asof_forward(telemetry, right, on="session_time_s", by=keys,
                           carry=("lap_number", "compound", "__clean"),
                           tie=("lap_number",), rows_per_bucket=rows_per_bucket)
-    return summarize_lap_telemetry(tagged.where(F.col("__clean")), session_keys)
+    return summarize_lap_telemetry(tagged.where(F.col("__clean")), session_keys, unique_laps=True)

@@ -107,3 +107,49 @@ def test_matches_duckdb_asof_random(spark):
     ref = con.execute("SELECT t.sid, l.lap_number FROM t ASOF LEFT JOIN l ON t.driver = l.driver "
                       "AND t.session_time_s <= l.session_time_s ORDER BY t.sid").df()
     assert ours["lap_number"].fillna(-1).tolist() == ref["lap_number"].fillna(-1).tolist()
+
+
+def test_burst_is_split_into_equal_depth_buckets(spark):
+    from lapline.operators.buckets import BUCKET, time_layout
+
+    # 1,000 of 1,001 samples fall in the first second, a second key stays whole
+    rows = [("A", i / 1000.0) for i in range(1000)] + [("A", 1e6)] + [("B", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, t double")
+    layout = time_layout(df, ["k"], F.col("t"), 100)
+    got = layout.assign(df, F.col("t")).groupBy("k", BUCKET).agg(
+        F.count(F.lit(1)).alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).collect()
+    assert max(r.n for r in got) <= 200
+    assert [r.n for r in got if r.k == "B"] == [50]
+    a = sorted((r[BUCKET], r.lo, r.hi) for r in got if r.k == "A")
+    assert len(a) >= 10 and all(x[2] < y[1] for x, y in zip(a, a[1:]))
+    assert set(r[BUCKET] for r in got if r.k == "A") <= {
+        r[BUCKET] for r in layout.buckets().where("k = 'A'").collect()}
+
+
+def test_equal_times_stay_together(spark):
+    from lapline.operators.buckets import BUCKET, time_layout
+
+    df = spark.createDataFrame([("A", 5.0)] * 500 + [(None, 1.0), ("A", None)], "k string, t double")
+    layout = time_layout(df, ["k"], F.col("t"), 10)
+    assert layout.invalid == 2
+    assert layout.assign(df.where("t = 5"), F.col("t")).select(BUCKET).distinct().count() == 1
+
+
+def test_empty_sides(spark):
+    laps, tel = laps_df(spark, ver_laps()), spark.createDataFrame(samples("VER", [50]), TEL_SCHEMA)
+    assert tag_telemetry_with_lap(tel.limit(0), laps).count() == 0
+    out = tag_telemetry_with_lap(tel, laps.limit(0)).collect()
+    assert len(out) == 1 and out[0].lap_number is None
+
+
+def test_samples_are_read_twice_and_hash_aggregated(spark):
+    """Executed plan of the flagship query: one scan of the samples and one
+    of the laps (the layout counts are jobs of their own), no sorted aggregation."""
+    from lapline.plans.catalog import QUERIES
+
+    df = QUERIES["lap_telemetry_summary"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert plan.count("FileScan") == 2
+    assert "SortAggregate" not in plan
