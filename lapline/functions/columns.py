@@ -19,7 +19,10 @@ def seconds_of(df: DataFrame, name: str) -> Column:
     """Duration column -> double seconds, null stays null.
 
     Accepts an ANSI day-time interval, a bigint of nanoseconds or a
-    double already in seconds; NaN becomes null.
+    double already in seconds; NaN becomes null.  In a string column, whole
+    numbers are nanoseconds, numbers with a point or exponent are seconds,
+    and other text is an interval (``INTERVAL '0 00:01:30.5' DAY TO SECOND``
+    or ``0 days 00:01:30.5``); text that is none of these becomes null.
     """
     dtype = df.schema[name].dataType
     c = F.col(name)
@@ -27,6 +30,12 @@ def seconds_of(df: DataFrame, name: str) -> Column:
         out = c.cast("interval second").cast("decimal(20,6)").cast("double")
     elif isinstance(dtype, (T.LongType, T.IntegerType)):
         out = c.cast("double") / F.lit(1e9)
+    elif isinstance(dtype, T.StringType):
+        text = F.trim(c)
+        interval = F.regexp_replace(text, " days? ", " ").try_cast("interval day to second")
+        out = (F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("double") / F.lit(1e9))
+               .when(text.try_cast("double").isNotNull(), text.try_cast("double"))
+               .otherwise(interval.cast("interval second").cast("decimal(20,6)").cast("double")))
     else:
         out = c.cast("double")
     return nan_to_null(out)

@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapline.functions import eq_or_false, is_street_circuit, one_hot
 from lapline.schemas import COMPOUND_LEVELS, RETIRED, STYLE_COLUMNS
 
-MAX_ONE_HOT_LEVELS = 1000
-
 
 # -- DNF history -------------------------------------------------------------
 
@@ -96,15 +96,20 @@ def build_pace_features(laps: DataFrame, keep: Sequence[str] = ("driver",),
     )
 
 
-def distinct_levels(df: DataFrame, column: str, max_levels: int = MAX_ONE_HOT_LEVELS) -> list[str]:
-    """Sorted distinct non-null values, refused above ``max_levels`` (the
-    level list becomes part of the schema and travels through the driver)."""
-    rows = (df.where(F.col(column).isNotNull()).select(column).distinct()
-            .limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels; "
-                         "use a StringIndexer + OneHotEncoder vector instead")
-    return sorted(r[0] for r in rows)
+def distinct_levels(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct non-null values.  The wide matrix has a column for
+    each, so the list is part of its schema; models take ``encode_levels``."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
+
+
+def encode_levels(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add ``name``: the one-hot of ``column`` as one sparse vector, levels in
+    alphabetical order, no level dropped; a null is all zeros."""
+    index = StringIndexer(inputCol=column, outputCol="__level", stringOrderType="alphabetAsc",
+                          handleInvalid="keep")
+    # "keep" adds a last level for nulls, which dropLast turns into zeros
+    hot = OneHotEncoder(inputCol="__level", outputCol=name, dropLast=True, handleInvalid="error")
+    return Pipeline(stages=[index, hot]).fit(df).transform(df).drop("__level")
 
 
 def build_dnf_features(
@@ -116,17 +121,26 @@ def build_dnf_features(
     keep: Sequence[str] = (),
     teams: Sequence[str] | None = None,
     season_keys: Sequence[str] = ("season",),
+    sparse_teams: bool = False,
 ) -> DataFrame:
     """Grid position + one-hot of the observed teams (+ options).
 
+    ``sparse_teams`` gives the teams as one sparse vector ``team_levels``
+    (what the models take, at any number of teams) instead of a column for
+    each team.
+
     Outcome columns (position, points, status, ...) never enter the
     features: only grid_position, team dummies and the two opt-in
     history / circuit features are built.
     """
     outcome = {"position", "classified_position", "points", "race_time_s",
                "laps_completed", "status", "positions_gained"}
-    levels = list(teams) if teams is not None else distinct_levels(results, "team")
     df = results
+    if sparse_teams:
+        df = encode_levels(df, "team", "team_levels")
+        team_columns = [F.col("team_levels")]
+    else:
+        team_columns = one_hot("team", teams if teams is not None else distinct_levels(results, "team"), "team")
     extra = []
     if include_team_reliability:
         df = fill_missing_team_reliability(compute_team_reliability_feature(df, season_keys))
@@ -134,7 +148,7 @@ def build_dnf_features(
     if include_circuit_type:
         extra.append(is_street_circuit("event_name").cast("double").alias("is_street_circuit"))
     feats = [F.col("grid_position").cast("double").alias("grid_position"),
-             *one_hot("team", levels, "team"), *extra]
+             *team_columns, *extra]
     names = [c for c in df.select(*feats).columns]
     leaked = outcome.intersection(names)
     if leaked:

@@ -19,6 +19,7 @@ from lapline.plans import inputs as I
 from lapline.plans.inputs import finish
 from lapline.session import ensure_checkpoint_dir
 from lapline.sources import adapters as A
+from lapline.sources import readers
 from lapline.schemas import PACE_FEATURES, STYLE_COLUMNS
 
 NUDGE = 1e-9
@@ -98,6 +99,33 @@ def q_lap_telemetry_summary(spark, sf):
     return finish(telemetry.clean_lap_summary(I.telemetry(spark, sf), I.laps(spark, sf)))
 
 
+# -- sources over the given tables (S3, S5, S6, A6) -------------------------
+
+@register("driver_telemetry")
+def q_driver_telemetry(spark, sf):
+    """S3: the samples of driver U7, named by the code."""
+    return finish(readers.select_driver(I.telemetry(spark, sf), "U7"))
+
+
+@register("session_telemetry")
+def q_session_telemetry(spark, sf):
+    """The samples of the drivers that have laps."""
+    return finish(readers.select_session_drivers(I.telemetry(spark, sf), I.laps(spark, sf)))
+
+
+@register("lap_drivers")
+def q_lap_drivers(spark, sf):
+    return readers.lap_drivers(I.laps(spark, sf))
+
+
+@register("timeline_union")
+def q_timeline_union(spark, sf):
+    """Lap ends and samples in one table, absent columns null."""
+    laps = I.laps(spark, sf).select("driver", "session_time_s", "lap_number")
+    samples = I.telemetry(spark, sf).select("driver", "session_time_s", "speed_kmh")
+    return finish(readers.concat_frames([laps, samples]))
+
+
 # -- history, targets, feature matrices (A2, W1-W4, J3, T1-T7) --------------
 
 def _lap_summary(spark, sf):
@@ -185,6 +213,13 @@ def q_fold_metrics(spark, sf):
     return finish(metrics.cv_binary_metrics(sc))
 
 
+@register("fold_summary")
+def q_fold_summary(spark, sf):
+    sc = I.scores(spark, sf).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
+    per = metrics.fold_binary_metrics(sc)
+    return finish(metrics.fold_summary(per, ["accuracy", "precision", "recall", "f1"]))
+
+
 @register("best_threshold")
 def q_best_threshold(spark, sf):
     return finish(metrics.best_threshold(I.scores(spark, sf)))
@@ -274,7 +309,7 @@ def q_stratified_group_folds(spark, sf):
 def _pace_fit(method, alpha=1.0):
     def q(spark, sf):
         model = linear.fit_linear(_pace_set(spark, sf), PACE_X, "label", method, alpha)
-        return model.coefficients(spark)
+        return finish(model.coefficients(spark))
     return q
 
 
@@ -288,20 +323,23 @@ def q_pace_cv(spark, sf):
     df = folds.group_kfold(features.build_pace_features(I.pace_laps(spark, sf), keep=()),
                            "group", n_splits=5)
     summary, _ = linear.cross_validate_linear(df, PACE_X, "label", "fold", "ols")
-    return summary
+    return finish(summary)
 
 
 # -- classifiers (C0-C8, K3, K4) ---------------------------------------------
 
+DNF_X = ("grid_position", "team_levels")
+
+
 def _dnf_cv_table(spark, sf):
-    df = features.build_dnf_features(I.season_results(spark, sf), keep=("entry_id",))
+    df = features.build_dnf_features(I.season_results(spark, sf), keep=("entry_id",), sparse_teams=True)
     return folds.stratified_group_kfold(df, "group", "label", n_splits=5)
 
 
 def _oof(kind):
     def q(spark, sf):
         df = _dnf_cv_table(spark, sf)
-        feats = [c for c in df.columns if c == "grid_position" or c.startswith("team_")]
+        feats = list(DNF_X)
         if kind == "tree":
             est = classify.build_dnf_tree(feats)
         elif kind == "logistic":
@@ -389,14 +427,10 @@ def q_silhouette(spark, sf):
 
 # -- documented experiments and profiles (C7, C8, A10, embeddings) ----------
 
-def _dnf_feats(df):
-    return [c for c in df.columns if c == "grid_position" or c.startswith("team_")]
-
-
 @register("capacity_sweep")
 def q_capacity_sweep(spark, sf):
     df = _dnf_cv_table(spark, sf).persist()
-    out = classify.capacity_sweep(df, _dnf_feats(df))
+    out = classify.capacity_sweep(df, list(DNF_X))
     df.unpersist()
     return out
 
@@ -404,15 +438,16 @@ def q_capacity_sweep(spark, sf):
 @register("feature_ablation")
 def q_feature_ablation(spark, sf):
     season = I.season_results(spark, sf).persist()
-    base = features.build_dnf_features(season, keep=("entry_id",))
+    base = features.build_dnf_features(season, teams=(), keep=("entry_id",))
     fold_table = folds.stratified_group_kfold_table(base, "group", "label", 5)
     tables = {}
     for name, rel, circ in (("base", False, False), ("reliability", True, False),
                             ("reliability_circuit", True, True)):
         df = features.build_dnf_features(season, include_team_reliability=rel,
-                                         include_circuit_type=circ, keep=("entry_id",))
+                                         include_circuit_type=circ, keep=("entry_id",),
+                                         sparse_teams=True)
         df = folds.attach_folds(df, fold_table)
-        feats = _dnf_feats(df) + [c for c in ("team_reliability", "is_street_circuit") if c in df.columns]
+        feats = [*DNF_X] + [c for c in ("team_reliability", "is_street_circuit") if c in df.columns]
         tables[name] = (df, feats)
     builders = {"tree": lambda f, d: classify.build_dnf_tree(f),
                 "logistic": lambda f, d: classify.build_dnf_logistic(f)}

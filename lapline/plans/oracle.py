@@ -179,6 +179,7 @@ def oracle() -> dict[str, str]:
         "count(*) AS n_entries FROM sres GROUP BY event_name")
     _more(q)
     _models(q)
+    _sources(q)
     return q
 
 
@@ -339,6 +340,122 @@ def _more(q: dict[str, str]) -> None:
         "FROM j JOIN md USING (cluster) GROUP BY cluster")
 
 
+def _sources(q: dict[str, str]) -> None:
+    tel = f"WITH {LAPS}{TEL} SELECT {_tel_select()} FROM tel"
+    q["driver_telemetry"] = tel + " WHERE driver = 'U7'"
+    q["session_telemetry"] = tel + " WHERE driver IN (SELECT driver FROM laps)"
+    q["lap_drivers"] = f"WITH {LAPS} SELECT DISTINCT driver FROM laps"
+    q["timeline_union"] = (
+        f"WITH {LAPS}{TEL} SELECT driver, round(session_time_s, 6) AS session_time_s, lap_number, "
+        "CAST(NULL AS DOUBLE) AS speed_kmh FROM laps UNION ALL SELECT driver, round(session_time_s, 6), "
+        "NULL, round(speed_kmh, 6) FROM tel")
+    names = ("accuracy", "precision", "recall", "f1")
+    q["fold_summary"] = (
+        f"WITH {SCORES}, c AS (SELECT fold, {_CONF} FROM (SELECT fold, label, "
+        "CAST(probability > 0.5 AS INTEGER) AS pr FROM sc) GROUP BY fold), "
+        "m AS (SELECT (tp + tn) / (tp + fp + fn + tn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, "
+        "coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 "
+        "FROM c) SELECT "
+        + ", ".join(f"round(avg({n}), 6) AS {n}, round(stddev_pop({n}), 6) AS {n}_std" for n in names)
+        + " FROM m")
+
+
+def _standard_normal_equations(feats: list[str]) -> str:
+    """CTE ``ne``: Gram matrix a_i_j and right side c_i of the centred,
+    population-scaled features, with their means, deviations, n and mean label."""
+    k = len(feats)
+    z = ", ".join(f"({f} - avg({f}) OVER ()) / stddev_pop({f}) OVER () AS z{i}, avg({f}) OVER () AS mu{i}, "
+                  f"stddev_pop({f}) OVER () AS sd{i}" for i, f in enumerate(feats))
+    a = ", ".join([f"sum(z{i} * z{j}) AS a_{i}_{j}" for i in range(k) for j in range(k)]
+                  + [f"sum(z{i} * yc) AS c_{i}, any_value(mu{i}) AS mu{i}, any_value(sd{i}) AS sd{i}"
+                     for i in range(k)])
+    return (f"zz AS (SELECT {z}, label - avg(label) OVER () AS yc, label FROM pl), "
+            f"ne AS (SELECT {a}, CAST(count(*) AS DOUBLE) AS n, avg(label) AS ybar FROM zz)")
+
+
+def _unscaled(feats: list[str], source: str) -> str:
+    """Rows (feature, coef_s) from standardised coefficients b_i in ``source``."""
+    rows = [f"SELECT '{f}' AS feature, round(b_{i} / sd{i} + 0.0, 6) AS coef_s FROM {source}, ne"
+            for i, f in enumerate(feats)]
+    shift = " - ".join(["ybar"] + [f"mu{i} * b_{i} / sd{i}" for i in range(len(feats))])
+    rows.append(f"SELECT 'intercept', round({shift}, 6) FROM {source}, ne")
+    return " UNION ALL ".join(rows)
+
+
+def _pace_models(q: dict[str, str], pace: str, feats: list[str]) -> None:
+    """Pace regressions: OLS with a full set of level dummies is a regression
+    centred within each level (two unknowns); ridge by Gaussian elimination;
+    lasso by coordinate descent."""
+    level = ("CASE WHEN compound_soft = 1 THEN 'compound_soft' WHEN compound_medium = 1 THEN 'compound_medium' "
+             "ELSE 'compound_hard' END AS lev")
+
+    def ols(rows: str, by: str) -> str:
+        part = f"PARTITION BY {by}lev"
+        group = f"GROUP BY {by[:-2]}" if by else ""
+        return (f"w AS (SELECT *, tyre_life - avg(tyre_life) OVER ({part}) AS t, "
+                f"lap_number - avg(lap_number) OVER ({part}) AS l, label - avg(label) OVER ({part}) AS y FROM {rows}), "
+                f"s AS (SELECT {by}sum(t * t) AS tt, sum(t * l) AS tl, sum(l * l) AS ll, sum(t * y) AS ty, "
+                f"sum(l * y) AS ly FROM w {group}), "
+                f"sl AS (SELECT {by}(ty * ll - ly * tl) / (tt * ll - tl * tl) AS bt, "
+                "(ly * tt - ty * tl) / (tt * ll - tl * tl) AS bl FROM s)")
+
+    q["pace_ols"] = (
+        f"WITH {pace}, x AS (SELECT *, {level} FROM pl), " + ols("x", "") + ", "
+        "lv AS (SELECT lev, avg(label) - any_value(bt) * avg(tyre_life) - any_value(bl) * avg(lap_number) AS b "
+        "FROM x, sl GROUP BY lev) SELECT 'tyre_life' AS feature, round(bt, 6) AS coef_s FROM sl "
+        "UNION ALL SELECT 'lap_number', round(bl, 6) FROM sl UNION ALL "
+        "SELECT f.feature, round(coalesce(b, 0), 6) FROM (VALUES ('compound_soft'), ('compound_medium'), "
+        "('compound_hard')) f(feature) LEFT JOIN lv ON lev = f.feature")
+    q["pace_cv"] = (
+        f"WITH {pace.replace('AS fold,', 'AS sfold, l_suppkey,')}, "
+        "g AS (SELECT l_suppkey, row_number() OVER (ORDER BY count(*) DESC, 'S' || l_suppkey) - 1 AS k "
+        "FROM lineitem GROUP BY l_suppkey), "
+        "x AS (SELECT pl.*, " + level + ", CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS fold "
+        "FROM pl JOIN g USING (l_suppkey)), "
+        "tr AS (SELECT f.f, x.* FROM x JOIN (VALUES (0), (1), (2), (3), (4)) f(f) ON x.fold <> f.f), "
+        + ols("tr", "f, ") + ", "
+        "lv AS (SELECT tr.f, lev, avg(label) - any_value(bt) * avg(tyre_life) - any_value(bl) * avg(lap_number) AS b "
+        "FROM tr JOIN sl ON sl.f = tr.f GROUP BY tr.f, lev), "
+        "p AS (SELECT x.fold, label, coalesce(b, 0) + bt * tyre_life + bl * lap_number AS p FROM x "
+        "JOIN sl ON sl.f = x.fold LEFT JOIN lv ON lv.f = x.fold AND lv.lev = x.lev), "
+        "m AS (SELECT avg(abs(label - p)) AS mae, 1 - sum((label - p) ** 2) / (var_pop(label) * count(*)) AS r2 "
+        "FROM p GROUP BY fold) SELECT round(avg(mae), 6) AS mae_s, round(stddev_pop(mae), 6) AS mae_s_std, "
+        "round(avg(r2), 6) AS r2, round(stddev_pop(r2), 6) AS r2_std FROM m")
+    k = len(feats)
+    # eliminate one column after the other, then substitute back
+    steps = ["e0 AS (SELECT " + ", ".join(
+        [f"a_{i}_{j} + {1.0 if i == j else 0.0} AS a_{i}_{j}" for i in range(k) for j in range(k)]
+        + [f"c_{i}" for i in range(k)]) + " FROM ne)"]
+    for p in range(k - 1):
+        cols = [f"a_{i}_{j} - a_{i}_{p} * a_{p}_{j} / a_{p}_{p} AS a_{i}_{j}" if i > p else f"a_{i}_{j}"
+                for i in range(k) for j in range(k)]
+        cols += [f"c_{i} - a_{i}_{p} * c_{p} / a_{p}_{p} AS c_{i}" if i > p else f"c_{i}" for i in range(k)]
+        steps.append(f"e{p + 1} AS (SELECT {', '.join(cols)} FROM e{p})")
+    back = f"e{k - 1}"
+    for i in reversed(range(k)):
+        rest = "".join(f" - a_{i}_{j} * b_{j}" for j in range(i + 1, k))
+        steps.append(f"s{i} AS (SELECT *, (c_{i}{rest}) / a_{i}_{i} AS b_{i} FROM {back})")
+        back = f"s{i}"
+    names = ", ".join(f"b_{i}" for i in range(k))
+    q["pace_ridge"] = (f"WITH {pace}, {_standard_normal_equations(feats)}, {', '.join(steps)}, "
+                       # the dummies add up to 1, so the exact solution is orthogonal to their deviations
+                       f"sol AS (SELECT b_0, b_1, "
+                       + ", ".join(f"b_{i} - sd{i} * (sd2 * b_2 + sd3 * b_3 + sd4 * b_4) "
+                                   f"/ (sd2 * sd2 + sd3 * sd3 + sd4 * sd4) AS b_{i}" for i in (2, 3, 4))
+                       + f" FROM {back}, (SELECT sd2, sd3, sd4 FROM ne)) " + _unscaled(feats, "sol"))
+    sweep = "SELECT it, " + ", ".join(f"b_{i}" for i in range(k)) + " FROM cd"
+    for i in range(k):
+        rho = f"(c_{i} - " + " - ".join(f"a_{i}_{j} * b_{j}" for j in range(k) if j != i) + ")"
+        new = f"sign({rho}) * greatest(abs({rho}) - n, 0) / a_{i}_{i} AS b_{i}"
+        cols = ", ".join(new if j == i else f"b_{j}" for j in range(k))
+        sweep = f"SELECT it, {cols} FROM ({sweep}), ne"
+    q["pace_lasso"] = (
+        f"WITH RECURSIVE {pace}, {_standard_normal_equations(feats)}, cd AS (SELECT 0 AS it, "
+        + ", ".join(f"CAST(0 AS DOUBLE) AS b_{i}" for i in range(k))
+        + f" UNION ALL SELECT it + 1, {names} FROM ({sweep}) WHERE it < 400), "
+        "sol AS (SELECT * FROM cd WHERE it = 400) " + _unscaled(feats, "sol"))
+
+
 def _models(q: dict[str, str]) -> None:
     feats = ["tyre_life", "lap_number", "compound_soft", "compound_medium", "compound_hard"]
     pace = """
@@ -358,6 +475,7 @@ pl AS (
                          + ", ".join(c.replace("avg(", "round(avg(").replace(") AS", "), 6) AS")
                                      for c in cols)
                          + " FROM pl GROUP BY fold")
+    _pace_models(q, pace, feats)
     z = ", ".join(f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () > 0 "
                   f"THEN stddev_pop({c}) OVER () ELSE 1 END, 6) AS {c}" for c in STYLE)
     q["zscore"] = nudged(f"WITH {LAPS}{TEL} SELECT driver, lap_number, compound, {z} FROM summary")

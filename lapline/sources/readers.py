@@ -16,18 +16,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapline.operators.normalize import normalize_laps, normalize_results, normalize_telemetry
-from lapline.schemas import SESSION_KEYS
+from lapline.schemas import RAW_LAPS, RAW_RESULTS, RAW_TELEMETRY, SESSION_KEYS
 
 PARTITION_COLUMNS = SESSION_KEYS
+DRIVER_COLUMNS = ("driver", "driver_number")
 
 
-def _read(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None) -> DataFrame:
-    reader = spark.read.format(fmt)
-    if schema is not None and fmt != "parquet":
-        reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    return reader.load(path)
+# duration columns of the raw tables; text formats hold them as strings
+# (see ``functions.columns.seconds_of`` for the accepted forms)
+def _text_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DayTimeIntervalType)
+                                       else f.dataType) for f in schema])
+
+
+def _read(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
+          extra: Sequence[str] = ()) -> DataFrame:
+    """Raw table of ``schema`` plus string columns ``extra`` and the
+    partition columns.
+
+    Parquet carries its own types.  JSON is read with the schema, so a
+    column that is null in every row is still there.  CSV is read by header
+    name as text and cast, so column order does not matter and a column
+    missing from the header is reported by ``require_columns``.
+    """
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    typed = _text_schema(schema)
+    if fmt == "json":
+        fields = list(typed) + [T.StructField(c, T.StringType()) for c in extra]
+        return spark.read.schema(T.StructType(fields)).json(path)
+    if fmt != "csv":
+        return spark.read.format(fmt).load(path)
+    df = spark.read.option("header", "true").csv(path)
+    types = {f.name: f.dataType for f in typed}
+    # "7.0" is an integer of a table that once went through a float column
+    return df.select(*[(F.col(c).cast("double") if isinstance(types.get(c), T.IntegerType) else F.col(c))
+                       .cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
 def _session_filter(df: DataFrame, season=None, round_number=None, session_type=None,
@@ -50,14 +74,14 @@ def _keys(df: DataFrame) -> list[str]:
 def read_session_laps(spark, path, season=None, round_number=None, session_type="R",
                       fmt="parquet", raw=True) -> DataFrame:
     """Normalised laps of the selected session(s)."""
-    df = _session_filter(_read(spark, path, fmt, None), season, round_number, session_type)
+    df = _session_filter(_read(spark, path, fmt, RAW_LAPS), season, round_number, session_type)
     return normalize_laps(df, keep=_keys(df)) if raw else df
 
 
 def read_session_results(spark, path, season=None, round_number=None, session_type="R",
                          fmt="parquet", raw=True) -> DataFrame:
     """Normalised classification of the selected session(s)."""
-    df = _session_filter(_read(spark, path, fmt, None), season, round_number, session_type)
+    df = _session_filter(_read(spark, path, fmt, RAW_RESULTS), season, round_number, session_type)
     return normalize_results(df, keep=_keys(df)) if raw else df
 
 
@@ -68,13 +92,18 @@ def read_driver_telemetry(spark, path, driver: str, season=None, round_number=No
     With the dataset partitioned or sorted by driver the equality reaches
     the scan (partition pruning or Parquet row-group skipping).
     """
-    df = _session_filter(_read(spark, path, fmt, None), season, round_number, session_type)
+    df = _session_filter(_read(spark, path, fmt, RAW_TELEMETRY, DRIVER_COLUMNS), season, round_number, session_type)
+    df = select_driver(df, driver)
+    keep = _keys(df) + [c for c in DRIVER_COLUMNS if c in df.columns]
+    return normalize_telemetry(df, keep=keep) if raw else df
+
+
+def select_driver(df: DataFrame, driver: str) -> DataFrame:
+    """Rows of one driver, named by code or by car number."""
     cond = F.col("driver") == F.lit(driver)
     if "driver_number" in df.columns:
         cond = cond | (F.col("driver_number") == F.lit(driver))
-    df = df.where(cond)
-    keep = _keys(df) + [c for c in ("driver", "driver_number") if c in df.columns]
-    return normalize_telemetry(df, keep=keep) if raw else df
+    return df.where(cond)
 
 
 def read_season_results(spark, path, season: int, schedule: DataFrame,
@@ -82,10 +111,9 @@ def read_season_results(spark, path, season: int, schedule: DataFrame,
                         session_type: str | None = "R") -> DataFrame:
     """Every non-testing round of a season, tagged with the event name.
 
-    ``rounds`` prunes partitions; the schedule (one row per event of a
-    season, bounded by the calendar) is broadcast.
+    ``rounds`` prunes partitions.
     """
-    df = _session_filter(_read(spark, path, fmt, None), season, None, session_type, rounds)
+    df = _session_filter(_read(spark, path, fmt, RAW_RESULTS), season, None, session_type, rounds)
     res = normalize_results(df, keep=_keys(df))
     if "season" in schedule.columns:
         schedule = schedule.where(F.col("season") == F.lit(season))
@@ -96,8 +124,8 @@ def attach_schedule(results: DataFrame, schedule: DataFrame,
                     rounds: Iterable[int] | None = None) -> DataFrame:
     """Round filter (Q4) + testing-event exclusion + event name.
 
-    The schedule has one row per event of a calendar, a bounded size, so
-    it is broadcast and the join adds no shuffle.
+    The schedule comes from the caller, so Spark chooses the join by its
+    measured size; a calendar is broadcast and adds no shuffle.
     """
     if rounds is not None:
         results = results.where(F.col("round_number").isin(list(rounds)))
@@ -105,7 +133,7 @@ def attach_schedule(results: DataFrame, schedule: DataFrame,
     sched = schedule.where(~F.coalesce(F.col("is_testing"), F.lit(False)))
     keys = ["round_number"] + (["season"] if "season" in sched.columns else [])
     sched = sched.select(*keys, "event_name")
-    return results.join(F.broadcast(sched), keys, "inner")
+    return results.join(sched, keys, "inner")
 
 
 def read_session_telemetry(spark, telemetry_path, laps: DataFrame, season=None,
@@ -115,11 +143,22 @@ def read_session_telemetry(spark, telemetry_path, laps: DataFrame, season=None,
     The driver comes from the data (or partition) column; a semi join on
     the distinct lap drivers replaces the per-driver loader loop.
     """
-    df = _session_filter(_read(spark, telemetry_path, fmt, None), season, round_number, session_type)
+    df = _session_filter(_read(spark, telemetry_path, fmt, RAW_TELEMETRY, DRIVER_COLUMNS),
+                         season, round_number, session_type)
     keys = _keys(df)
-    tel = normalize_telemetry(df, keep=keys + ["driver"])
-    drivers = laps.select(*[k for k in keys if k in laps.columns], "driver").distinct()
-    return tel.join(drivers, [k for k in keys if k in laps.columns] + ["driver"], "left_semi")
+    return select_session_drivers(normalize_telemetry(df, keep=keys + ["driver"]), laps, keys)
+
+
+def lap_drivers(laps: DataFrame, session_keys: Sequence[str] = ()) -> DataFrame:
+    """The distinct drivers that have laps (a null driver is none)."""
+    return laps.where(F.col("driver").isNotNull()).select(*session_keys, "driver").distinct()
+
+
+def select_session_drivers(telemetry: DataFrame, laps: DataFrame,
+                           session_keys: Sequence[str] = ()) -> DataFrame:
+    """Samples of the drivers that have laps (in the same session)."""
+    keys = [k for k in session_keys if k in laps.columns]
+    return telemetry.join(lap_drivers(laps, keys), [*keys, "driver"], "left_semi")
 
 
 def concat_frames(frames: Sequence[DataFrame], schema: T.StructType | None = None,
@@ -136,15 +175,19 @@ def concat_frames(frames: Sequence[DataFrame], schema: T.StructType | None = Non
 
 
 def write_dataset(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                  fmt: str = "parquet", mode: str = "overwrite") -> None:
+                  fmt: str = "parquet", mode: str = "overwrite",
+                  rows_per_file: int = 10_000_000) -> None:
     """Write a normalised table partitioned by its session keys.
 
-    Rows are clustered by the partition columns first so each task writes
-    few files per partition directory.
+    Rows are rebalanced on the partition columns: small sessions share a
+    task and have one file, a large one is split by its measured size, and
+    no file has more than ``rows_per_file`` rows.
     """
     parts = list(partition_by) if partition_by is not None else _keys(df)
-    writer_df = df.repartition(*parts) if parts else df
-    w = writer_df.write.mode(mode).format(fmt)
+    w = (df.hint("rebalance", *parts) if parts else df).write.mode(mode).format(fmt)
+    w = w.option("maxRecordsPerFile", rows_per_file)
+    if fmt == "csv":
+        w = w.option("header", "true")
     if parts:
         w = w.partitionBy(*parts)
     w.save(path)

@@ -167,3 +167,38 @@ def test_clustering_blobs(spark):
     _, g = cluster.fit_gmm(coords, ["pc1", "pc2"], 3)
     probs = np.array(g.select("probability").toPandas().probability.tolist())
     assert np.allclose(probs.sum(axis=1), 1.0) and probs.max(axis=1).mean() > 0.95
+
+
+def test_linear_fit_survives_a_large_shift(spark):
+    import numpy as np
+
+    from lapline.models import linear
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 2))
+    y = 2.0 * x[:, 0] - 0.5 * x[:, 1] + 7.0
+    for shift in (0.0, 1e8):
+        rows = [(float(a + shift), float(b), float(c)) for (a, b), c in zip(x, y)]
+        df = spark.createDataFrame(rows, "a double, b double, label double")
+        m = linear.fit_linear(df, ["a", "b"], method="ridge", alpha=1e-9)
+        assert np.allclose(m.coef, [2.0, -0.5], atol=1e-5)
+
+
+def test_linear_fit_raises_on_null(spark):
+    import pytest
+
+    from lapline.models import linear
+
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "a double, label double")
+    with pytest.raises(Exception, match="null feature or label"):
+        linear.fit_linear(df, ["a"])
+
+
+def test_sparse_teams_at_any_width(spark):
+    from lapline.operators.features import build_dnf_features
+
+    rows = [(f"T{i:05d}", f"D{i}", float(i % 20), i % 3 == 0) for i in range(1500)] + [(None, "X", 1.0, False)]
+    df = spark.createDataFrame(rows, "team string, driver string, grid_position double, dnf boolean")
+    out = {r.group: r.team_levels for r in build_dnf_features(df, sparse_teams=True).collect()}
+    assert len(out) == 1501 and out["D7"].size == 1500
+    assert list(out["D7"].indices) == [7] and out["X"].numNonzeros() == 0
