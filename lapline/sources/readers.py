@@ -22,10 +22,14 @@ PARTITION_COLUMNS = SESSION_KEYS
 DRIVER_COLUMNS = ("driver", "driver_number")
 
 
-# duration columns of the raw tables; text formats hold them as strings
-# (see ``functions.columns.seconds_of`` for the accepted forms)
-def _text_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DayTimeIntervalType)
+# JSON values that are read as text: durations (see ``functions.columns.seconds_of``
+# for the accepted forms) and times, whose fractions vary in length
+TEXT_TYPES = (T.DayTimeIntervalType, T.TimestampNTZType)
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _text_types(schema: T.StructType, kinds=TEXT_TYPES) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, kinds)
                                        else f.dataType) for f in schema])
 
 
@@ -41,14 +45,15 @@ def _read(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
-    typed = _text_schema(schema)
     if fmt == "json":
-        fields = list(typed) + [T.StructField(c, T.StringType()) for c in extra]
-        return spark.read.schema(T.StructType(fields)).json(path)
+        fields = list(_text_types(schema)) + [T.StructField(c, T.StringType()) for c in extra]
+        df = spark.read.schema(T.StructType(fields)).json(path)
+        times = [f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)]
+        return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times}) if times else df
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
     df = spark.read.option("header", "true").csv(path)
-    types = {f.name: f.dataType for f in typed}
+    types = {f.name: f.dataType for f in _text_types(schema, T.DayTimeIntervalType)}
     # "7.0" is an integer of a table that once went through a float column
     return df.select(*[(F.col(c).cast("double") if isinstance(types.get(c), T.IntegerType) else F.col(c))
                        .cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
@@ -186,8 +191,9 @@ def write_dataset(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     parts = list(partition_by) if partition_by is not None else _keys(df)
     w = (df.hint("rebalance", *parts) if parts else df).write.mode(mode).format(fmt)
     w = w.option("maxRecordsPerFile", rows_per_file)
-    if fmt == "csv":
-        w = w.option("header", "true")
+    if fmt in ("csv", "json"):
+        # the default keeps milliseconds only
+        w = w.option("header", "true").option("timestampNTZFormat", MICROSECONDS)
     if parts:
         w = w.partitionBy(*parts)
     w.save(path)

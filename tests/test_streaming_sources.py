@@ -6,7 +6,16 @@ from pyspark.sql import functions as F
 from lapline.operators.telemetry import clean_lap_summary
 from lapline.plans import inputs as I
 from lapline.sources import adapters as A
-from lapline.sources.readers import read_session_laps, write_dataset
+from lapline.functions import seconds_of
+from lapline.schemas import LAPS
+from lapline.sources.readers import (
+    concat_frames,
+    read_driver_telemetry,
+    read_season_results,
+    read_session_laps,
+    read_session_telemetry,
+    write_dataset,
+)
 from lapline.streaming import read_telemetry_stream, stream_lap_summary
 
 SF = "/root/testdata/sf0.001"
@@ -47,3 +56,62 @@ def test_partitioned_dataset_roundtrip_and_pruning(spark):
     assert laps.count() == expect and "lap_time_s" in laps.columns
     plan = laps._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "round_number" in plan
+
+
+def _with_session(raw):
+    return (raw.withColumn("season", F.lit(2024)).withColumn("round_number", F.lit(3))
+            .withColumn("session_type", F.lit("R")))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_text_round_trip_of_laps(spark, fmt):
+    # Sector2Time is null in every row, which JSON leaves out of its files
+    raw = _with_session(A.raw_laps_from_events(A.read_table(spark, SF, "events")))
+    path = tempfile.mkdtemp(prefix="lapline-ds-")
+    write_dataset(raw, path, fmt=fmt, rows_per_file=50)
+    got = read_session_laps(spark, path, season=2024, round_number=3, fmt=fmt)
+    want = I.laps(spark, SF)
+    assert "season" in got.columns
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_round_trip_of_driver_samples(spark, fmt):
+    raw = _with_session(A.raw_telemetry_from_events(A.read_table(spark, SF, "events")))
+    path = tempfile.mkdtemp(prefix="lapline-ds-")
+    write_dataset(raw, path, fmt=fmt)
+    driver = raw.select("driver").first()[0]
+    got = read_driver_telemetry(spark, path, driver, fmt=fmt)
+    want = I.telemetry(spark, SF).where(F.col("driver") == driver)
+    assert want.count() > 0
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    laps = I.laps(spark, SF).where(F.col("driver") == driver)
+    session = read_session_telemetry(spark, path, laps, season=2024, fmt=fmt)
+    assert session.count() == (want.count() if laps.count() else 0)
+
+
+def test_duration_forms_in_text(spark):
+    rows = [("90500000000",), ("90.5",), ("INTERVAL '0 00:01:30.5' DAY TO SECOND",),
+            ("0 days 00:01:30.500000",), ("nonsense",), (None,), ("NaN",)]
+    df = spark.createDataFrame(rows, "d string")
+    got = [r[0] for r in df.select(seconds_of(df, "d")).collect()]
+    assert got == [90.5, 90.5, 90.5, 90.5, None, None, None]
+
+
+def test_season_results_leave_testing_events_out(spark):
+    raw = A.raw_results_from_orders(A.read_table(spark, SF, "orders"), A.read_table(spark, SF, "customer"))
+    path = tempfile.mkdtemp(prefix="lapline-ds-")
+    write_dataset(raw.withColumn("session_type", F.lit("R")), path)
+    sched = spark.createDataFrame([(1, "Test", True), (2, "Bahrain Grand Prix", False), (3, "Other", None)],
+                                  "round_number int, event_name string, is_testing boolean")
+    got = read_season_results(spark, path, 1995, sched)
+    n = raw.where("season = 1995 AND round_number IN (2, 3)").count()
+    assert got.count() == n > 0
+    assert {r[0] for r in got.select("event_name").distinct().collect()} <= {"Bahrain Grand Prix", "Other"}
+    assert read_season_results(spark, path, 1995, sched, rounds=[2]).select("round_number").distinct().count() == 1
+
+
+def test_concat_of_nothing(spark):
+    assert concat_frames([], LAPS, spark).columns == [f.name for f in LAPS]
+    with pytest.raises(ValueError):
+        concat_frames([])
