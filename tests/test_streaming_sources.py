@@ -28,21 +28,54 @@ def _rows(df):
                   for r in df.select(*cols).collect())
 
 
+def _far_sample(raw, day):
+    """One sample of a driver without laps, far ahead: it moves the watermark."""
+    return (raw.limit(1).withColumn("driver", F.lit("none"))
+            .withColumn("Date", F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00'")))
+
+
+def _run(summary, name, path, parts):
+    q = summary.writeStream.outputMode("append").format("memory").queryName(name).start()
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+        q.processAllAvailable()
+    q.stop()
+
+
 def test_stream_equals_batch(spark):
-    events = A.read_table(spark, SF, "events")
-    raw_tel = A.raw_telemetry_from_events(events)
+    raw_tel = A.raw_telemetry_from_events(A.read_table(spark, SF, "events"))
     path = tempfile.mkdtemp(prefix="lapline-stream-")
-    raw_tel.write.mode("overwrite").parquet(path)
     laps = I.laps(spark, SF).cache()
-    stream = read_telemetry_stream(spark, path)
-    summary = stream_lap_summary(stream, laps)
-    q = (summary.writeStream.outputMode("update").format("memory")
-         .queryName("lap_summary_stream").start())
-    q.processAllAvailable()
-    q.stop()
+    raw_tel.limit(0).write.mode("overwrite").parquet(path)
+    summary = stream_lap_summary(read_telemetry_stream(spark, path), laps)
+    _run(summary, "lap_summary_stream", path, [raw_tel, _far_sample(raw_tel, "2030-01-01")])
     got = spark.table("lap_summary_stream")
     batch = clean_lap_summary(I.telemetry(spark, SF), laps)
-    assert _rows(got) == _rows(batch)
+    assert _rows(got) == _rows(batch) != []
+
+
+def test_stream_drivers_out_of_phase_and_late_sample(spark):
+    raw = A.raw_telemetry_from_events(A.read_table(spark, SF, "events"))
+
+    def sample(driver, second, speed):
+        t = f"INTERVAL '{second}' SECOND"
+        return (raw.limit(1).withColumn("driver", F.lit(driver)).withColumn("Speed", F.lit(float(speed)))
+                .withColumn("Date", F.expr(f"TIMESTAMP_NTZ'2025-03-01 12:00:00' + {t}"))
+                .withColumn("SessionTime", F.expr(f"cast({t} as interval day to second)")))
+
+    laps = spark.createDataFrame(
+        [("A", 1.0, 100.0, "soft", True, False, 90.0, "1"), ("B", 1.0, 5000.0, "hard", True, False, 90.0, "1")],
+        "driver string, lap_number double, session_time_s double, compound string, "
+        "is_accurate boolean, deleted boolean, lap_time_s double, track_status string")
+    path = tempfile.mkdtemp(prefix="lapline-stream-")
+    raw.limit(0).write.mode("overwrite").parquet(path)
+    summary = stream_lap_summary(read_telemetry_stream(spark, path), laps, watermark="10 seconds")
+    # B's lap ends late, which must not close or drop A's; 60 s is late once 2000 s is seen
+    _run(summary, "lap_summary_phases", path, [
+        sample("B", 20, 100).unionByName(sample("A", 10, 200)), sample("A", 90, 220),
+        sample("B", 2000, 300), sample("A", 60, 999), sample("B", 2010, 200), sample("B", 9000, 1)])
+    got = {r.driver: r.mean_speed_kmh for r in spark.table("lap_summary_phases").collect()}
+    assert got == {"A": 210.0, "B": 200.0}
 
 
 def test_partitioned_dataset_roundtrip_and_pruning(spark):
