@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapline.llm.common import cut, text_bytes, with_columns
+from lapline.llm.common import cut, stored, text_bytes, with_columns
 from lapline.llm.graph import components, forest
 
 SHINGLE = 4
 DISTANCE = 4
 #: Members of an anchor that are compared in one cell.
 CELL = 4096
+#: Column that carries fingerprints beside a table's own columns.
+_PRINT = "_simhash_print"
 _BLOCKS = ((0, 21), (21, 21), (42, 22))
 _CODE_BITS = 15
 
@@ -226,23 +228,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     prints = cut(with_fingerprints(narrow, shingle).drop("text"))
-    classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(fingerprint_links(classes.select("fp"), distance))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left") \
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = fingerprint_classes(prints, distance)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.select("fp", "root").join(ids, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one whose id is the component's.
+def fingerprint_classes(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(fp, least, root) for each distinct fingerprint of a table (doc_id, fp): its smallest id and its group's smallest fingerprint."""
+    classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(fingerprint_links(classes.select("fp"), distance))
+    return classes.join(roots, classes["fp"] == roots["node"], "left") \
+        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group: that with the smallest id, or one without id if all are.
 
-    Of rows with equal ids one stays; of the rows without id, those that are
-    copies of a document with one go, and one of all others stays.
+    Groups are told apart by their texts alone: rows that share an id, or have
+    none, stay if their texts aren't near-duplicates, and of repeated rows one stays.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
-    return kept.dropDuplicates([id_col])
+    marked = stored(with_fingerprints(docs, shingle, text_col, _PRINT), "prints")
+    prints = marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(_PRINT).alias("fp"))
+    rooted = fingerprint_classes(prints, distance)
+    # of each group the fingerprint whose smallest id is the smallest, those without any id last
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first")
+    chosen = rooted.groupBy("root").agg(first) \
+        .select(F.col("first.fp").alias("_simhash_first"), F.col("first.least").alias("_simhash_least"))
+    same = (marked[_PRINT] == chosen["_simhash_first"]) & marked[id_col].cast("long").eqNullSafe(chosen["_simhash_least"])
+    return marked.join(chosen, same).dropDuplicates([_PRINT]).select(*(F.col(f"`{c}`") for c in docs.columns))
