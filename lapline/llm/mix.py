@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapline.llm.common import cut, running_total
+from lapline.llm.common import cut, running_total, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -66,18 +66,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
 
 
 def fair_schedule(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = "mix",
-                  id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                  row_col: str | None = None) -> DataFrame:
     """One row for each document copy that could be served: (row, doc_id, size, source_size, target, copy, finish, words).
 
     ``words`` is what the mix takes of the copy (0 after the cut) and
-    ``row`` identifies the document's row.  A null text has size 0, a null
+    ``row`` identifies the document's row (``row_col`` if given, else a new number).  A null text has size 0, a null
     source is a source of its own, null ids and repeated rows are documents
     of their own; documents without words are listed with one copy of 0
     words.  The order within a source is that of md5(seed and id), so
     reruns agree.  An empty table gives no rows.
     """
     sized = cut(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"),
         _key(F.col(source_col)).alias("source_key"), word_count(F.col(text_col)).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")).alias("shuffled")))
     targets = source_targets(sized, weights, max_repeats)
@@ -114,13 +115,15 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     The copy that the budget cuts keeps the words that were served (and an
     ``n_chars`` column follows); a document of which nothing is taken, as
-    one without words, goes.  Copies keep their document's id.  ``docs`` is a
-    table read from files: its rows are numbered anew on each read.
+    one without words, goes.  Copies keep their document's id.  Rows are
+    numbered once, in a stored table: numbers given anew on each read would follow
+    the file splits, which change with the number of executors.
     """
-    schedule = fair_schedule(docs, weights, max_repeats, seed, id_col, text_col, source_col)
+    numbered = stored(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "numbered")
+    schedule = fair_schedule(numbered, weights, max_repeats, seed, id_col, text_col, source_col, "_mix_row")
     served = schedule.where("words > 0").select(
         F.col("row").alias("_mix_row"), F.col("words").alias("_mix_words"), F.col("size").alias("_mix_size"))
-    joined = docs.withColumn("_mix_row", F.monotonically_increasing_id()).join(served, "_mix_row")
+    joined = numbered.join(served, "_mix_row")
     space = r"[\x20\x09-\x0D]"
     word_ends = F.split(F.col(text_col), rf"(?<!{space})(?={space})")
     cut_text = F.array_join(F.slice(word_ends, F.lit(1), F.col("_mix_words").cast("int")), "")
