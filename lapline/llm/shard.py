@@ -22,15 +22,17 @@ RECORD_BYTES = 8
 
 
 def sized_records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot): UTF-8 bytes plus 8; a null text has no bytes, a null id is hashed as such.
+    """(doc_id, size, text_crc32, virtual_slot): UTF-8 bytes plus 8; a null text has no bytes.
 
-    Records with equal ids share a slot; a slot is the unit that moves.
+    The slot is a hash of the id, so records with equal ids share one; a
+    slot is the unit that moves.  Records without id are hashed by their text.
     """
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     return docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(data) + RECORD_BYTES).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(slots)).cast("int").alias("virtual_slot"))
+        F.pmod(F.when(F.col(id_col).isNull(), F.xxhash64(F.crc32(data))).otherwise(F.xxhash64(id_col)), F.lit(slots))
+        .cast("int").alias("virtual_slot"))
 
 
 def slot_bytes(records: DataFrame) -> dict[int, int]:

@@ -108,6 +108,15 @@ def test_shards(spark, documents, odd_documents, no_documents):
     assert shard.shard_documents(no_documents)[0].count() == 0
 
 
+def test_rows_without_id_are_spread(spark):
+    rows = [(None if i % 3 == 0 else i, f"text {i}") for i in range(6000)]
+    records, _, _ = shard.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    load = Counter()
+    for r in records.collect():
+        load[r["shard"]] += r["size"]
+    assert len(load) == 24 and max(load.values()) / min(load.values()) < 1.1
+
+
 def test_map_versions_and_growth(spark):
     draw = np.random.default_rng(9)
     sizes = {i: int(x) for i, x in enumerate(draw.lognormal(8, 1, 4096))}
