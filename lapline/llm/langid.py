@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapline.llm import chargrams
-from lapline.llm.common import pieces, remainder, with_columns
+from lapline.llm.common import cut, pieces, remainder, with_columns
 
 UNDETERMINED = "und"
 SIZES, BITS = (1, 2, 3), 16
 #: Labelled texts of each language that the weights and the temperature are fitted on.
 SAMPLE_PER_LANGUAGE = 600
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.3, 1.0, 0.02, 0.01
+#: Largest table of languages and their texts' numbers that is broadcast.
+BROADCAST_LANGUAGES = 100_000
 _SCALE = 50.0
 _BATCH = 1 << 19
 _LETTER = re.compile(r"[^\W\d_]")
@@ -61,13 +63,19 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, per_language: int) -> list:
-    """About ``per_language`` texts of every language, by a hash of the text, as (lang, part, features, counts) rows."""
+    """At most about ``per_language`` distinct texts of every language, by a hash of the text, as (lang, part, features, counts).
+
+    Copies of a text are drawn or left together, and count once: however many they are, the sample stays small.
+    """
     known = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .where("text is not null and lang is not null")
-    sizes = known.groupBy("lang").count()
+    sizes = cut(known.groupBy("lang").count())
+    if sizes.count() <= BROADCAST_LANGUAGES:
+        sizes = F.broadcast(sizes)
     share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
     hashed = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20))
-    drawn = known.withColumn("h", hashed).join(F.broadcast(sizes), "lang").where(F.col("h") < share * (1 << 20))
+    drawn = known.withColumn("h", hashed).join(sizes, "lang").where(F.col("h") < share * (1 << 20)) \
+        .dropDuplicates(["lang", "text"])
 
     def read(batches):
         for whole in batches:

@@ -89,11 +89,15 @@ def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
 
 
 def labelled_sample(rows: DataFrame, per_class: int, counts: tuple[int, int], ratio: np.ndarray) -> list:
-    """About ``per_class`` rows of either class, by a hash of the text, as (toxic, features whose ratio isn't 0)."""
+    """At most about ``per_class`` distinct texts of either class, by a hash of the text, as (toxic, features whose ratio isn't 0).
+
+    Copies of a text are drawn or left together, and count once: however many they are, the sample stays small.
+    """
     sent = rows.sparkSession.sparkContext.broadcast(ratio != 0)
     share = F.when(F.col("toxic") == 1, per_class / max(1, counts[1])).otherwise(per_class / max(1, counts[0]))
     drawn = rows.select("toxic", "text").where(
-        F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 20)) < F.least(F.lit(1.0), share) * (1 << 20))
+        F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 20)) < F.least(F.lit(1.0), share) * (1 << 20)) \
+        .distinct()
 
     def read(batches):
         scratch, used = _scratch(), sent.value

@@ -121,3 +121,17 @@ def test_toxicity_of_odd_tables(spark, odd_documents, no_documents):
         assert sorted(map(str, toxicity.labelled(odd_documents, labels).collect())) == sorted(map(str, plain))
     finally:
         toxicity.BROADCAST_LABELS = keep
+
+
+def test_samples_stay_small_however_many_copies(spark):
+    """A third of the rows are copies of a text that is drawn: it counts once in the sample, and in all rows' statistics."""
+    rows = [(f"text number {i} of many", "en" if i % 2 else "de", int(i % 3 == 0)) for i in range(2000)]
+    plain = spark.createDataFrame(rows, "text string, lang string, toxic int")
+    drawn = langid.labelled_sample(plain, "text", "lang", 50)
+    assert 0 < len(drawn) < 200
+    low = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20))
+    first = plain.orderBy(low).first()["text"]
+    copied = plain.unionByName(plain.where(F.col("text") == first).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(1000)))).drop("copy"))
+    assert len(langid.labelled_sample(copied, "text", "lang", 50)) < 200
+    ratio = np.ones(1 << toxicity.BITS)
+    assert 0 < len(toxicity.labelled_sample(copied, 50, (1333, 667), ratio)) < 300
