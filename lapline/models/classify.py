@@ -196,7 +196,7 @@ class StackingClassifier:
         return [("tree", build_dnf_tree(self.features)),
                 ("logistic", build_dnf_logistic(self.features)),
                 ("forest", build_dnf_forest(self.features)),
-                ("boosting", build_dnf_boosting(self.features, self.scale_pos_weight, 20, 2))]
+                ("boosting", build_dnf_boosting(self.features, self.scale_pos_weight, *LIGHT_BOOSTER))]
 
     def fit(self, train: DataFrame) -> StackingModel:
         hashed = ["group"] if self.group_aware else list(self.key_columns)
@@ -314,6 +314,8 @@ def default_scale_pos_weight(df: DataFrame, label: str = "label") -> float:
 
 # The capacity grid of the booster sweep (n_estimators, max_depth).
 CAPACITY_GRID = ((200, 4), (100, 3), (50, 3), (50, 2), (20, 2))
+# Fixed value: the light booster of stacking and of the feature ablation.
+LIGHT_BOOSTER = (20, 2)
 
 
 def _tuned_f1(oof: DataFrame) -> tuple[float, float]:
@@ -338,7 +340,7 @@ def capacity_sweep(df: DataFrame, features: Sequence[str], grid=CAPACITY_GRID,
 
 def feature_ablation(tables: dict, builders: dict, fold: str = "fold") -> DataFrame:
     """Tuned F1 of every model on every feature-set variant, and the
-    change against the first (baseline) variant.
+    change against the variant before it (0 for the first).
 
     ``tables``: variant name -> (fold-assigned DataFrame, feature list);
     ``builders``: model name -> callable(features, df) -> estimator.
@@ -346,12 +348,12 @@ def feature_ablation(tables: dict, builders: dict, fold: str = "fold") -> DataFr
     rows = []
     variants = list(tables)
     for model_name, make in builders.items():
-        base_f1 = None
+        before = None
         for v in variants:
             df, feats = tables[v]
             oof = out_of_fold(df, make(feats, df).fit, fold=fold)
             _, f1 = _tuned_f1(oof)
-            base_f1 = f1 if base_f1 is None else base_f1
-            rows.append((model_name, v, f1, f1 - base_f1))
+            rows.append((model_name, v, f1, 0.0 if before is None else f1 - before))
+            before = f1
     spark = next(iter(tables.values()))[0].sparkSession
     return spark.createDataFrame(rows, "model string, variant string, f1 double, delta_f1 double")

@@ -395,6 +395,12 @@ def _coords(spark, sf):
     return coords
 
 
+@register("pca_explained")
+def q_pca_explained(spark, sf):
+    _, explained = cluster.fit_pca(_style_scaled(spark, sf), list(STYLE_COLUMNS), 2)
+    return finish(explained)
+
+
 @register("pca")
 def q_pca(spark, sf):
     return _coords(spark, sf).select("driver", "lap_number", "compound", "pc1", "pc2")
@@ -417,6 +423,16 @@ def q_gmm_bic(spark, sf):
     return cluster.select_n_components_by_bic(_coords(spark, sf), ["pc1", "pc2"], (1, 2, 3, 4, 5))
 
 
+#: Two columns, so that the closed form of one component stays short in SQL.
+ONE_COMPONENT_COLUMNS = ("mean_speed_kmh", "mean_throttle_pct")
+
+
+@register("gmm_bic_one")
+def q_gmm_bic_one(spark, sf):
+    """U7 at k = 1: the fit has a closed form."""
+    return finish(cluster.select_n_components_by_bic(_lap_summary(spark, sf), ONE_COMPONENT_COLUMNS, (1,)))
+
+
 @register("silhouette")
 def q_silhouette(spark, sf):
     labelled = cluster.fit_kmeans(_coords(spark, sf), ["pc1", "pc2"], 3).cache()
@@ -446,12 +462,18 @@ def q_feature_ablation(spark, sf):
         df = features.build_dnf_features(season, include_team_reliability=rel,
                                          include_circuit_type=circ, keep=("entry_id",),
                                          sparse_teams=True)
-        df = folds.attach_folds(df, fold_table)
+        df = folds.attach_folds(df, fold_table).persist()  # read by the fits of all models
         feats = [*DNF_X] + [c for c in ("team_reliability", "is_street_circuit") if c in df.columns]
         tables[name] = (df, feats)
+    spw = classify.default_scale_pos_weight(base)
     builders = {"tree": lambda f, d: classify.build_dnf_tree(f),
-                "logistic": lambda f, d: classify.build_dnf_logistic(f)}
+                "logistic": lambda f, d: classify.build_dnf_logistic(f),
+                "forest": lambda f, d: classify.build_dnf_forest(f),
+                "boosting": lambda f, d: classify.build_dnf_boosting(f, spw, *classify.LIGHT_BOOSTER),
+                "stacking": lambda f, d: classify.build_dnf_stacking(f, spw, key_columns=("entry_id",))}
     out = classify.feature_ablation(tables, builders)
+    for df, _ in tables.values():
+        df.unpersist()
     season.unpersist()
     return out
 

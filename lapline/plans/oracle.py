@@ -479,6 +479,13 @@ pl AS (
     z = ", ".join(f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () > 0 "
                   f"THEN stddev_pop({c}) OVER () ELSE 1 END, 6) AS {c}" for c in STYLE)
     q["zscore"] = nudged(f"WITH {LAPS}{TEL} SELECT driver, lap_number, compound, {z} FROM summary")
+    # log likelihood of one full-covariance normal, 1e-6 on the diagonal, at its own moments
+    q["gmm_bic_one"] = (
+        f"WITH {LAPS}{TEL}, m AS (SELECT count(*) AS n, var_pop(x) AS sx, var_pop(y) AS sy, covar_pop(x, y) AS sxy "
+        "FROM (SELECT mean_speed_kmh AS x, mean_throttle_pct AS y FROM summary) WHERE x IS NOT NULL AND y IS NOT NULL), "
+        "c AS (SELECT *, sx + 1e-6 AS a, sy + 1e-6 AS b, (sx + 1e-6) * (sy + 1e-6) - sxy * sxy AS det FROM m) "
+        "SELECT CAST(1 AS INTEGER) AS k, round(n * (2 * ln(2 * pi()) + ln(det) + (b * sx - 2 * sxy * sxy + a * sy) / det) "
+        "+ 5 * ln(n), 6) AS bic FROM c")
     snake = "CAST(CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS INTEGER) AS fold"
     q["group_folds"] = (
         "WITH c AS (SELECT 'S' || l_suppkey AS \"group\", count(*) AS n FROM lineitem GROUP BY 1), "

@@ -202,3 +202,76 @@ def test_sparse_teams_at_any_width(spark):
     out = {r.group: r.team_levels for r in build_dnf_features(df, sparse_teams=True).collect()}
     assert len(out) == 1501 and out["D7"].size == 1500
     assert list(out["D7"].indices) == [7] and out["X"].numNonzeros() == 0
+
+
+def dnf_rows(spark, n=400, seed=11):
+    """One row in six retires, more often from the back of the grid and in team X."""
+    rng = np.random.default_rng(seed)
+    grid = rng.integers(1, 21, n).astype(float)
+    team = rng.random(n) < 0.3
+    p = 1 / (1 + np.exp(-(0.25 * (grid - 17) + 1.5 * team)))
+    y = (rng.random(n) < p).astype(float)
+    rows = [(i, f"D{i % 40}", float(g), float(t), float(not t), float(v)) for i, (g, t, v) in enumerate(zip(grid, team, y))]
+    return spark.createDataFrame(rows, "row_id long, group string, grid_position double, team_X double, team_Y double, label double").coalesce(1)
+
+
+DNF = ["grid_position", "team_X", "team_Y"]
+
+
+def test_logistic_equals_a_newton_solve(spark):
+    df = dnf_rows(spark)
+    pdf = df.toPandas()
+    model = classify.build_dnf_logistic(DNF).fit(df)
+    x = pdf[DNF].to_numpy()
+    x[:, 0] = (x[:, 0] - x[:, 0].mean()) / x[:, 0].std()
+    y = pdf.label.to_numpy()
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    b = np.zeros(3)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ b))
+        h = (x * (w * p * (1 - p))[:, None]).T @ x + np.eye(3)
+        b -= np.linalg.solve(h, x.T @ (w * (p - y)) + b)
+    assert np.allclose(model.model.coefficients.toArray(), b, atol=1e-6)
+    assert model.model.intercept == 0.0
+
+
+def mean_probability(est, df):
+    return est.fit(df).transform(df).agg(F.avg("probability")).first()[0]
+
+
+def test_balanced_weights_raise_the_rare_class(spark):
+    df = dnf_rows(spark)
+    for make in (classify.build_dnf_tree, classify.build_dnf_logistic):
+        assert mean_probability(make(DNF), df) > mean_probability(make(DNF, class_weight=None), df) + 0.02
+
+
+def test_forest_and_booster_learn_and_weigh(spark):
+    df = dnf_rows(spark).cache()
+    forest = classify.build_dnf_forest(DNF, n_estimators=20)
+    booster = classify.build_dnf_boosting(DNF, 1.0, 10, 2)
+    for est in (forest, booster):
+        scored = est.fit(df).transform(df)
+        assert scored.count() == df.count()
+        assert metrics.roc_auc(scored).first().roc_auc > 0.75
+    assert mean_probability(classify.build_dnf_boosting(DNF, 5.0, 10, 2), df) > mean_probability(booster, df) + 0.02
+    df.unpersist()
+
+
+@pytest.mark.parametrize("kernel", ["linear", "rbf"])
+def test_svm_separates_compounds(spark, kernel):
+    rng = np.random.default_rng(4)
+    rows = [(c, *map(float, rng.normal(size=2) * 0.4 + m)) for c, m in (("hard", (0, 4)), ("medium", (4, 0)), ("soft", (-4, -4)))
+            for _ in range(40 if c != "soft" else 8)]
+    df = spark.createDataFrame(rows, "label string, a double, b double").coalesce(1)
+    found = classify.TyreSvm(["a", "b"], kernel=kernel).fit(df).transform(df)
+    assert found.where("prediction = label").count() >= 86
+
+
+def test_ablation_compares_with_the_variant_before(spark):
+    df = dnf_rows(spark, 120).withColumn("fold", (F.col("row_id") % 2).cast("int")).cache()
+    tables = {"a": (df, DNF[:1]), "b": (df, DNF[:2]), "c": (df, DNF)}
+    rows = classify.feature_ablation(tables, {"tree": lambda f, d: classify.build_dnf_tree(f)}).collect()
+    assert [r.variant for r in rows] == ["a", "b", "c"] and rows[0].delta_f1 == 0.0
+    for before, r in zip(rows, rows[1:]):
+        assert r.delta_f1 == pytest.approx(r.f1 - before.f1)
+    df.unpersist()
