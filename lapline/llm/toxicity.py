@@ -23,10 +23,10 @@ from lapline.llm.common import pieces, remainder, with_columns
 SIZES, BITS = (3, 4, 5, 6), 18
 #: Labelled rows of each class that the linear classifier is fitted on.
 SAMPLE_PER_CLASS = 1000
-#: Labelled texts a feature must occur in; rarer ones have ratio 0.
-MIN_TEXTS = 20
-#: Ratios nearer to 0 than this (in nats) count as 0.
-MIN_RATIO = 0.5
+#: Every feature keeps its ratio, however rare or near to 0; the smoothing alone damps rare ones.
+MIN_TEXTS, MIN_RATIO = 0, 0.0
+#: Features of the sample that one part of a gradient step reads.
+_STEP_FEATURES = 1 << 20
 _BATCH = 1 << 19
 SMOOTHING, PENALTY, STEPS = 1.0, 0.3, 200
 #: Largest label table that is broadcast; beyond it labels and texts meet by a shuffled join.
@@ -83,7 +83,6 @@ def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     n[1, found["feature"][real]] = found["n1"][real]
     share = (n + SMOOTHING) / (n + SMOOTHING).sum(axis=1, keepdims=True)
     ratio = np.log(share[1] / share[0])
-    ratio = np.where((n.sum(axis=0) >= MIN_TEXTS) & (np.abs(ratio) >= MIN_RATIO), ratio, 0.0)
     none, toxic = (int(found[c][~real].sum()) for c in ("n0", "n1"))
     return ratio, none, toxic
 
@@ -110,25 +109,34 @@ def labelled_sample(rows: DataFrame, per_class: int, counts: tuple[int, int], ra
 
 
 def _fit(features: list[np.ndarray], truth: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on the scaled features, by full-batch gradient steps with momentum."""
+    """Logistic regression on the scaled features, by full-batch gradient steps with momentum, added up over parts of the sample."""
     used = np.unique(np.concatenate(features)) if features else np.empty(0, np.int64)
     used = used[ratio[used] != 0]
     place = np.full(len(ratio), -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
     rows = [place[f][place[f] >= 0] for f in features]
     lengths = np.array([len(r) for r in rows])
-    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
     scale = ratio[used]
+    # parts of whole examples: temporary arrays are as long as a part, not as the sample
+    part = np.cumsum(lengths) // _STEP_FEATURES
+    bounds = [*np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist(), len(rows)]
+    parts = [(a, b, np.concatenate(rows[a:b]), np.repeat(np.arange(b - a, dtype=np.int32), lengths[a:b]))
+             for a, b in zip(bounds, bounds[1:])]
+    del rows
     w, b = np.zeros(len(used)), 0.0
     v, vb = np.zeros_like(w), 0.0
     # a bound on the curvature: the largest squared length of an example
-    lengths2 = np.bincount(owner, weights=scale[flat] ** 2, minlength=len(rows))
-    rate = 1.0 / (0.25 * (np.mean(lengths2) * 4 + 1) + PENALTY / max(1, len(rows)))
+    number = len(lengths)
+    lengths2 = np.concatenate([np.bincount(o, weights=scale[f] ** 2, minlength=e - a) for a, e, f, o in parts])
+    rate = 1.0 / (0.25 * (np.mean(lengths2) * 4 + 1) + PENALTY / max(1, number))
     for _ in range(STEPS):
-        z = np.bincount(owner, weights=(scale * w)[flat], minlength=len(rows)) + b
-        d = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - truth) / len(rows)
-        g = np.bincount(flat, weights=d[owner], minlength=len(used)) * scale + PENALTY / len(rows) * w
-        v, vb = 0.9 * v - rate * g, 0.9 * vb - rate * d.sum()
+        scaled, g, gb = scale * w, np.zeros(len(used)), 0.0
+        for a, e, f, o in parts:
+            z = np.bincount(o, weights=scaled[f], minlength=e - a) + b
+            d = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - truth[a:e]) / number
+            g += np.bincount(f, weights=d[o], minlength=len(used))
+            gb += d.sum()
+        v, vb = 0.9 * v - rate * (g * scale + PENALTY / number * w), 0.9 * vb - rate * gb
         w, b = w + v, b + vb
     out = np.zeros(len(ratio))
     out[used] = w * scale

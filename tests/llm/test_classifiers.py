@@ -135,3 +135,21 @@ def test_samples_stay_small_however_many_copies(spark):
     assert len(langid.labelled_sample(copied, "text", "lang", 50)) < 200
     ratio = np.ones(1 << toxicity.BITS)
     assert 0 < len(toxicity.labelled_sample(copied, 50, (1333, 667), ratio)) < 300
+
+
+def test_rare_decisive_words_keep_their_ratio(spark):
+    """Nine toxic texts and no other have the marker: its n-grams decide, whatever the size of the table."""
+    rows = [(f"plain words {i % 7} of a text" + (" clown" if i < 9 else ""), int(i < 9)) for i in range(300)]
+    ratio, none, toxic = toxicity.log_count_ratios(spark.createDataFrame(rows, "text string, toxic int"))
+    assert (none, toxic) == (291, 9)
+    marker = np.unique(features("clown", toxicity.SIZES, toxicity.BITS, True))
+    assert (ratio[marker] > 2).all()
+
+
+def test_toxicity_ranks_held_out_texts_well(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    held = [(r["score"], truth[r["doc_id"]]) for r in toxicity.score_documents(docs, labels).collect()
+            if r["held_out"] and r["doc_id"] in truth]
+    assert np.mean([a > b for a, t in held if t for b, u in held if not u]) > 0.9
