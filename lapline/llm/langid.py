@@ -65,11 +65,12 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, per_language: int) -> list:
     """At most about ``per_language`` distinct texts of every language, by a hash of the text, as (lang, part, features, counts).
 
-    Copies of a text are drawn or left together, and count once: however many they are, the sample stays small.
+    Copies of a text are drawn or left together, and count once, also in a language's share: however many they are,
+    the sample stays small and the language's other texts are drawn as without them.
     """
     known = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .where("text is not null and lang is not null")
-    sizes = cut(known.groupBy("lang").count())
+    sizes = cut(known.select("lang", F.xxhash64("text").alias("t")).distinct().groupBy("lang").count())
     if sizes.count() <= BROADCAST_LANGUAGES:
         sizes = F.broadcast(sizes)
     share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))

@@ -87,10 +87,18 @@ def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     return ratio, none, toxic
 
 
+def distinct_texts(rows: DataFrame) -> tuple[int, int]:
+    """The number of distinct texts (by their hashes) among the other and the toxic rows."""
+    found = rows.select("toxic", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t")).distinct().groupBy("toxic").count().collect()
+    number = {r["toxic"]: r["count"] for r in found}
+    return number.get(0, 0), number.get(1, 0)
+
+
 def labelled_sample(rows: DataFrame, per_class: int, counts: tuple[int, int], ratio: np.ndarray) -> list:
     """At most about ``per_class`` distinct texts of either class, by a hash of the text, as (toxic, features whose ratio isn't 0).
 
-    Copies of a text are drawn or left together, and count once: however many they are, the sample stays small.
+    ``counts`` are the distinct texts of both classes.  Copies of a text are drawn or left together, and count once:
+    however many they are, the sample stays small and the class's other texts are drawn as without them.
     """
     sent = rows.sparkSession.sparkContext.broadcast(ratio != 0)
     share = F.when(F.col("toxic") == 1, per_class / max(1, counts[1])).otherwise(per_class / max(1, counts[0]))
@@ -150,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ratio, none, toxic = log_count_ratios(rows)
     if not none or not toxic:
         return Model(np.zeros(1 << BITS), float(np.log((toxic + 1) / (none + 1))))
-    drawn = sorted(labelled_sample(rows, per_class, (none, toxic), ratio), key=lambda r: (r["toxic"], r["features"]))
+    drawn = sorted(labelled_sample(rows, per_class, distinct_texts(rows), ratio), key=lambda r: (r["toxic"], r["features"]))
     truth = np.array([r["toxic"] for r in drawn], float)
     if not 0 < truth.sum() < len(truth):
         return Model(ratio / 10, float(np.log(toxic / none)))

@@ -153,3 +153,16 @@ def test_toxicity_ranks_held_out_texts_well(spark):
     held = [(r["score"], truth[r["doc_id"]]) for r in toxicity.score_documents(docs, labels).collect()
             if r["held_out"] and r["doc_id"] in truth]
     assert np.mean([a > b for a, t in held if t for b, u in held if not u]) > 0.9
+
+
+def test_copies_take_no_place_in_the_samples(spark, monkeypatch):
+    """99 of 100 rows of one language and class are copies: all its distinct texts are drawn, or about the number asked for."""
+    rows = [(i, f"text number {i} of many", "en", 0) for i in range(400)]
+    rows += [(1000 + i, f"texte {i} sur bien d'autres" if i < 40 else "copie", "fr", 1) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    drawn = [r["lang"] for r in langid.labelled_sample(docs, "text", "lang", 50)]
+    assert drawn.count("fr") == 41 and 20 < drawn.count("en") < 100
+    truths, fit = [], toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda f, truth, ratio: truths.append(truth) or fit(f, truth, ratio))
+    toxicity.train(docs.drop("toxic"), docs.select("doc_id", "toxic"), per_class=50)
+    assert truths[0].sum() == 41 and 20 < len(truths[0]) - 41 < 100
