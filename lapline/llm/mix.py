@@ -4,9 +4,10 @@ Every source is a queue of its documents in shuffled order, repeated at
 most ``max_repeats`` times; its share of the service is its target.  A
 document copy has a virtual start and finish time: the source's words
 before it, and up to its end, over the target.  The mix is the global range
-sort of all copies by finish time, cut at the total budget: all copies that
-have finished by then are taken whole, and of the copy that each source is
-serving at that moment, the words served so far.
+sort of all copies by finish time, cut at the budget.  The copy that a source
+is serving at the cut is taken whole too: no text is cut, and a source's words
+pass its target by less than one document.  The words served by the
+cut are counted apart.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def fair_schedule(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats
                   row_col: str | None = None) -> DataFrame:
     """One row for each document copy that could be served: (row, doc_id, size, source_size, target, copy, finish, words).
 
-    ``words`` is what the mix takes of the copy (0 after the cut) and
+    ``words`` is what is served of the copy by the cut (0 after it) and
     ``row`` identifies the document's row (``row_col`` if given, else a new number).  A null text has size 0, a null
     source is a source of its own, null ids and repeated rows are documents
     of their own; documents without words are listed with one copy of 0
@@ -94,15 +95,19 @@ def fair_schedule(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats
 
 
 def mix(schedule: DataFrame) -> DataFrame:
-    """The copies that the mix takes, range-sorted by finish time, with ``position``: the words of the mix before each."""
-    taken = schedule.where("words > 0").withColumn("all", F.lit(0).cast("long"))
+    """The copies that the mix takes, whole, range-sorted by finish time, with ``position``: the words of the mix before each.
+
+    A copy is taken if its service has begun by the cut; ``served`` are the words served by then.
+    """
+    taken = schedule.where("words > 0").withColumn("served", F.col("words")).withColumn("words", F.col("size")) \
+        .withColumn("all", F.lit(0).cast("long"))
     return running_total(taken, "all", ["finish", "row", "copy"], "words", "position").drop("all")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """One row for each document: doc_id, size, source_size, target, taken and the place of its first copy in the mix."""
+    """One row for each document: doc_id, size, source_size, target, the words served by the cut and the place of its first copy in the mix."""
     schedule = cut(fair_schedule(docs, **options))
-    places = mix(schedule).groupBy("row").agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
+    places = mix(schedule).groupBy("row").agg(F.sum("served").alias("taken"), F.min("position").alias("first_position"))
     return schedule.where("copy = 0").select("row", "doc_id", "size", "source_size", "target") \
         .join(places, "row", "left") \
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
@@ -111,30 +116,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
               weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = "mix") -> DataFrame:
-    """The mix itself: a row with all columns of ``docs`` for each copy taken.
+    """The mix itself: a row with all columns of ``docs``, its text whole, for each copy taken.
 
-    The copy that the budget cuts keeps the words that were served (and an
-    ``n_chars`` column follows); a document of which nothing is taken, as
-    one without words, goes.  Copies keep their document's id.  Rows are
-    numbered once, in a stored table: numbers given anew on each read would follow
-    the file splits, which change with the number of executors.
+    A document of which nothing is taken, as one without words, goes.
+    Copies keep their document's id.  Rows are numbered once, in a stored
+    table: numbers given anew on each read would follow the file splits,
+    which change with the number of executors.
     """
     numbered = stored(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "numbered")
     schedule = fair_schedule(numbered, weights, max_repeats, seed, id_col, text_col, source_col, "_mix_row")
-    served = schedule.where("words > 0").select(
-        F.col("row").alias("_mix_row"), F.col("words").alias("_mix_words"), F.col("size").alias("_mix_size"))
-    joined = numbered.join(served, "_mix_row")
-    space = r"[\x20\x09-\x0D]"
-    word_ends = F.split(F.col(text_col), rf"(?<!{space})(?={space})")
-    cut_text = F.array_join(F.slice(word_ends, F.lit(1), F.col("_mix_words").cast("int")), "")
-    is_cut = F.col("_mix_words") < F.col("_mix_size")
-    columns = []
-    for c in docs.columns:
-        if c == text_col:
-            columns.append(F.when(is_cut, cut_text).otherwise(F.col(c)).alias(c))
-        elif c == "n_chars":
-            kind = docs.schema[c].dataType
-            columns.append(F.when(is_cut, F.length(cut_text).cast(kind)).otherwise(F.col(c)).alias(c))
-        else:
-            columns.append(F.col(f"`{c}`"))
-    return joined.select(*columns)
+    begun = schedule.where("words > 0").select(F.col("row").alias("_mix_row"))
+    return numbered.join(begun, "_mix_row").select(*(F.col(f"`{c}`") for c in docs.columns))

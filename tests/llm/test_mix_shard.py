@@ -89,6 +89,23 @@ def test_mix_order_and_texts(spark, documents, tmp_path):
     assert words == by_doc
 
 
+def test_texts_are_taken_whole(spark):
+    """A long document is at the cut of each source: it is whole in the mix, and words pass the target by less than a document."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(700 if i % 5 == 0 else 20)), f"s{i % 3}", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    served = {r["doc_id"]: r for r in mix.mixed_documents(docs).collect()}
+    assert any(0 < r["taken"] % r["size"] for r in served.values())  # the budget does cut a copy
+    whole, words = {r[0]: r[1] for r in rows}, Counter()
+    texts = mix.mix_texts(docs).collect()
+    for r in texts:
+        assert r["text"] == whole[r["doc_id"]]
+        words[r["source"]] += len(WORD.findall(r["text"]))
+    assert {r["doc_id"] for r in texts} == {d for d, r in served.items() if r["taken"]}
+    for s, n in words.items():
+        target = next(r["target"] for d, r in served.items() if f"s{d % 3}" == s)
+        assert -1 < n - target < 700
+
+
 def test_shards(spark, documents, odd_documents, no_documents):
     for docs in (documents, odd_documents):
         records, slot_map, edits = shard.shard_documents(docs)
