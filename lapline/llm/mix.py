@@ -3,11 +3,12 @@
 Every source is a queue of its documents in shuffled order, repeated at
 most ``max_repeats`` times; its share of the service is its target.  A
 document copy has a virtual start and finish time: the source's words
-before it, and up to its end, over the target.  The mix is the global range
-sort of all copies by finish time, cut at the budget.  The copy that a source
-is serving at the cut is taken whole too: no text is cut, and a source's words
-pass its target by less than one document.  The words served by the
-cut are counted apart.
+before it, and up to its end, over the target.  The cut is a quota for each
+source, its target in whole words, in place of a running total over the global range
+sort by finish time, which only gives the copies taken their positions.
+The copy that a source is serving at the cut is taken whole too: no text is
+cut, and a source's words pass its target by less than one document.  The
+words served by the cut are counted apart.
 """
 
 from __future__ import annotations
