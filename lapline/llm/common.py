@@ -57,6 +57,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: Sequence[str], name: str) -> str:
+    """``name``, or with underscores before it: a column name that none of ``taken`` equals, letter case aside."""
+    have = {x.lower() for x in taken}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
@@ -175,3 +183,25 @@ def running_total(df: DataFrame, group: str, order: Sequence[str], value: str, o
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(result)], names=[*columns, out])
 
     return ordered.mapInArrow(totals, schema)
+
+
+#: A key is hot if it holds this part of all rows or more; there are at most this many such keys.
+HOT_SHARE = 4096
+
+
+def skewed_join(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``left`` joined with ``right`` (one row for each ``key``), whatever part of ``left`` one key holds.
+
+    Keys of at least one row in ``HOT_SHARE`` are found by a count that is
+    pre-aggregated map-side; there can be no more than ``HOT_SHARE`` of them, so
+    their rows of ``right`` are broadcast.  All others meet in a plain join.
+    ``left`` is read three times: pass a stored table.  Null keys match nothing.
+    """
+    sizes = left.groupBy(key).agg(F.count("*").alias("n"))
+    total = left.count()
+    hot = sizes.where((F.col("n") * HOT_SHARE >= total) & F.col(key).isNotNull()).select(key)
+    rows = [(r[0],) for r in hot.collect()]
+    schema = T.StructType([T.StructField(key, left.schema[key].dataType)])
+    few = F.broadcast(left.sparkSession.createDataFrame(rows, schema))
+    by_broadcast = left.join(few, key, "left_semi").join(F.broadcast(right.join(few, key, "left_semi")), key, how)
+    return by_broadcast.unionByName(left.join(few, key, "left_anti").join(right, key, how))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapline.llm import chat, embed_dedup, langid, lm, mix, packing, shard, simhash, topk, toxicity
+from lapline.llm import chat, embed_dedup, langid, line_rules, lm, mix, packing, shard, simhash, topk, toxicity
 from lapline.llm.common import ship_package
 
 
@@ -64,10 +64,14 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.assess(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_format, op2_lm_score, op3_simhash_dedup, op4_embedding_dedup, op5_mix_sources, op6_shard_slots,
-        op7_language_id, op8_topk_search, op9_toxicity, op10_best_fit_pack)
+        op7_language_id, op8_topk_search, op9_toxicity, op10_best_fit_pack, op12_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
@@ -117,4 +121,34 @@ ORACLES: dict[str, str] = {
               FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
         r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_quality_rules": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS host FROM documents),
+        w AS (
+            SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words,
+                   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+            FROM d),
+        starts AS (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w),
+        twice AS (SELECT r, i FROM starts
+                  QUALIFY count(*) OVER (PARTITION BY r, array_to_string(list_slice(words, i, i + 7), ' ')) > 1),
+        covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r),
+        base AS (
+            SELECT r, doc_id, host, text, lines, len(words)::BIGINT AS n_words,
+                   coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+            FROM w LEFT JOIN covered c USING (r)),
+        line AS (
+            SELECT r, host, text, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n,
+                   regexp_replace(array_to_string(regexp_extract_all(
+                       translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), ' '),
+                       '[0-9]+', '0', 'g') AS line
+            FROM (SELECT r, host, text, unnest(lines) AS x FROM base)),
+        often AS (SELECT host, line FROM line GROUP BY host, line HAVING count(DISTINCT text) > 10),
+        lost AS (SELECT r, sum(n)::BIGINT AS n FROM line JOIN often USING (host, line) GROUP BY r)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+                   AND (n_words - coalesce(lost.n, 0)) * 1000 >= n_words * 500 AS kept, coalesce(lost.n, 0)::BIGINT AS removed_words
+        FROM base LEFT JOIN lost USING (r)""",
 }
