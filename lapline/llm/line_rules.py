@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapline.llm.common import cut, fresh, pieces, skewed_join
 
@@ -193,7 +194,7 @@ def without_frequent_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS,
         .mapInArrow(strip, "text_key long, clean string")
     kept = [c for c in docs.columns if c != out]
     key, new = fresh(docs.columns, "text_key"), fresh(docs.columns, "clean")
-    with_key = docs.mapInArrow(_keyed(docs.columns, text_col, host_col, key), docs.schema.add(key, "long"))
+    with_key = docs.mapInArrow(_keyed(docs.columns, text_col, host_col, key), T.StructType([*docs.schema.fields, T.StructField(key, T.LongType())]))
     return skewed_join(cut(with_key), clean.toDF(key, new), key).select(*kept, F.coalesce(F.col(new), text).alias(out))
 
 
