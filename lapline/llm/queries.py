@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapline.llm import chat, embed_dedup, langid, line_rules, lm, mix, packing, shard, simhash, topk, toxicity
+from lapline.llm import chat, divergence, embed_dedup, langid, line_rules, lm, mix, packing, shard, simhash, topk, toxicity
 from lapline.llm.common import ship_package
 
 
@@ -64,6 +64,10 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.assess(_read(spark, sf_dir, "documents"))
 
@@ -71,7 +75,8 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_format, op2_lm_score, op3_simhash_dedup, op4_embedding_dedup, op5_mix_sources, op6_shard_slots,
-        op7_language_id, op8_topk_search, op9_toxicity, op10_best_fit_pack, op12_quality_rules)
+        op7_language_id, op8_topk_search, op9_toxicity, op10_best_fit_pack, op11_source_divergence,
+        op12_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
@@ -121,6 +126,32 @@ ORACLES: dict[str, str] = {
               FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
         r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_source_divergence": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+            FROM documents),
+        t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+        kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        cell AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        l AS (SELECT lang, coalesce(any_value(k.v), 0)::HUGEINT AS v, coalesce(any_value(k.n), 0)::HUGEINT AS n
+              FROM d LEFT JOIN (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang) k USING (lang) GROUP BY lang),
+        g AS (SELECT lang, source, coalesce(any_value(c.n), 0)::HUGEINT AS n
+              FROM d LEFT JOIN (SELECT lang, source, sum(n) AS n FROM cell GROUP BY ALL) c USING (lang, source) GROUP BY lang, source),
+        p AS (SELECT g.lang, g.source, kept.term, coalesce(cell.n, 0) AS count,
+                     1 + (1000000000::HUGEINT * (coalesce(cell.n, 0) + 2)) // (g.n + 2 * l.v) AS p,
+                     1 + (1000000000::HUGEINT * (kept.n + 2)) // (l.n + 2 * l.v) AS q
+              FROM g JOIN l USING (lang) JOIN kept USING (lang) LEFT JOIN cell USING (lang, source, term)),
+        pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                 FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+        every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0)::BIGINT AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+                  UNION ALL
+                  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE count > 0 AND p > q)
+        SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM every
+        QUALIFY part = 'pair' OR rank <= 10""",
     "op12_quality_rules": """
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS host FROM documents),
