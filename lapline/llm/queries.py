@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapline.llm import chat, divergence, embed_dedup, langid, line_rules, lm, mix, packing, shard, simhash, topk, toxicity
+from lapline.llm import chat, divergence, embed_dedup, langid, line_rules, lm, mix, packing, repair, shard, simhash, topk, toxicity
 from lapline.llm.common import ship_package
 
 
@@ -72,11 +72,15 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.assess(_read(spark, sf_dir, "documents"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_digests(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_format, op2_lm_score, op3_simhash_dedup, op4_embedding_dedup, op5_mix_sources, op6_shard_slots,
         op7_language_id, op8_topk_search, op9_toxicity, op10_best_fit_pack, op11_source_divergence,
-        op12_quality_rules)
+        op12_quality_rules, op13_structure_repair)
 }
 
 ORACLES: dict[str, str] = {
