@@ -149,8 +149,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_l
     return Model(languages, w * idf[:, None] * _SCALE, b, temperature)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Append ``lang_pred`` and ``score`` (the calibrated probability); all rows and other columns stay.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Append ``lang_pred`` and ``score`` (the calibrated probability) under ``names``; all rows and other columns stay.
 
     A null text or one without a letter is ``und`` with score 0, and so is
     every text if no language was learned.
@@ -174,7 +174,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
         return compute
 
-    return with_columns(docs, make, [("lang_pred", T.StringType()), ("score", T.DoubleType())], text_col, _BATCH)
+    return with_columns(docs, make, [(names[0], T.StringType()), (names[1], T.DoubleType())], text_col, _BATCH)
 
 
 def identify(docs: DataFrame, modulus: int = 4, held_remainder: int = 2, id_col: str = "doc_id", text_col: str = "text",

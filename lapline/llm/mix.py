@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapline.llm.common import cut, running_total, stored
+from lapline.llm.common import cut, fresh, running_total, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -124,7 +124,8 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     table: numbers given anew on each read would follow the file splits,
     which change with the number of executors.
     """
-    numbered = stored(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "numbered")
-    schedule = fair_schedule(numbered, weights, max_repeats, seed, id_col, text_col, source_col, "_mix_row")
-    begun = schedule.where("words > 0").select(F.col("row").alias("_mix_row"))
-    return numbered.join(begun, "_mix_row").select(*(F.col(f"`{c}`") for c in docs.columns))
+    number = fresh(docs.columns, "row")
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    schedule = fair_schedule(numbered, weights, max_repeats, seed, id_col, text_col, source_col, number)
+    begun = schedule.where("words > 0").select(F.col("row").alias(number))
+    return numbered.join(begun, number).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -22,7 +22,6 @@ import json
 import os
 import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -34,76 +33,66 @@ from lapline.llm.common import cut, pieces, running_total
 
 CAPACITY = 2048
 END_ID = 0
-#: Words, their punctuation and white space: a byte-level BPE never merges across these borders.
-_CHUNK = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ ,.|\n]|\Z)|[,.]+(?=[ \n]|\Z)| ?\S+|\s+(?!\S)|\s+")
-#: One word of the tokenizer's own splitting: the merges alone make its ids.
-_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: A byte-level BPE with its own splitting parts texts by this pattern; merges never cross its borders.  Fixed value.
+_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The byte-level alphabet: printable bytes stand for themselves, the others, in order, for code points from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-#: White space to Python's ``re`` but not to the tokenizer; texts with these are encoded whole.
-_ODD = re.compile("[\x1c-\x1f]")
-#: Chunks in each of the two generations that a worker keeps.
-_CACHE_LIMIT = 300_000
-_tokenizers: dict = {}
+#: Characters of a run without a break from which the tokenizer itself takes the text: tiktoken's time is quadratic in a run.
+_LONG = 1000
+_BLANKS = re.compile(r"\s{%d}" % _LONG)
+_encoders: dict = {}
 
 
-def _merger(tokenizer):
-    """word -> ids by tiktoken's merges, if they must equal the tokenizer's: its ids rise in the order of its merges."""
+def _merges(path: str):
+    """text -> ids by tiktoken's merges, if the file must give the same: a plain byte-level BPE whose ids rise in the order of its merges."""
     import tiktoken
 
-    model = json.loads(tokenizer.to_str())["model"]
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    model, split = made["model"], made.get("pre_tokenizer") or {}
     vocab = model.get("vocab", {})
     merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model.get("merges", [])]
     byte_of = {chr(_BYTE_LEVEL.get(b, b)): b for b in range(256)}
     plain = {t: i for t, i in vocab.items() if t and all(c in byte_of for c in t)}
-    made = set(merged)
-    ranks = {bytes(byte_of[c] for c in t): i for t, i in plain.items() if len(t) == 1 or i in made}
-    if None in merged or merged != sorted(merged) or not {bytes([b]) for b in range(256)} <= ranks.keys() \
-            or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")):
+    joined = set(merged)
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in plain.items() if len(t) == 1 or i in joined}
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True) \
+            or made.get("normalizer") or made.get("truncation") or model.get("type") != "BPE" \
+            or None in merged or merged != sorted(merged) or not {bytes([b]) for b in range(256)} <= ranks.keys() \
+            or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
         return None
-    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tiktoken.Encoding("texts", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-class _Chunks(dict):
-    """chunk -> its ids, little-endian in 32 bits; two generations of a bounded table."""
+class _Encoder:
+    """Ids of texts, little-endian in 32 bits.  It holds the vocabulary and nothing that grows with the texts."""
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.merge, self.older = tokenizer, _merger(tokenizer), {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk)
-        if ids is None:
-            ids = array("I", self.merge(chunk)).tobytes() if self.merge and _LETTERS.fullmatch(chunk) else self.whole(chunk)
-        self[chunk] = ids
-        return ids
+    def __init__(self, path: str):
+        self.path, self.merges, self.tokenizer = path, _merges(path), None
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def turn(self) -> None:
-        if len(self) > _CACHE_LIMIT:
-            self.older = dict(self)
-            self.clear()
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
 
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.tokenizer.encode_special_tokens = True
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-def _encoder(path: str):
-    """texts -> little-endian 32-bit ids of each; the tokenizer and its table of chunks are a worker's."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
-
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
-        _tokenizers[path] = _Chunks(made)
-    chunks = _tokenizers[path]
+    def __call__(self, text: str) -> bytes:
+        if self.merges is None or len(text) > _LONG and (
+                max(map(len, text.split()), default=0) > _LONG or _BLANKS.search(text)):
+            return self.whole(text)
+        return np.array(self.merges(text), "<u4").tobytes()
 
-    def encode(texts: list[str]) -> list[bytes]:
-        chunks.turn()
-        return [chunks.whole(x) if _ODD.search(x) else b"".join(map(chunks.__getitem__, _CHUNK.findall(x))) for x in texts]
 
-    return encode
+def _encoder(path: str) -> _Encoder:
+    """The worker's encoder: one vocabulary, whatever the number of tasks."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = _Encoder(path)
+    return _encoders[path]
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
@@ -125,7 +114,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
         for whole in batches:
             for batch in pieces(whole, "text", 1 << 20):
                 out = [[] for _ in range(7)]
-                encoded = encode([x or "" for x in batch.column(1).to_pylist()])
+                encoded = [encode(x or "") for x in batch.column(1).to_pylist()]
                 for doc, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                     ids += tail
                     first = len(ids) % width or width

@@ -27,15 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapline.llm.common import cut, stored, text_bytes, with_columns
+from lapline.llm.common import cut, fresh, stored, text_bytes, with_columns
 from lapline.llm.graph import components, forest
 
 SHINGLE = 4
 DISTANCE = 4
 #: Members of an anchor that are compared in one cell.
 CELL = 4096
-#: Column that carries fingerprints beside a table's own columns.
-_PRINT = "_simhash_print"
 _BLOCKS = ((0, 21), (21, 21), (42, 22))
 _CODE_BITS = 15
 
@@ -250,12 +248,13 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int
     Groups are told apart by their texts alone: rows that share an id, or have
     none, stay if their texts aren't near-duplicates, and of repeated rows one stays.
     """
-    marked = stored(with_fingerprints(docs, shingle, text_col, _PRINT), "prints")
-    prints = marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(_PRINT).alias("fp"))
+    own, best, least = (fresh(docs.columns, x) for x in ("print", "first_print", "least_id"))
+    marked = stored(with_fingerprints(docs, shingle, text_col, own), "prints")
+    prints = marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(own).alias("fp"))
     rooted = fingerprint_classes(prints, distance)
     # of each group the fingerprint whose smallest id is the smallest, those without any id last
     first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first")
     chosen = rooted.groupBy("root").agg(first) \
-        .select(F.col("first.fp").alias("_simhash_first"), F.col("first.least").alias("_simhash_least"))
-    same = (marked[_PRINT] == chosen["_simhash_first"]) & marked[id_col].cast("long").eqNullSafe(chosen["_simhash_least"])
-    return marked.join(chosen, same).dropDuplicates([_PRINT]).select(*(F.col(f"`{c}`") for c in docs.columns))
+        .select(F.col("first.fp").alias(best), F.col("first.least").alias(least))
+    same = (marked[own] == chosen[best]) & marked[id_col].cast("long").eqNullSafe(chosen[least])
+    return marked.join(chosen, same).dropDuplicates([own]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -167,8 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(w, float(b + np.log(toxic / none) - np.log(drawn_odds)))
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Append ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on); all rows and other columns stay.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Append ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) under ``names``; all rows and other columns stay.
 
     Null and empty texts have no features and score by the intercept.
     """
@@ -186,7 +186,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
         return compute
 
-    return with_columns(docs, make, [("score", T.DoubleType()), ("predicted", T.IntegerType())], text_col, _BATCH)
+    return with_columns(docs, make, [(names[0], T.DoubleType()), (names[1], T.IntegerType())], text_col, _BATCH)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_remainder: int = 0, id_col: str = "doc_id",

@@ -74,18 +74,35 @@ def test_white_space_and_marks_are_tokenised_alike(spark):
     encode = packing._encoder(packing.default_tokenizer())
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     tokenizer.encode_special_tokens = True
-    for text, got in zip(texts, encode(texts)):
-        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
-
-
-def test_words_go_through_the_same_merges(spark, documents):
-    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    merge = packing._merger(tokenizer)
-    assert merge
-    words = {w for r in documents.collect() for w in packing._CHUNK.findall(r["text"]) if packing._LETTERS.fullmatch(w)}
-    assert len(words) > 5000
-    for w in words:
-        assert merge(w) == tokenizer.encode(w, add_special_tokens=False).ids
+    rest = "".join(map(chr, [*range(0x80, 0x500), *range(0x500, 0xD800, 37), *range(0xE000, 0x30000, 211)]))
+    texts += [f"a{c}b {c}1{c} {c}{c}." for c in rest]
+    texts += ["x" * 5000, " " * 5000 + "a", "\x1c" * 5000, "ab1!" * 3000, "\x85" * 3000, "word " * 3000]
+    assert encode.merges
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_texts_go_through_the_same_merges(spark, documents):
+    encode, tokenizer = packing._Encoder(packing.default_tokenizer()), Tokenizer.from_file(packing.default_tokenizer())
+    for r in documents.collect():
+        assert np.frombuffer(encode(r["text"]), "<u4").tolist() == tokenizer.encode(r["text"], add_special_tokens=False).ids
+    assert encode.tokenizer is None  # one vocabulary: no text needed the other
+
+
+def test_other_tokenizers_are_not_taken_for_byte_level(tmp_path):
+    import json
+    import shutil
+
+    path = str(tmp_path / "own.json")
+    shutil.copy(packing.default_tokenizer(), path)
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    made["pre_tokenizer"]["add_prefix_space"] = True
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(made, f)
+    encode = packing._Encoder(path)
+    assert encode.merges is None
+    assert np.frombuffer(encode("two words"), "<u4").tolist() == Tokenizer.from_file(path).encode("two words").ids
 
 
 def test_ids_come_back(spark, documents):

@@ -1,4 +1,7 @@
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lapline.llm import langid, simhash, toxicity
@@ -43,3 +46,30 @@ def test_filters_take_effect_and_keep_the_rest(stages, spark):
 def test_queries_are_registered():
     assert set(ORACLES) <= set(QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+CLASHING = ("score", "lang_pred", "predicted", "_lang_text", "_mix_row", "_simhash_print", "row", "print", "least_id", "first_print",
+            "text_key", "sequence_id", "size")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_odd_and_empty_tables_and_clashing_names(spark, odd_documents, no_documents, documents, name, stage):
+    sf = "/root/testdata/sf0.001"
+    plain = [c for c in documents.columns]
+    odd = odd_documents.select(*plain).unionByName(documents)
+    clashing = odd
+    for c in CLASHING:
+        clashing = clashing.withColumn(c, F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    kept = stage(spark, clashing, sf).collect()
+    assert len(stage(spark, no_documents, sf).collect()) == 0
+    if name == "packing":
+        pieces = Counter(r["doc_id"] for r in kept if r["piece"] == 0)
+        assert pieces == Counter(r["doc_id"] for r in odd.collect())
+        return
+    # the caller's values come through, and the same rows stay as without them
+    assert kept[0].asDict().keys() == set(clashing.columns)
+    for r in kept:
+        assert all(r[c] == f"{c} of {'none' if r['doc_id'] is None else r['doc_id']}" for c in CLASHING)
+    # a group whose smallest id is null or repeated may keep either copy: texts tell
+    assert sorted((r["text"] or "") for r in kept) == sorted((r["text"] or "") for r in stage(spark, odd, sf).collect())
+    assert {tuple(r[c] for c in plain) for r in kept} <= {tuple(r) for r in odd.collect()}
