@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,5 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once for each application, as ``--py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/lapline-code", "zip", root, "lapline"))
+        _shipped.add(app)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
