@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from lapline.models.folds import out_of_fold
 from lapline.models.metrics import scale_pos_weight
+from lapline.models.shared_fits import LIGHT
 
 SEED = 0
 W = "__w"
@@ -196,7 +197,7 @@ class StackingClassifier:
         return [("tree", build_dnf_tree(self.features)),
                 ("logistic", build_dnf_logistic(self.features)),
                 ("forest", build_dnf_forest(self.features)),
-                ("boosting", build_dnf_boosting(self.features, self.scale_pos_weight, *LIGHT_BOOSTER))]
+                ("boosting", build_dnf_boosting(self.features, self.scale_pos_weight, *LIGHT))]
 
     def fit(self, train: DataFrame) -> StackingModel:
         hashed = ["group"] if self.group_aware else list(self.key_columns)
@@ -308,52 +309,3 @@ def out_of_fold_probabilities(df: DataFrame, estimator, fold: str = "fold") -> D
 def default_scale_pos_weight(df: DataFrame, label: str = "label") -> float:
     """A4 from the full data, as the reference does."""
     return scale_pos_weight(df, label)
-
-
-# -- documented experiments (C7, C8) ----------------------------------------
-
-# The capacity grid of the booster sweep (n_estimators, max_depth).
-CAPACITY_GRID = ((200, 4), (100, 3), (50, 3), (50, 2), (20, 2))
-# Fixed value: the light booster of stacking and of the feature ablation.
-LIGHT_BOOSTER = (20, 2)
-
-
-def _tuned_f1(oof: DataFrame) -> tuple[float, float]:
-    from lapline.models.metrics import tuned_binary_metrics
-
-    r = tuned_binary_metrics(oof).first()
-    return float(r["threshold"]), float(r["f1"])
-
-
-def capacity_sweep(df: DataFrame, features: Sequence[str], grid=CAPACITY_GRID,
-                   fold: str = "fold") -> DataFrame:
-    """Booster capacity grid, each with its OOF-tuned threshold and F1."""
-    spw = scale_pos_weight(df)
-    rows = []
-    for n_est, depth in grid:
-        oof = out_of_fold(df, build_dnf_boosting(features, spw, n_est, depth).fit, fold=fold)
-        thr, f1 = _tuned_f1(oof)
-        rows.append((int(n_est), int(depth), thr, f1))
-    return df.sparkSession.createDataFrame(
-        rows, "n_estimators int, max_depth int, threshold double, f1 double")
-
-
-def feature_ablation(tables: dict, builders: dict, fold: str = "fold") -> DataFrame:
-    """Tuned F1 of every model on every feature-set variant, and the
-    change against the variant before it (0 for the first).
-
-    ``tables``: variant name -> (fold-assigned DataFrame, feature list);
-    ``builders``: model name -> callable(features, df) -> estimator.
-    """
-    rows = []
-    variants = list(tables)
-    for model_name, make in builders.items():
-        before = None
-        for v in variants:
-            df, feats = tables[v]
-            oof = out_of_fold(df, make(feats, df).fit, fold=fold)
-            _, f1 = _tuned_f1(oof)
-            rows.append((model_name, v, f1, 0.0 if before is None else f1 - before))
-            before = f1
-    spark = next(iter(tables.values()))[0].sparkSession
-    return spark.createDataFrame(rows, "model string, variant string, f1 double, delta_f1 double")

@@ -23,7 +23,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline.models.cells import Block, Cells, shared_cut, summed, unpack, with_scores
@@ -596,6 +596,22 @@ def probability(model, x: np.ndarray, code: np.ndarray) -> np.ndarray:
     return model.probability(x, code[:, -1]) if isinstance(model, Logistic) else model.probability(code, code.shape[1] - 1)
 
 
+def split_table(spark: SparkSession, cells: Cells, models: dict[int, Trees]) -> DataFrame:
+    """The splits of each fold's first tree: fold, node (of a heap), feature, cut or level, gain, the values of both sides."""
+    rows = []
+    for f, m in models.items():
+        for node in np.flatnonzero(m.feature[0] >= 0).tolist():
+            k, cut = int(m.feature[0, node]), int(m.cut[0, node])
+            of_level = k == len(cells.numeric)
+            rows.append((f, node, cells.level_col if of_level else cells.numeric[k],
+                         # a cut at the null code parts the nulls from all others
+                         None if of_level else float(cells.edges[k][cut - 1]) if cut else float("-inf"),
+                         cells.levels[cut] if of_level else None, float(m.gain[0, node]), float(m.value[0, 2 * node + 1]),
+                         float(m.value[0, 2 * node + 2])))
+    return spark.createDataFrame(rows, "fold int, node int, feature string, cut double, level string, gain double, "
+                                       "left_value double, right_value double")
+
+
 def out_of_fold(df: DataFrame, cells: Cells, fits: Sequence[Fit], fold: str = "fold") -> DataFrame:
     """K4: each row with the probability of the fit that held its fold out, and the prediction at 0.5."""
     models = {f.outer: m for f, m in fit_all(cells, fits).items()}

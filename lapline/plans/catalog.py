@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline.functions import is_street_circuit
-from lapline.models import classify, cluster, folds, linear, metrics
+from lapline.models import cells, classify, cluster, folds, linear, metrics, shared_fits
 from lapline.operators import features, profile, quality, telemetry
 from lapline.plans import inputs as I
 from lapline.plans.inputs import finish
@@ -328,31 +328,34 @@ def q_pace_cv(spark, sf):
 
 # -- classifiers (C0-C8, K3, K4) ---------------------------------------------
 
-DNF_X = ("grid_position", "team_levels")
+#: Positions of the grid position and of the team among the cells' features.
+DNF_X = (0, 1)
 
 
 def _dnf_cv_table(spark, sf):
-    df = features.build_dnf_features(I.season_results(spark, sf), keep=("entry_id",), sparse_teams=True)
-    return folds.stratified_group_kfold(df, "group", "label", n_splits=5)
+    df = features.build_dnf_features(I.season_results(spark, sf), teams=(), keep=("entry_id", "team"))
+    return shared_fits.with_inner_folds(folds.stratified_group_kfold(df, "group", "label", n_splits=5), ("entry_id",))
+
+
+def _dnf_cells(spark, sf, inner=None):
+    """The table, written once, and its cells."""
+    df = cells.shared_cut(_dnf_cv_table(spark, sf))
+    return df, cells.build_cells(df, ["grid_position"], "team", inner=inner)
+
+
+OOF_COLUMNS = ("entry_id", "fold", "label", "probability", "prediction")
 
 
 def _oof(kind):
     def q(spark, sf):
-        df = _dnf_cv_table(spark, sf)
-        feats = list(DNF_X)
-        if kind == "tree":
-            est = classify.build_dnf_tree(feats)
-        elif kind == "logistic":
-            est = classify.build_dnf_logistic(feats)
-        elif kind == "forest":
-            est = classify.build_dnf_forest(feats)
-        elif kind == "boosting":
-            est = classify.build_dnf_boosting(feats, classify.default_scale_pos_weight(df))
+        df, own = _dnf_cells(spark, sf, "inner_fold" if kind == "stacking" else None)
+        weight = classify.default_scale_pos_weight(df) if kind in ("boosting", "stacking") else 1.0
+        if kind == "stacking":
+            oof = shared_fits.out_of_fold_stack(df, own, DNF_X, weight)
         else:
-            est = classify.build_dnf_stacking(feats, classify.default_scale_pos_weight(df),
-                                              key_columns=("entry_id",))
-        oof = classify.out_of_fold_probabilities(df, est)
-        return oof.select("entry_id", "fold", "label", "probability", "prediction")
+            oof = shared_fits.out_of_fold(df, own, [shared_fits.dnf_fit(kind, DNF_X, f, None, weight) for f in own.folds])
+        oof = oof.select(*OOF_COLUMNS)
+        return finish(oof) if kind in ("tree", "logistic") else oof
     return q
 
 
@@ -360,6 +363,36 @@ for _k in ("tree", "logistic", "forest", "boosting", "stacking"):
     register(f"oof_{_k}")(_oof(_k))
 
 
+@register("tree_splits")
+def q_tree_splits(spark, sf):
+    """C1 at depth 2: the splits of every fold's tree."""
+    _, own = _dnf_cells(spark, sf)
+    fits = {f: shared_fits.dnf_fit("tree", DNF_X, f, depth=2) for f in own.folds}
+    models = shared_fits.fit_all(own, list(fits.values()))
+    return finish(shared_fits.split_table(spark, own, {f: models[x] for f, x in fits.items()}))
+
+
+@register("boosting_splits")
+def q_boosting_splits(spark, sf):
+    """C4: the splits of every fold's first round at depth 4."""
+    df, own = _dnf_cells(spark, sf)
+    weight = classify.default_scale_pos_weight(df)
+    fits = {f: shared_fits.dnf_fit("boosting", DNF_X, f, None, weight, 1) for f in own.folds}
+    models = shared_fits.fit_all(own, list(fits.values()))
+    return finish(shared_fits.split_table(spark, own, {f: models[x] for f, x in fits.items()}))
+
+
+@register("logistic_coefficients")
+def q_logistic_coefficients(spark, sf):
+    """The coefficients of every fold's fit."""
+    _, own = _dnf_cells(spark, sf)
+    fits = {f: shared_fits.dnf_fit("logistic", DNF_X, f) for f in own.folds}
+    models = shared_fits.fit_all(own, list(fits.values()))
+    rows = [(f, name, float(v)) for f, x in fits.items()
+            for name, v in zip(["grid_position", *(f"team {t}" for t in own.levels)], [*models[x].numeric, *models[x].level[:-1]], strict=True)]
+    return finish(spark.createDataFrame(rows, "fold int, feature string, coefficient double"))
+
+
 @register("tyre_svm")
 def q_tyre_svm(spark, sf):
     df = features.build_tyre_features(_lap_summary(spark, sf))
@@ -445,37 +478,20 @@ def q_silhouette(spark, sf):
 
 @register("capacity_sweep")
 def q_capacity_sweep(spark, sf):
-    df = _dnf_cv_table(spark, sf).persist()
-    out = classify.capacity_sweep(df, list(DNF_X))
-    df.unpersist()
-    return out
+    df, own = _dnf_cells(spark, sf)
+    return shared_fits.capacity_sweep(df, own, DNF_X, classify.default_scale_pos_weight(df))
 
 
 @register("feature_ablation")
 def q_feature_ablation(spark, sf):
-    season = I.season_results(spark, sf).persist()
-    base = features.build_dnf_features(season, teams=(), keep=("entry_id",))
-    fold_table = folds.stratified_group_kfold_table(base, "group", "label", 5)
-    tables = {}
-    for name, rel, circ in (("base", False, False), ("reliability", True, False),
-                            ("reliability_circuit", True, True)):
-        df = features.build_dnf_features(season, include_team_reliability=rel,
-                                         include_circuit_type=circ, keep=("entry_id",),
-                                         sparse_teams=True)
-        df = folds.attach_folds(df, fold_table).persist()  # read by the fits of all models
-        feats = [*DNF_X] + [c for c in ("team_reliability", "is_street_circuit") if c in df.columns]
-        tables[name] = (df, feats)
-    spw = classify.default_scale_pos_weight(base)
-    builders = {"tree": lambda f, d: classify.build_dnf_tree(f),
-                "logistic": lambda f, d: classify.build_dnf_logistic(f),
-                "forest": lambda f, d: classify.build_dnf_forest(f),
-                "boosting": lambda f, d: classify.build_dnf_boosting(f, spw, *classify.LIGHT_BOOSTER),
-                "stacking": lambda f, d: classify.build_dnf_stacking(f, spw, key_columns=("entry_id",))}
-    out = classify.feature_ablation(tables, builders)
-    for df, _ in tables.values():
-        df.unpersist()
-    season.unpersist()
-    return out
+    """Grid position and team, with the team's history, with the circuit as well."""
+    season = I.season_results(spark, sf)
+    df = features.build_dnf_features(season, teams=(), include_team_reliability=True, include_circuit_type=True, keep=("entry_id", "team"))
+    df = folds.stratified_group_kfold(df, "group", "label", n_splits=5)
+    df = cells.shared_cut(shared_fits.with_inner_folds(df, ("entry_id",)))
+    own = cells.build_cells(df, ["grid_position", "team_reliability", "is_street_circuit"], "team", inner="inner_fold")
+    variants = {"base": (0, 3), "reliability": (0, 1, 3), "reliability_circuit": (0, 1, 2, 3)}
+    return shared_fits.feature_ablation(df, own, variants, classify.default_scale_pos_weight(df))
 
 
 @register("compound_spread")

@@ -7,6 +7,7 @@ semantics directly.  Float outputs are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+from lapline.plans.oracle_fits import fits
 from lapline.sources.adapters import EVENT_NAMES
 
 EV = """
@@ -486,6 +487,7 @@ pl AS (
         "c AS (SELECT *, sx + 1e-6 AS a, sy + 1e-6 AS b, (sx + 1e-6) * (sy + 1e-6) - sxy * sxy AS det FROM m) "
         "SELECT CAST(1 AS INTEGER) AS k, round(n * (2 * ln(2 * pi()) + ln(det) + (b * sx - 2 * sxy * sxy + a * sy) / det) "
         "+ 5 * ln(n), 6) AS bic FROM c")
+    q.update(fits(RES))
     snake = "CAST(CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS INTEGER) AS fold"
     q["group_folds"] = (
         "WITH c AS (SELECT 'S' || l_suppkey AS \"group\", count(*) AS n FROM lineitem GROUP BY 1), "

@@ -265,13 +265,3 @@ def test_svm_separates_compounds(spark, kernel):
     df = spark.createDataFrame(rows, "label string, a double, b double").coalesce(1)
     found = classify.TyreSvm(["a", "b"], kernel=kernel).fit(df).transform(df)
     assert found.where("prediction = label").count() >= 86
-
-
-def test_ablation_compares_with_the_variant_before(spark):
-    df = dnf_rows(spark, 120).withColumn("fold", (F.col("row_id") % 2).cast("int")).cache()
-    tables = {"a": (df, DNF[:1]), "b": (df, DNF[:2]), "c": (df, DNF)}
-    rows = classify.feature_ablation(tables, {"tree": lambda f, d: classify.build_dnf_tree(f)}).collect()
-    assert [r.variant for r in rows] == ["a", "b", "c"] and rows[0].delta_f1 == 0.0
-    for before, r in zip(rows, rows[1:]):
-        assert r.delta_f1 == pytest.approx(r.f1 - before.f1)
-    df.unpersist()
