@@ -30,7 +30,10 @@ from lapline.operators.features import distinct_levels
 from lapline.session import ensure_checkpoint_dir, ship_code
 
 BLOCK_CELLS = 16_384
-CELLS_PER_PARTITION = 16_384
+#: A partition has at least this many cells, more only once every core has several partitions.
+CELLS_PER_PARTITION = 4096
+PARTITIONS_PER_CORE = 4
+MOST_CELLS = 200_000
 MAX_BINS = 256
 
 _PACKED = (("numeric", np.float64), ("code", np.int32), ("fold", np.int32), ("inner", np.int32),
@@ -62,6 +65,7 @@ class Cells:
     edges: list[np.ndarray]
     counts: dict[tuple[int, int], tuple[int, int]]  # (fold, inner) -> negatives, positives
     parts: int = 1
+    number: int = 0
 
     def bare(self) -> Cells:
         """What workers need: all but the table."""
@@ -127,7 +131,9 @@ def build_cells(df: DataFrame, numeric: Sequence[str], level_col: str | None = N
                         (F.col(inner) if inner else F.lit(0)).cast("int").alias("inner"), F.col(label).cast("double").alias("label")) \
         .groupBy(*keys).agg(F.count("*").alias("n"), F.count(F.when(F.col("label") == 1, 1)).alias("positives"),
                             F.count(F.when(F.col("label") == 0, 1)).alias("negatives"))
-    cells = shared_cut(cells.withColumn("hash", F.xxhash64(*keys)))
+    # averages differ in their last digits from run to run, the bootstrap's hashes must not
+    rounded = [F.round(k, 9) if k.startswith("x") else F.col(k) for k in keys]
+    cells = shared_cut(cells.withColumn("hash", F.xxhash64(*rounded)))
     found = cells.groupBy("fold", "inner").agg(F.sum("n").alias("n"), F.sum("negatives").alias("n0"), F.sum("positives").alias("n1"),
                                                F.count("*").alias("cells")).collect()
     if any(r.fold is None or r.inner is None or r.n != r.n0 + r.n1 for r in found):
@@ -155,8 +161,9 @@ def build_cells(df: DataFrame, numeric: Sequence[str], level_col: str | None = N
         return pa.RecordBatch.from_arrays(
             [pa.array([np.ascontiguousarray(arrays[n], t).tobytes()], pa.binary()) for n, t in _PACKED], names=[n for n, _ in _PACKED])
 
-    out.parts = parts = max(1, math.ceil(sum(r.cells for r in found) / CELLS_PER_PARTITION))
-    dealt = cells.drop("n").coalesce(1) if parts == 1 else cells.drop("n").repartition(parts, "hash")
+    n, cores = sum(r.cells for r in found), df.sparkSession.sparkContext.defaultParallelism
+    out.number, out.parts = n, max(1, min(math.ceil(n / CELLS_PER_PARTITION), max(PARTITIONS_PER_CORE * cores, math.ceil(n / MOST_CELLS))))
+    dealt = cells.drop("n").coalesce(1) if out.parts == 1 else cells.drop("n").repartition(out.parts, "hash")
     blocks = shared_cut(dealt.sortWithinPartitions("hash", *keys)
                             .mapInArrow(pack, ", ".join(f"{n} binary" for n, _ in _PACKED)))
     return replace(out, blocks=blocks)

@@ -19,7 +19,9 @@ from hashes of both: the sum of its rows' Poisson(1) draws.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ from lapline.models.cells import Block, Cells, shared_cut, summed, unpack, with_
 PASS_SUMS = 4_000_000
 #: Entries of a worker's arrays of (tree, cell).
 WORK = 2_000_000
-#: Rounds of boosting between two rewrites of the margins.
-REFRESH = 16
+#: Rounds of boosting between two rewrites of the margins, fewer if walking them anew exceeds so many (model, cell) pairs of a block.
+REFRESH, REWALK = 16, 1_000_000
 ETA, LEAF_L2, MIN_HESSIAN, MIN_GAIN = 0.3, 1.0, 1.0, 1e-6
 GRADIENT_END, NEWTON_STEPS = 1e-9, 60
 
@@ -83,8 +85,7 @@ class Trees:
 
     def leaves(self, code: np.ndarray, level_feature: int) -> np.ndarray:
         """Value of each row's leaf in each tree."""
-        node, _ = _route(self.feature, self.cut, code, level_feature, 64)
-        return np.take_along_axis(self.value, node, axis=1)
+        return np.take_along_axis(self.value, _route(self.feature, self.cut, code, level_feature), axis=1)
 
     def probability(self, code: np.ndarray, level_feature: int) -> np.ndarray:
         out = np.zeros(len(code))
@@ -114,20 +115,20 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _route(feature, cut, code, level_feature: int, levels: int) -> tuple[np.ndarray, np.ndarray]:
-    """Node of each (tree, row) after at most ``levels`` steps, and whether it stands at a node of that level."""
-    trees, rows = np.arange(len(feature))[:, None], np.arange(len(code))[None, :]
-    node = np.zeros((len(feature), len(code)), np.int64)
-    live = np.ones(node.shape, bool)
-    for _ in range(levels):
-        f = feature[trees, node]
-        live &= f >= 0
-        if not live.any():
-            break
-        x, c = code[rows, np.maximum(f, 0)], cut[trees, node]
+def _route(feature, cut, code, level_feature: int) -> np.ndarray:
+    """The leaf of each (tree, row)."""
+    n, nodes = len(code), feature.shape[1]
+    by_feature, row = np.ascontiguousarray(code.T).ravel(), np.arange(n)
+    flat_feature, flat_cut = feature.ravel(), cut.ravel()
+    first = np.arange(len(feature))[:, None] * nodes
+    node = np.zeros((len(feature), n), np.int64)
+    while True:
+        f = flat_feature.take(first + node)
+        if (f < 0).all():
+            return node
+        x, c = by_feature.take(np.maximum(f, 0) * n + row), flat_cut.take(first + node)
         right = np.where(f == level_feature, x == c, x > c)
-        node = np.where(live, 2 * node + 1 + right, node)
-    return node, live
+        node = np.where(f < 0, node, 2 * node + 1 + right)
 
 
 # -- bootstrap ---------------------------------------------------------------
@@ -208,18 +209,35 @@ def _level_sums(cells: Cells, fits: Sequence[Fit], grown: _Growing, level: int,
         def work(block: Block):
             total = np.zeros((len(fit) * each, 2))
             few = max(1, WORK // max(1, len(block)))
+            columns = [np.ascontiguousarray(c) for c in block.code.T]
             for a in range(0, len(fit), few):
                 part = slice(a, a + few)
-                node, live = _route(feature[part], cut[part], block.code, level_feature, level)
                 values = stats(block, fit[part], number[part])
-                live &= (values != 0).any(axis=2)
-                t, i = np.nonzero(live)
-                base = ((t + a) * nodes + node[t, i] - (nodes - 1)) * int(starts[-1])
+                # pairs (tree, cell) that have any weight are walked down together, as one list
+                t, i = np.nonzero((values != 0).any(axis=2))
                 v = values[t, i]
-                for f in range(len(slots)):
-                    key = base + starts[f] + block.code[i, f]
+                node = np.zeros(len(t), np.int64)
+                trees = feature[part].shape[1]
+                flat_feature, flat_cut = feature[part].ravel(), cut[part].ravel()
+                for _ in range(level):
+                    at_node = t * trees + node
+                    f = flat_feature[at_node]
+                    live = f >= 0
+                    if not live.all():
+                        t, i, v, node, f, at_node = t[live], i[live], v[live], node[live], f[live], at_node[live]
+                    c, right = flat_cut[at_node], np.zeros(len(t), bool)
+                    for k, x in enumerate(columns):
+                        own = np.flatnonzero(f == k)
+                        if len(own):
+                            x = x[i[own]]
+                            right[own] = x == c[own] if k == level_feature else x > c[own]
+                    node = 2 * node + 1 + right
+                base = (t * nodes + node - (nodes - 1)) * int(starts[-1])
+                own_total = total[a * each:(a + few) * each]
+                for f, x in enumerate(columns):
+                    key = base + (starts[f] + x[i])
                     for k in (0, 1):
-                        total[:, k] += np.bincount(key, weights=v[:, k], minlength=len(total))
+                        own_total[:, k] += np.bincount(key, weights=v[:, k], minlength=len(own_total))
             place = np.flatnonzero(total.any(axis=1))
             return place, total[place]
 
@@ -269,23 +287,32 @@ def _split(cells: Cells, grown: _Growing, level: int, slot, gain, taken, left_va
         grown.value[t, 2 * node + 1], grown.value[t, 2 * node + 2] = left_value[t, k], right_value[t, k]
 
 
-def _chosen_features(cells: Cells, fit: Fit, present: np.ndarray, tree: int, node: int) -> np.ndarray:
-    """A node's slots of a forest: of its features in a drawn order, the first sqrt(number) that aren't constant there.
-
-    Every level is a feature of its own, as in the one-hot.
-    """
-    slots, spans, at = cells.slots, [], 0
+@lru_cache(64)
+def _spans(slots: tuple[int, ...], features: tuple[int, ...]) -> list[tuple[int, int]]:
+    """The slots of each feature of a fit; every level is a feature of its own, as in the one-hot."""
+    spans, at = [], 0
     for k, n in enumerate(slots):
-        if k in fit.features:
+        if k in features:
             spans += [(at, at + n)] if k < len(slots) - 1 else [(at + j, at + j + 1) for j in range(n - 1)]
         at += n
-    level_start = at - slots[-1]
+    return spans
+
+
+@lru_cache(1 << 16)
+def _drawn_order(number: int, tree: int, node: int) -> list[int]:
+    return np.random.default_rng([tree, node]).permutation(number).tolist()
+
+
+def _chosen_features(cells: Cells, fit: Fit, present: np.ndarray, tree: int, node: int) -> np.ndarray:
+    """A node's slots of a forest: of its features in a drawn order, the first sqrt(number) that aren't constant there."""
+    slots = tuple(cells.slots)
+    spans, level_start = _spans(slots, fit.features), sum(slots[:-1])
     rows = present[level_start:].sum()
     wanted = max(1, int(np.sqrt(len(spans))))
     out = np.zeros(len(present), bool)
-    for j in np.random.default_rng([tree, node]).permutation(len(spans)):
+    for j in _drawn_order(len(spans), tree, node):
         a, b = spans[j]
-        varies = 0 < present[a] < rows if a >= level_start else (present[a:b] > 0).sum() > 1
+        varies = 0 < present[a] < rows if a >= level_start else np.count_nonzero(present[a:b]) > 1
         if varies:
             out[a:b] = True
             wanted -= 1
@@ -373,7 +400,7 @@ def _grow_gini(cells: Cells, fits: Sequence[Fit], places, numbers, depth: int) -
 def _boosted_trees(cells: Cells, fits: Sequence[Fit]) -> dict[Fit, Trees]:
     """Newton boosting of all fits, a round of all together: a pass for each level of its trees.
 
-    Margins are arrays beside the cells, rewritten every ``REFRESH`` rounds; workers add the trees since.
+    Margins are arrays beside the cells, rewritten every few rounds; workers add the trees since.
     """
     level_feature = len(cells.slots) - 1
     allowed = np.stack([_allowed(cells, f.features) for f in fits])
@@ -381,6 +408,7 @@ def _boosted_trees(cells: Cells, fits: Sequence[Fit]) -> dict[Fit, Trees]:
     made: list[list] = [[] for _ in fits]
     at = replace_margins(cells, None, [], level_feature, len(fits))
     pending: list[_Growing] = []
+    per_block = cells.number / cells.parts
     for tree in range(max(f.n_trees for f in fits)):
         active = [k for k, f in enumerate(fits) if f.n_trees > tree]
         grown = _start(active, [tree] * len(active), deepest)
@@ -425,7 +453,7 @@ def _boosted_trees(cells: Cells, fits: Sequence[Fit]) -> dict[Fit, Trees]:
         for t, k in enumerate(active):
             made[k].append((grown.feature[t], grown.cut[t], grown.value[t], grown.gain[t]))
         pending.append(grown)
-        if len(pending) == REFRESH:
+        if len(pending) == REFRESH or len(pending) * len(fits) * per_block > REWALK:
             at = replace_margins(cells, at, pending, level_feature, len(fits))
             pending = []
     return {f: Trees(*(np.stack([x[i] for x in made[k]]) for i in range(3)), True, np.stack([x[3] for x in made[k]]))
@@ -721,16 +749,25 @@ def _tuned_f1(oof: DataFrame) -> tuple[float, float]:
     return float(r["threshold"]), float(r["f1"])
 
 
+def _tuned(df: DataFrame, cells: Cells, scores: dict, fold: str) -> dict:
+    """Threshold and F1 of every score, a few sweeps at a time, as ``CrossValidator(parallelism=...)`` runs its fits."""
+    with ThreadPoolExecutor(4) as pool:
+        return dict(zip(scores, pool.map(lambda s: _tuned_f1(scored(df, cells, s, fold).select("label", "probability")), scores.values()),
+                        strict=True))
+
+
 def capacity_sweep(df: DataFrame, cells: Cells, features: Sequence[int], pos_weight: float, grid=CAPACITY_GRID,
                    fold: str = "fold") -> DataFrame:
     """All capacities and folds boosted together; each capacity's out-of-fold threshold and F1."""
     fits = {(n, d): [dnf_fit("boosting", features, o, None, pos_weight, n, d) for o in cells.folds] for n, d in grid}
     models = fit_all(cells, [f for own in fits.values() for f in own])
-    rows = []
-    for (n, d), own in fits.items():
+    scores = {}
+    for key, own in fits.items():
         by_fold = {f.outer: models[f] for f in own}
-        rows.append((n, d, *_tuned_f1(scored(df, cells, lambda f, x, code, m=by_fold: probability(m[f], x, code), fold))))
-    return df.sparkSession.createDataFrame(rows, "n_estimators int, max_depth int, threshold double, f1 double")
+        scores[key] = lambda f, x, code, m=by_fold: probability(m[f], x, code)
+    tuned = _tuned(df, cells, scores, fold)
+    return df.sparkSession.createDataFrame([(*key, *tuned[key]) for key in fits],
+                                           "n_estimators int, max_depth int, threshold double, f1 double")
 
 
 def feature_ablation(df: DataFrame, cells: Cells, variants: dict[str, Sequence[int]], pos_weight: float, fold: str = "fold",
@@ -748,20 +785,21 @@ def feature_ablation(df: DataFrame, cells: Cells, variants: dict[str, Sequence[i
     fits = [f for v in variants.values() for k in kinds
             for f in (stack_fits(cells, v, pos_weight, forest_trees) if k == "stacking" else own(k, v))]
     models = fit_all(cells, fits)
-    rows = []
+    scores = {}
     for kind in kinds:
-        before = None
         for name, features in variants.items():
             if kind == "stacking":
                 metas = stack_metas(cells, models, features, pos_weight, forest_trees)
-                score = stack_score(models, metas, features, pos_weight, forest_trees)
+                scores[kind, name] = stack_score(models, metas, features, pos_weight, forest_trees)
             else:
                 by_fold = {f.outer: models[f] for f in own(kind, features)}
-
-                def score(f, x, code, m=by_fold):
-                    return probability(m[f], x, code)
-
-            _, f1 = _tuned_f1(scored(df, cells, score, fold))
+                scores[kind, name] = lambda f, x, code, m=by_fold: probability(m[f], x, code)
+    tuned = _tuned(df, cells, scores, fold)
+    rows = []
+    for kind in kinds:
+        before = None
+        for name in variants:
+            f1 = tuned[kind, name][1]
             rows.append((kind, name, f1, 0.0 if before is None else f1 - before))
             before = f1
     return df.sparkSession.createDataFrame(rows, "model string, variant string, f1 double, delta_f1 double")
