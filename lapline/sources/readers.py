@@ -181,9 +181,11 @@ def concat_frames(frames: Sequence[DataFrame], schema: T.StructType | None = Non
 
 def write_dataset(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   fmt: str = "parquet", mode: str = "overwrite",
-                  rows_per_file: int = 10_000_000) -> None:
+                  rows_per_file: int = 10_000_000, whole: bool = False) -> None:
     """Write a normalised table partitioned by its session keys.
 
+    Overwriting replaces the sessions that ``df`` holds and leaves all others;
+    with ``whole``, or without partition columns, the dataset is replaced.
     Rows are rebalanced on the partition columns: small sessions share a
     task and have one file, a large one is split by its measured size, and
     no file has more than ``rows_per_file`` rows.
@@ -195,5 +197,5 @@ def write_dataset(df: DataFrame, path: str, partition_by: Sequence[str] | None =
         # the default keeps milliseconds only
         w = w.option("header", "true").option("timestampNTZFormat", MICROSECONDS)
     if parts:
-        w = w.partitionBy(*parts)
+        w = w.partitionBy(*parts).option("partitionOverwriteMode", "static" if whole else "dynamic")
     w.save(path)

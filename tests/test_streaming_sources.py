@@ -148,3 +148,22 @@ def test_concat_of_nothing(spark):
     assert concat_frames([], LAPS, spark).columns == [f.name for f in LAPS]
     with pytest.raises(ValueError):
         concat_frames([])
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_writing_a_session_leaves_the_others(spark, tmp_path, fmt):
+    def rows(number, n):
+        return spark.range(n).select(F.lit(2024).alias("season"), F.lit(number).alias("round_number"), F.lit("R").alias("session_type"), "id")
+
+    def sizes():
+        return {r["round_number"]: r["count"] for r in spark.read.format(fmt).load(path).groupBy("round_number").count().collect()}
+
+    path, keys = str(tmp_path / "laps"), ["season", "round_number", "session_type"]
+    write_dataset(rows(1, 10).unionByName(rows(2, 20)), path, keys, fmt)
+    write_dataset(rows(2, 5), path, keys, fmt)
+    assert sizes() == {1: 10, 2: 5}
+    write_dataset(rows(3, 7), path, keys, fmt)
+    assert sizes() == {1: 10, 2: 5, 3: 7}
+    write_dataset(rows(3, 4), path, keys, fmt, mode="append")
+    write_dataset(rows(2, 6), path, keys, fmt, whole=True)
+    assert sizes() == {2: 6}
