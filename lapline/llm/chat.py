@@ -40,8 +40,12 @@ MARKERS = {
     "tool": ("tool", "function", "observation", "output"),
 }
 _ROLE_OF = {w: r for r, words in enumerate(MARKERS.values()) for w in words}
+_WORDS = "|".join(sorted(_ROLE_OF, key=len, reverse=True))
+#: <|user|>, <|im_start|>user; [user], (user):, <user>; ### User:, **User**:, User:.  A word before a bracket or bar that
+#: none opens, as in "A) Paris" or a table's row, marks nobody.
 _MARKER = re.compile(
-    r"\s*(?:[#>*\-\[(<|]+\s*)?(?:im_start\|>\s*)?(" + "|".join(sorted(_ROLE_OF, key=len, reverse=True)) + r")\s*(?:\||[\])>*]*\s*:|[\])>]+)[\])>*]*[ \t]*", re.I)
+    rf"\s*(?:<\|\s*(?:im_start\|>\s*)?(?P<a>{_WORDS})\s*(?:\|>|$)|[\[(<]\s*(?P<b>{_WORDS})\s*[\])>]\s*:?"
+    rf"|(?:[#>*\-]+\s*)?(?P<c>{_WORDS})[*\s]*:\**)[ \t]*", re.I)
 _NAME = re.compile(r"\s*[A-Z][\w .'-]{0,24}:\s")
 _FEATURES = ("marker", "words", "end", "lines")
 _SIZES = (len(ROLES) + 2, 14, 4, 8)
@@ -55,20 +59,21 @@ class Model(NamedTuple):
     emit: list[np.ndarray]  # for each feature: state, value
 
 
-def observe(text: str) -> tuple[list[str], np.ndarray]:
-    """Lines of a row (one at least) without their markers, and the feature values of each line."""
+def observe(text: str) -> tuple[list[str], np.ndarray, list[tuple[int, int]]]:
+    """Lines of a row (one at least) as they are, the feature values of each, and each line's marker as (role or -1, its end)."""
     lines = text.split("\n")
     number = min(_SIZES[3] - 1, len(lines).bit_length() - 1)
-    kept, values = [], np.empty((len(lines), len(_FEATURES)), np.int64)
+    marks, values = [], np.empty((len(lines), len(_FEATURES)), np.int64)
     for i, line in enumerate(lines):
         marked = _MARKER.match(line)
-        marker = _ROLE_OF[marked[1].lower()] + 1 if marked else len(ROLES) + 1 if _NAME.match(line) else 0
+        role = _ROLE_OF[marked[marked.lastgroup].lower()] if marked else -1
+        marker = role + 1 if marked else len(ROLES) + 1 if _NAME.match(line) else 0
         stripped = line.rstrip()
         end = 0 if not stripped else 1 if stripped[-1] == "?" else 2 if stripped[-1] in ".!" else 3
         words = min(_SIZES[1] - 1, len(line.split()).bit_length())
         values[i] = marker, words, end, number
-        kept.append(line[marked.end():] if marked else line)
-    return kept, values
+        marks.append((role, marked.end() if marked else 0))
+    return lines, values, marks
 
 
 def fit(counts: Counter) -> Model:
@@ -128,8 +133,20 @@ def decode(model: Model, lines: np.ndarray, before: int = -1, last: int | None =
     return path
 
 
+_CONTROL = re.compile(r"<(\\*)\|")
+
+
+def escaped(content: str) -> str:
+    """``content`` without control tokens: a backslash parts every ``<|`` (one more where some do); ``unescaped`` takes it out again."""
+    return _CONTROL.sub(r"<\\\1|", content)
+
+
+def unescaped(content: str) -> str:
+    return re.sub(r"<\\(\\*)\|", r"<\1|", content)
+
+
 def render(role: str, content: str) -> str:
-    return f"<|im_start|>{role}\n{content}<|im_end|>\n"
+    return f"<|im_start|>{role}\n{escaped(content)}<|im_end|>\n"
 
 
 def _fragments(batches):
@@ -160,35 +177,61 @@ def _state_path(role: str, lines: int) -> list[int]:
 def learn(ordered: DataFrame) -> Model:
     """Counts of all rows with a known role outside the held-out conversations, as a model.
 
-    Only moves over a partition's border are not counted.
+    Starts and moves at a partition's first row are added from two small
+    rows for each partition, so the model doesn't follow the partitions.
     """
 
+    def known(row):
+        _, role, out, text = row
+        return None if out or role not in ROLES else _state_path(role, text.count("\n") + 1)
+
     def count(batches):
         n: Counter = Counter()
-        for _, rows in _fragments(batches):
+        for number, (_, rows) in enumerate(_fragments(batches)):
             previous = None
-            for k, (turn, role, out, text) in enumerate(rows):
-                if out or role not in ROLES:
+            for k, row in enumerate(rows):
+                states = known(row)
+                if states is None:
                     previous = None
                     continue
-                _, values = observe(text)
-                states = _state_path(role, len(values))
-                for s, row in zip(states, values.tolist(), strict=True):
-                    for f, v in enumerate(row):
+                values = observe(row[3])[1]
+                for s, line in zip(states, values.tolist(), strict=True):
+                    for f, v in enumerate(line):
                         n["emit", s, f, v] += 1
                 for a, b in zip(states, states[1:], strict=False):
                     n["move", a, b] += 1
                 if previous is not None:
                     n["move", previous, states[0]] += 1
-                elif k == 0:
+                elif k == 0 and number:
                     n["start", states[0], 0] += 1
                 previous = states[-1]
         keys = [",".join(map(str, k)) for k in n]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(list(n.values()), pa.int64())], names=["key", "n"])
 
+    def edges(batches):
+        first = last = None
+        for conv, rows in _fragments(batches):
+            begin, end = known(rows[0]), known(rows[-1])
+            last = conv, begin[0] if begin else -1, end[-1] if end else -1
+            first = first or last
+        found = [(_partition(), *first[:2], *last[::2])] if first else []
+        columns = list(zip(*found, strict=True)) or [[]] * 5
+        types = [pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                         names=["pid", "conv", "begin", "last_conv", "ending"])
+
     # as many keys as the model has parameters
     found = ordered.mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
-    return fit(Counter({tuple(int(x) if x.isdigit() else x for x in r["key"].split(",")): r["n"] for r in found}))
+    counts = Counter({tuple(int(x) if x.isdigit() else x for x in r["key"].split(",")): r["n"] for r in found})
+    before = None
+    for r in sorted(ordered.mapInArrow(edges, "pid int, conv string, begin int, last_conv string, ending int").collect(), key=lambda r: r["pid"]):
+        if before is None or before["last_conv"] != r["conv"]:
+            if r["begin"] >= 0:
+                counts["start", r["begin"], 0] += 1
+        elif before["ending"] >= 0 and r["begin"] >= 0:
+            counts["move", before["ending"], r["begin"]] += 1
+        before = r
+    return fit(counts)
 
 
 def border_states(model: Model, ordered: DataFrame) -> dict[int, dict]:
@@ -235,17 +278,19 @@ def format_chats(rows: DataFrame, held_modulus: int = 5, held_remainder: int = 0
     """One row for each recovered turn: conv_id, turn, part, held_out, role, role_pred, n_lines, content, rendered.
 
     ``turn`` is the stored row and ``part`` counts the turns found in it from 0.
+    Content is the stored text: only a marker of the turn's own role, at the line that begins the turn, is taken off.
+    In ``rendered`` control tokens of the content are escaped.
     The given role is only used for training, outside conversations
     whose id's crc32 modulo ``held_modulus`` is ``held_remainder``.  A null
     or empty text is a turn of one empty line; null ids are one conversation;
-    null turns sort first; repeated rows are turns of their own; unknown roles teach nothing.  An
+    rows of one turn, null turns first, go by text and role; repeated rows are turns of their own; unknown roles teach nothing.  An
     empty table gives no rows.
     """
     narrow = rows.select(
         F.col(id_col).cast("string").alias("conv"), F.col(turn_col).cast("long").alias("turn"),
         F.col(role_col).cast("string").alias("role"),
         (remainder(id_col, held_modulus) == held_remainder).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    ordered = cut(narrow.repartitionByRange("conv", "turn", F.xxhash64("text", "role")).sortWithinPartitions("conv", "turn", "text"))
+    ordered = cut(narrow.repartitionByRange("conv", "turn", F.substring("text", 1, 256)).sortWithinPartitions("conv", "turn", "text", "role"))
     model = learn(ordered)
     sent = rows.sparkSession.sparkContext.broadcast((model, border_states(model, ordered)))
     id_type = rows.schema[id_col].dataType
@@ -257,14 +302,16 @@ def format_chats(rows: DataFrame, held_modulus: int = 5, held_remainder: int = 0
         for k, (conv, rows) in enumerate(_fragments(batches)):
             seen = [observe(text) for *_, text in rows]
             before, end = known.get(k, (-1, None))
-            path = decode(model, np.concatenate([line_scores(model, v) for _, v in seen]), before, end)
+            path = decode(model, np.concatenate([line_scores(model, v) for _, v, _ in seen]), before, end)
             at = 0
-            for (turn, role, held, _), (lines, _) in zip(rows, seen, strict=True):
+            for (turn, role, held, _), (lines, _, marks) in zip(rows, seen, strict=True):
                 own = path[at:at + len(lines)]
                 at += len(lines)
                 begins = np.flatnonzero(own % 2 == 0)
                 for part, (a, b) in enumerate(zip(begins, [*begins[1:], len(lines)], strict=True)):
-                    content, found = "\n".join(lines[a:b]).strip(), ROLES[int(own[a]) // 2]
+                    of, end_of_mark = marks[a]
+                    first = lines[a][end_of_mark if of == int(own[a]) // 2 else 0:]
+                    content, found = "\n".join([first, *lines[a + 1:b]]), ROLES[int(own[a]) // 2]
                     values = conv, turn, part, held, role, found, int(b - a), content, render(found, content)
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
