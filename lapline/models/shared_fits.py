@@ -580,9 +580,8 @@ def _logistic_fits(cells: Cells, fits: Sequence[Fit], intercept: bool = False, d
             gradient = (f.C * row[1:2 + m + t] + penal * b) * free
             norms[k] = float(np.abs(gradient).max())
             scale = f.C * sum(n0 * weights[k][0] + n1 * weights[k][1] for n0, n1 in cells.counts.values())
-            if norms[k] <= GRADIENT_END * max(1.0, scale):
-                ended[k] = True
-                continue
+            # the step that these sums give is still taken: it costs no pass and about doubles the right digits
+            ended[k] = norms[k] <= GRADIENT_END * max(1.0, scale)
             at = 2 + m + t
             dense = f.C * row[at:at + (m + 1) ** 2].reshape(m + 1, m + 1) + np.diag(penal[:m + 1])
             border = f.C * row[at + (m + 1) ** 2:at + (m + 1) ** 2 + (m + 1) * t].reshape(m + 1, t)
