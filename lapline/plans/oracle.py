@@ -8,6 +8,7 @@ semantics directly.  Float outputs are rounded to 6 places on both sides.
 from __future__ import annotations
 
 from lapline.plans.oracle_fits import fits
+from lapline.plans.oracle_folds import fewest_rows, most_even
 from lapline.sources.adapters import EVENT_NAMES
 
 EV = """
@@ -408,11 +409,10 @@ def _pace_models(q: dict[str, str], pace: str, feats: list[str]) -> None:
         "SELECT f.feature, round(coalesce(b, 0), 6) FROM (VALUES ('compound_soft'), ('compound_medium'), "
         "('compound_hard')) f(feature) LEFT JOIN lv ON lev = f.feature")
     q["pace_cv"] = (
-        f"WITH {pace.replace('AS fold,', 'AS sfold, l_suppkey,')}, "
-        "g AS (SELECT l_suppkey, row_number() OVER (ORDER BY count(*) DESC, 'S' || l_suppkey) - 1 AS k "
-        "FROM lineitem GROUP BY l_suppkey), "
-        "x AS (SELECT pl.*, " + level + ", CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS fold "
-        "FROM pl JOIN g USING (l_suppkey)), "
+        f"WITH RECURSIVE {pace.replace('AS fold,', 'AS sfold, l_suppkey,')}, "
+        "c AS (SELECT l_suppkey, 'S' || l_suppkey AS g, count(*) AS n FROM lineitem GROUP BY l_suppkey), "
+        + fewest_rows("c", "g") +
+        ", x AS (SELECT pl.*, " + level + ", fold FROM pl JOIN dealt USING (l_suppkey)), "
         "tr AS (SELECT f.f, x.* FROM x JOIN (VALUES (0), (1), (2), (3), (4)) f(f) ON x.fold <> f.f), "
         + ols("tr", "f, ") + ", "
         "lv AS (SELECT tr.f, lev, avg(label) - any_value(bt) * avg(tyre_life) - any_value(bl) * avg(lap_number) AS b "
@@ -488,15 +488,11 @@ pl AS (
         "SELECT CAST(1 AS INTEGER) AS k, round(n * (2 * ln(2 * pi()) + ln(det) + (b * sx - 2 * sxy * sxy + a * sy) / det) "
         "+ 5 * ln(n), 6) AS bic FROM c")
     q.update(fits(RES))
-    snake = "CAST(CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS INTEGER) AS fold"
     q["group_folds"] = (
-        "WITH c AS (SELECT 'S' || l_suppkey AS \"group\", count(*) AS n FROM lineitem GROUP BY 1), "
-        "r AS (SELECT *, row_number() OVER (ORDER BY n DESC, \"group\") - 1 AS k FROM c) "
-        f"SELECT \"group\", {snake}, n FROM r")
+        "WITH RECURSIVE c AS (SELECT 'S' || l_suppkey AS \"group\", count(*) AS n FROM lineitem GROUP BY 1), "
+        + fewest_rows("c", '"group"') + "SELECT \"group\", fold, n FROM dealt")
     q["stratified_group_folds"] = (
-        f"WITH {RES}, l AS (SELECT driver AS \"group\", CAST(dnf AS DOUBLE) AS label FROM res), "
-        "rare AS (SELECT label FROM l GROUP BY label ORDER BY count(*), label LIMIT 1), "
-        "c AS (SELECT \"group\", count(*) AS n, sum(label) AS positives, "
-        "count(*) FILTER (WHERE label = (SELECT label FROM rare)) AS p FROM l GROUP BY 1), "
-        "r AS (SELECT *, row_number() OVER (ORDER BY p DESC, n DESC, \"group\") - 1 AS k FROM c) "
-        f"SELECT \"group\", {snake}, n, positives FROM r")
+        f"WITH RECURSIVE {RES}, l AS (SELECT driver AS \"group\", CAST(dnf AS DOUBLE) AS label FROM res), "
+        "c AS (SELECT \"group\", count(*) AS n, count(*) FILTER (WHERE label = 0) AS n0, "
+        "count(*) FILTER (WHERE label = 1) AS n1 FROM l GROUP BY 1), "
+        + most_even("c", '"group"') + "SELECT \"group\", fold, n, CAST(n1 AS DOUBLE) AS positives FROM dealt")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lapline.plans.oracle_folds import most_even
+
 NEWTON_STEPS = 8
 
 
@@ -9,11 +11,9 @@ def _cells(res: str) -> str:
     """Rows with their fold, cells with their counts, class weights for each held-out fold."""
     return f"""{res},
 l AS (SELECT entry_id, driver AS g, team, CAST(grid_position AS DOUBLE) AS grid, CAST(dnf AS INTEGER) AS y FROM sres),
-rare AS (SELECT y FROM l GROUP BY y ORDER BY count(*), y LIMIT 1),
-gs AS (SELECT g, count(*) AS n, count(*) FILTER (WHERE y = (SELECT y FROM rare)) AS p FROM l GROUP BY 1),
-gk AS (SELECT g, row_number() OVER (ORDER BY p DESC, n DESC, g) - 1 AS k FROM gs),
-rows_ AS MATERIALIZED (SELECT l.*, CAST(CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS INTEGER) AS fold
-                       FROM l JOIN gk USING (g)),
+gs AS (SELECT g, count(*) AS n, count(*) FILTER (WHERE y = 0) AS n0, count(*) FILTER (WHERE y = 1) AS n1 FROM l GROUP BY 1),
+{most_even("gs", "g")},
+rows_ AS MATERIALIZED (SELECT l.*, fold FROM l JOIN dealt USING (g)),
 cell AS MATERIALIZED (SELECT grid, team, fold, count(*) FILTER (WHERE y = 0) AS n0, count(*) FILTER (WHERE y = 1) AS n1
                       FROM rows_ GROUP BY ALL),
 held AS (SELECT DISTINCT fold AS held FROM cell),
@@ -43,10 +43,10 @@ def _grown(kind: str, depth: int) -> str:
 x_{k} AS MATERIALIZED (SELECT held, node, grid, team, {stats} FROM at_{k} JOIN w USING (held), spw WHERE live AND fold <> held),
 t_{k} AS (SELECT held, node, sum(a) AS a, sum(b) AS b, sum(n) AS n FROM x_{k} GROUP BY ALL),
 c_{k} AS (
-  SELECT held, node, 0 AS f, grid, NULL AS team, sum(sum(a)) OVER u AS la, sum(sum(b)) OVER u AS lb, sum(sum(n)) OVER u AS ln
+  SELECT held, node, 0 AS f, grid, NULL::VARCHAR AS team, sum(sum(a)) OVER u AS la, sum(sum(b)) OVER u AS lb, sum(sum(n)) OVER u AS ln
   FROM x_{k} GROUP BY held, node, grid WINDOW u AS (PARTITION BY held, node ORDER BY grid)
   UNION ALL
-  SELECT held, node, 1, NULL, x.team, t.a - sum(x.a), t.b - sum(x.b), t.n - sum(x.n)
+  SELECT held, node, 1, NULL::DOUBLE, x.team, t.a - sum(x.a), t.b - sum(x.b), t.n - sum(x.n)
   FROM x_{k} x JOIN t_{k} t USING (held, node) WHERE x.team IS NOT NULL GROUP BY held, node, x.team, t.a, t.b, t.n),
 split_{k} AS MATERIALIZED (
   SELECT held, node, f, grid, team, gain, {left} AS left_value, {right} AS right_value
@@ -63,7 +63,7 @@ at_{k + 1} AS MATERIALIZED (
 
 def _splits(res: str, kind: str, depth: int) -> str:
     every = " UNION ALL ".join(f"SELECT * FROM split_{k}" for k in range(depth))
-    return (f"WITH {_cells(res)},\n{_grown(kind, depth)} "
+    return (f"WITH RECURSIVE {_cells(res)},\n{_grown(kind, depth)} "
             "SELECT CAST(held AS INTEGER) AS fold, CAST(node AS INTEGER) AS node, CASE f WHEN 0 THEN 'grid_position' ELSE 'team' END AS feature, "
             "round(CASE f WHEN 0 THEN cut END, 6) AS cut, s.team AS level, round(gain, 6) AS gain, round(left_value, 6) AS left_value, "
             f"round(right_value, 6) AS right_value FROM ({every}) s LEFT JOIN step ON step.grid = s.grid")
@@ -71,7 +71,7 @@ def _splits(res: str, kind: str, depth: int) -> str:
 
 def _oof_tree(res: str, depth: int) -> str:
     """Every row's share of weighted positives in its leaf of the tree that held its fold out."""
-    return (f"WITH {_cells(res)},\n{_grown('gini', depth)}, "
+    return (f"WITH RECURSIVE {_cells(res)},\n{_grown('gini', depth)}, "
             f"leaf AS (SELECT held, node, sum(n1 * w1) / sum(n0 * w0 + n1 * w1) AS p FROM at_{depth} JOIN w USING (held) "
             "WHERE fold <> held GROUP BY ALL) "
             "SELECT entry_id, r.fold, CAST(y AS DOUBLE) AS label, round(p, 6) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction "
@@ -106,14 +106,14 @@ bt_{k + 1} AS MATERIALIZED (SELECT held, team, c - (gt + hx * (n.b - n.old)) / h
 
 def _oof_logistic(res: str) -> str:
     k = NEWTON_STEPS
-    return (f"WITH {_newton(res)}, s AS (SELECT entry_id, r.fold, y, 1 / (1 + exp(-((grid - mean) / sd * b + c))) AS p FROM rows_ r "
+    return (f"WITH RECURSIVE {_newton(res)}, s AS (SELECT entry_id, r.fold, y, 1 / (1 + exp(-((grid - mean) / sd * b + c))) AS p FROM rows_ r "
             f"JOIN m ON m.held = r.fold JOIN b_{k} b ON b.held = r.fold JOIN bt_{k} t ON t.held = r.fold AND t.team = r.team) "
             "SELECT entry_id, fold, CAST(y AS DOUBLE) AS label, round(p, 6) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction FROM s")
 
 
 def _coefficients(res: str) -> str:
     k = NEWTON_STEPS
-    return (f"WITH {_newton(res)} SELECT CAST(held AS INTEGER) AS fold, 'grid_position' AS feature, round(b, 6) AS coefficient FROM b_{k} "
+    return (f"WITH RECURSIVE {_newton(res)} SELECT CAST(held AS INTEGER) AS fold, 'grid_position' AS feature, round(b, 6) AS coefficient FROM b_{k} "
             f"UNION ALL SELECT CAST(held AS INTEGER), 'team ' || team, round(c, 6) FROM bt_{k}")
 
 

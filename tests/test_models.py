@@ -1,3 +1,6 @@
+from collections import Counter
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -72,11 +75,78 @@ def test_folds_of_null_groups_and_one_rule_at_every_size(spark):
         assert max(sizes) - min(sizes) <= 7
     ranked = sorted(((-r.n, r.group is not None, r.group or "", r.fold) for r in folds.group_kfold(df, "group", 5)
                      .groupBy("group", "fold").agg(F.count(F.lit(1)).alias("n")).collect()))
-    assert [r[3] for r in ranked[:10]] == [0, 1, 2, 3, 4, 4, 3, 2, 1, 0]
+    assert [r[3] for r in ranked[:10]] == [0, 1, 2, 3, 4, 0, 1, 2, 3, 4]
     with pytest.raises(ValueError):
         folds.stratified_group_kfold(df.withColumn("label", F.col("i") % 2), "group", "label", 201)
 
 
+def _greedy_folds(groups, k, classes=()):
+    """One by one: ``groups`` are (name, rows, counts of the classes); the fold of each by plain fractions."""
+    totals = {c: sum(g[2].get(c, 0) for g in groups) for c in classes}
+    rows, held, out = [0] * k, [dict.fromkeys(classes, 0) for _ in range(k)], {}
+
+    def spread(counts):
+        return len(classes) * sum(n * n for n in counts.values()) - sum(counts.values()) ** 2
+
+    def uneven(f, counts):
+        total = Fraction(0)
+        for c in classes:
+            shares = [Fraction(held[i][c] + (counts.get(c, 0) if i == f else 0), totals[c]) for i in range(k)]
+            mean = sum(shares) / k
+            total += sum((s - mean) ** 2 for s in shares) / k
+        return total
+
+    for name, n, counts in sorted(groups, key=lambda g: (-spread(g[2]), -g[1], sorted(g[2].items()), g[0])):
+        to = min(range(k), key=lambda f: (uneven(f, counts), rows[f], f))
+        out[name] = to
+        rows[to] += n
+        for c, m in counts.items():
+            held[to][c] += m
+    return out
+
+
+def test_runs_are_dealt_as_one_by_one():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        k, count = int(rng.integers(1, 7)), int(rng.integers(1, 60))
+        keys = [(int(a), int(b)) for a, b in rng.integers(0, 12, size=(k, 2))]
+        step = (int(rng.integers(1, 5)), int(rng.integers(0, 4)))
+        stretches, taken = folds.deal_run(keys, step, count)
+        now, order = list(keys), []
+        for _ in range(count):
+            f = min(range(k), key=lambda i: (now[i], i))
+            order.append(f)
+            now[f] = (now[f][0] + step[0], now[f][1] + step[1])
+        ends = [first for first, _ in stretches[1:]] + [count]
+        assert [turns[i % len(turns)] for (first, turns), end in zip(stretches, ends) for i in range(end - first)] == order
+        assert taken == [order.count(f) for f in range(k)] and len(stretches) <= k
+
+
+def test_a_run_of_a_billion_groups_takes_a_few_stretches():
+    stretches, taken = folds.deal_run([(4 * 10 ** 9, 0), (0, 0), (10, 0)], (1, 1), 10 ** 9)
+    assert stretches == [(0, [1]), (10, [2, 1])] and taken == [0, 500_000_005, 499_999_995]
+
+
+def test_greedy_folds_equal_one_by_one(spark):
+    rng = np.random.default_rng(11)
+    # skewed sizes, a third of all rows in one group, repeated sizes, three classes and rows without a label
+    sizes = [400] + [int(n) for n in np.minimum(60, rng.zipf(1.6, size=90))]
+    rows = [(f"g{g:02d}", [0, 0, 0, 1, 2, None][int(rng.integers(0, 6))]) for g, n in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame(rows, "group string, label int").repartition(7)
+    groups = []
+    for name in sorted({g for g, _ in rows}):
+        labels = [c for g, c in rows if g == name]
+        groups.append((name, len(labels), dict(Counter(c for c in labels if c is not None))))
+    plain = {r[0]: r[1] for r in folds.group_kfold_table(df, "group", 5).collect()}
+    assert plain == _greedy_folds([(g, n, {}) for g, n, _ in groups], 5)
+    even = {r[0]: r[1] for r in folds.stratified_group_kfold_table(df, "group", "label", 5).collect()}
+    assert even == _greedy_folds(groups, 5, (0, 1, 2))
+    empty = df.where("group = 'none'")
+    assert folds.group_kfold_table(empty).count() == folds.stratified_group_kfold_table(empty).count() == 0
+    unlabelled = df.withColumn("label", F.lit(None).cast("int"))
+    assert {r[0]: r[1] for r in folds.stratified_group_kfold_table(unlabelled).collect()} == plain
+
+
 def test_a_callers_cache_survives_out_of_fold(spark):
     df = spark.createDataFrame([(f"g{i % 6}", float(i), float(i % 2), i % 3) for i in range(60)],
                                "group string, x double, label double, fold int").cache()
