@@ -1,8 +1,8 @@
 """Unsupervised profiling of lap vectors.
 
 Scaling statistics, PCA covariance, k-means and EM updates are all
-distributed aggregations (``pyspark.ml`` or ``lapline.models.mixture``);
-the driver only holds d x d matrices and k centres.
+distributed aggregations (``pyspark.ml`` for the PCA, else
+``lapline.models.mixture``); the driver only holds d x d matrices and k centres.
 """
 
 from __future__ import annotations
@@ -10,16 +10,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapline.models.mixture import fit_gaussian_mixture
+from lapline.models.mixture import fit_gaussian_mixture, fit_kmeans_all, fit_mixtures
 
-DEFAULT_SEED = 0
 # EM stopping rule of the reference's mixture defaults (100 iterations, 1e-3)
 GMM_MAX_ITER = 100
 GMM_TOL = 1e-3
@@ -72,15 +70,9 @@ def fit_pca(df: DataFrame, columns: Sequence[str], n_components: int = 2,
     return coords, explained
 
 
-def fit_kmeans(df: DataFrame, columns: Sequence[str], n_clusters: int = 3,
-               seed: int = DEFAULT_SEED, name: str = "cluster") -> DataFrame:
-    """Seeded k-means (k-means|| init); adds the cluster label."""
-    # KMeans persists its own instance RDD for the iterations when the
-    # input is not cached
-    vec = assemble(df, columns, "__v")
-    model = KMeans(k=n_clusters, seed=seed, featuresCol="__v", predictionCol=name,
-                   initMode="k-means||", maxIter=300, tol=1e-4).fit(vec)
-    return model.transform(vec).drop("__v")
+def fit_kmeans(df: DataFrame, columns: Sequence[str], n_clusters: int = 3, name: str = "cluster") -> DataFrame:
+    """K-means, the best of several starts that follow from the moments; adds the cluster label."""
+    return fit_kmeans_all(df, columns, [n_clusters])[n_clusters].transform(df, name)
 
 
 def silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> float:
@@ -91,26 +83,20 @@ def silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "cluster")
     return float(ev.evaluate(vec))
 
 
-def fit_gmm(df: DataFrame, columns: Sequence[str], n_components: int = 3,
-            seed: int = DEFAULT_SEED, name: str = "cluster"):
+def fit_gmm(df: DataFrame, columns: Sequence[str], n_components: int = 3, name: str = "cluster"):
     """U5 + U6: full-covariance EM mixture (``lapline.models.mixture``);
     hard label and the component probabilities as an array column.
     Returns (model, labelled)."""
-    model = fit_gaussian_mixture(df, columns, n_components, seed=seed,
-                                 max_iter=GMM_MAX_ITER, tol=GMM_TOL)
+    model = fit_gaussian_mixture(df, columns, n_components, max_iter=GMM_MAX_ITER, tol=GMM_TOL)
     return model, model.transform(df, label=name, probability="probability")
 
 
 def select_n_components_by_bic(df: DataFrame, columns: Sequence[str],
-                               candidates: Sequence[int] = (1, 2, 3, 4, 5),
-                               seed: int = DEFAULT_SEED) -> DataFrame:
+                               candidates: Sequence[int] = (1, 2, 3, 4, 5)) -> DataFrame:
     """BIC = -2 logL + p ln n per candidate k (lower is better),
-    p = k d(d+1)/2 + k d + k - 1.  k = 1 is a one-step fit of the same EM."""
-    rows = []
-    for k in candidates:
-        m = fit_gaussian_mixture(df, columns, int(k), seed=seed, max_iter=GMM_MAX_ITER, tol=GMM_TOL)
-        rows.append((int(k), m.bic()))
-    return df.sparkSession.createDataFrame(rows, "k int, bic double")
+    p = k d(d+1)/2 + k d + k - 1.  All candidates are fitted in shared passes."""
+    models = fit_mixtures(df, columns, [int(k) for k in candidates], max_iter=GMM_MAX_ITER, tol=GMM_TOL)
+    return df.sparkSession.createDataFrame([(k, m.bic()) for k, m in models.items()], "k int, bic double")
 
 
 __all__ = ["standardize", "fit_pca", "fit_kmeans", "silhouette", "fit_gmm", "select_n_components_by_bic"]

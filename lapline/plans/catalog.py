@@ -463,7 +463,8 @@ ONE_COMPONENT_COLUMNS = ("mean_speed_kmh", "mean_throttle_pct")
 @register("gmm_bic_one")
 def q_gmm_bic_one(spark, sf):
     """U7 at k = 1: the fit has a closed form."""
-    return finish(cluster.select_n_components_by_bic(_lap_summary(spark, sf), ONE_COMPONENT_COLUMNS, (1,)))
+    laps = _lap_summary(spark, sf).na.drop(subset=list(ONE_COMPONENT_COLUMNS))
+    return finish(cluster.select_n_components_by_bic(laps, ONE_COMPONENT_COLUMNS, (1,)))
 
 
 @register("silhouette")

@@ -181,6 +181,72 @@ def test_mixture_far_from_zero(spark):
         assert np.allclose(c0, c1, rtol=1e-3, atol=1e-3) and np.linalg.eigvalsh(c1).min() > 0
 
 
+def _plain_kmeans(x, k, starts):
+    found = []
+    for s in range(starts):
+        c = mixture.start_centres(k, np.cov(x.T, bias=True), s) + x.mean(axis=0)
+        for _ in range(mixture.KMEANS_MAX_ITER):
+            lab = np.array([int(np.argmin([((p - q) ** 2).sum() for q in c])) for p in x])
+            new = np.array([x[lab == j].mean(axis=0) if (lab == j).any() else c[j] for j in range(k)])
+            if ((new - c) ** 2).sum() <= mixture.KMEANS_TOL * x.var(axis=0).mean():
+                break
+            c = new
+        found.append((sum(((p - c[j]) ** 2).sum() for p, j in zip(x, lab)), c, lab))
+    return min(found, key=lambda f: f[0])
+
+
+def _plain_em(x, lab, k, max_iter=100, tol=1e-3):
+    d, last = x.shape[1], -np.inf
+    share = np.eye(k)[lab]
+    for _ in range(max_iter + 1):
+        n = share.sum(axis=0)
+        means = np.array([(share[:, j, None] * x).sum(axis=0) / n[j] for j in range(k)])
+        covs = [((share[:, j, None] * (x - means[j])).T @ (x - means[j])) / n[j] + 1e-6 * np.eye(d) for j in range(k)]
+        dens = np.array([[n[j] / n.sum() * np.exp(-0.5 * (p - means[j]) @ np.linalg.solve(covs[j], p - means[j]))
+                          / np.sqrt((2 * np.pi) ** d * np.linalg.det(covs[j])) for j in range(k)] for p in x])
+        level = np.log(dens.sum(axis=1)).sum()
+        share = dens / dens.sum(axis=1, keepdims=True)
+        if abs(level - last) / len(x) < tol:
+            break
+        last = level
+    return level, n / n.sum(), means, np.array(covs)
+
+
+def test_shared_passes_equal_plain_loops(spark):
+    rng = np.random.default_rng(13)
+    x = np.r_[rng.normal(size=(70, 2)), rng.normal(size=(50, 2)) * [2, 0.4] + [5, 1], rng.normal(size=(30, 2)) + [-1, 6]]
+    x = np.r_[x, x[:9]]  # repeated rows
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, a double, b double")
+    spread = df.repartition(11, "id")
+    kmeans = mixture.fit_kmeans_all(spread, ["a", "b"], (1, 2, 3, 4), starts=5)
+    mixed = mixture.fit_mixtures(spread, ["a", "b"], (1, 2, 3, 4), starts=5)
+    for k in (1, 2, 3, 4):
+        inertia, centres, lab = _plain_kmeans(x, k, 5 if k > 1 else 1)
+        order = np.lexsort(centres.T[::-1])
+        assert np.allclose(kmeans[k].centres, centres[order]) and kmeans[k].inertia == pytest.approx(inertia)
+        got = {r.id: r.cluster for r in kmeans[k].transform(df).collect()}
+        assert [got[i] for i in range(len(x))] == [int(np.flatnonzero(order == j)[0]) for j in lab]
+        level, weights, means, covs = _plain_em(x, lab, k)
+        order = np.lexsort(means.T[::-1])
+        assert mixed[k].converged and mixed[k].log_likelihood == pytest.approx(level, rel=1e-9)
+        assert np.allclose(mixed[k].weights, weights[order]) and np.allclose(mixed[k].means, means[order])
+        assert np.allclose(mixed[k].covariances, covs[order])
+    # a fit alone is the fit among others
+    alone = mixture.fit_gaussian_mixture(df, ["a", "b"], 3, starts=5)
+    assert np.allclose(alone.means, mixed[3].means) and alone.n_iter == mixed[3].n_iter
+
+
+def test_mixtures_of_odd_tables(spark):
+    schema = "a double, b double"
+    one = spark.createDataFrame([(2.0, 3.0)] * 5, schema)
+    found = mixture.fit_mixtures(one, ["a", "b"], (1, 2))
+    assert np.allclose(found[1].means, [[2.0, 3.0]]) and found[1].n == 5
+    assert mixture.fit_kmeans_all(one, ["a", "b"], (2,))[2].inertia == pytest.approx(0.0)
+    for bad in ([(1.0, None), (2.0, 3.0)], [(1.0, float("nan")), (2.0, 3.0)], []):
+        with pytest.raises(ValueError):
+            mixture.fit_mixtures(spark.createDataFrame(bad, schema), ["a", "b"], (1,))
+
+
 def test_ridge_matches_closed_form_and_lasso_zeroes(spark):
     rng = np.random.default_rng(5)
     Xm = rng.normal(size=(200, 3))
