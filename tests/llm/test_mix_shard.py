@@ -134,6 +134,43 @@ def test_rows_without_id_are_spread(spark):
     assert len(load) == 24 and max(load.values()) / min(load.values()) < 1.1
 
 
+def test_an_id_that_repeats_is_spread(spark):
+    # one id holds a third of all rows; half of those are wholly equal
+    rows = [(7 if i % 3 == 0 else i, "same text" if i % 6 == 0 else f"text {i}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    records, _, _ = shard.shard_documents(docs)
+    found, load, places = records.collect(), Counter(), {}
+    for r in found:
+        load[r["shard"]] += r["size"]
+        places.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted((r["doc_id"], r["size"]) for r in found) == sorted((d, len(t) + 8) for d, t in rows)
+    assert len(load) == 24 and max(load.values()) / min(load.values()) < 1.1
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    layout = sorted((r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in found)
+    again, _, _ = shard.shard_documents(docs.repartition(13))
+    assert sorted((r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in again.collect()) == layout
+
+
+def test_the_stored_map_places_records_as_of_a_version(spark, documents, tmp_path):
+    path = str(tmp_path / "map")
+    records, slot_map, edits = shard.shard_documents(documents, path=path)
+    last = shard.map_version(spark, path)
+    assert last == len(edits) > 0 and edits[-1][0] == last
+    read = lambda v=None: [r["shard"] for r in shard.read_map(spark, path, v).orderBy("virtual_slot").collect()]
+    assert read() == slot_map.tolist() and read(0) == shard.first_map().tolist()
+    # a 25th shard: later versions are appended, the earlier ones still read as before
+    sized = shard.sized_records(documents).cache()
+    grown, more = shard.rebalance_stored(spark, path, shard.slot_bytes(sized), 25)
+    assert [e[0] for e in more] == list(range(last + 1, last + 1 + len(more))) and more
+    assert read() == grown.tolist() and read(last) == slot_map.tolist()
+    place = lambda df: sorted((str(r["doc_id"]), r["text_crc32"], r["shard"], r["slot"]) for r in df.collect())
+    assert place(shard.assign(sized, path, last)) == place(records)
+    assert max(r["shard"] for r in shard.assign(sized, path).collect()) == 24
+    # nothing to move: no version is added
+    assert shard.rebalance_stored(spark, path, {}, 25)[1] == [] and read() == grown.tolist()
+    sized.unpersist()
+
+
 def test_map_versions_and_growth(spark):
     draw = np.random.default_rng(9)
     sizes = {i: int(x) for i, x in enumerate(draw.lognormal(8, 1, 4096))}
