@@ -12,23 +12,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
-    LinearSVC,
     LogisticRegression,
-    OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lapline.models.folds import out_of_fold
+from lapline.models.kernel_svm import SvmModel, fit_svms
 from lapline.models.metrics import scale_pos_weight
 from lapline.models.shared_fits import LIGHT
 
@@ -226,79 +223,18 @@ def build_dnf_stacking(features, scale_pos_weight=1.0, key_columns=("row_id",),
 
 # -- multiclass SVM (C6) -----------------------------------------------------
 
-@dataclass
-class SvmModel:
-    features: list[str]
-    scale: dict
-    rff: tuple | None
-    indexer: object
-    model: object
-
-    def _design(self, df: DataFrame) -> DataFrame:
-        z = [((F.col(c) - F.lit(mu)) / F.lit(sd)) for c, (mu, sd) in self.scale.items()]
-        x = df.withColumn("__zin", F.array(*z))
-        if self.rff is None:
-            return x.withColumn("__x", array_to_vector("__zin")).drop("__zin")
-        Wm, b, D = self.rff
-        k = float(np.sqrt(2.0 / D))
-        schema = T.StructType(x.schema.fields + [T.StructField("__z", T.ArrayType(T.DoubleType()))])
-
-        def project(batches):
-            # random Fourier features: sqrt(2/D) cos(z W + b), one matmul per Arrow batch
-            for pdf in batches:
-                Z = np.array(pdf["__zin"].tolist(), dtype=float).reshape(len(pdf), Wm.shape[0])
-                pdf["__z"] = list(k * np.cos(Z @ Wm + b))
-                yield pdf
-
-        out = x.mapInPandas(project, schema)
-        return out.withColumn("__x", array_to_vector("__z")).drop("__zin", "__z")
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(self._design(df))
-        labels = self.indexer.labels
-        mapping = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])
-        return out.withColumn("prediction", mapping[F.col("__pred")]).drop(
-            "__x", "__pred", "rawPrediction")
-
-
 @dataclass
 class TyreSvm:
-    """Scale all features; ``kernel='linear'`` is one-vs-rest linear SVM,
-    ``kernel='rbf'`` maps through random Fourier features of the RBF kernel
-    (gamma = 1 / (d var(Z)), i.e. 1/d after scaling) and then the same
-    linear model.  Balanced class weights; C maps to regParam 1/(C sum w)."""
+    """All features scaled, balanced class weights, pairs of classes that vote (``lapline.models.kernel_svm``)."""
     features: list[str]
     label: str = "label"
     kernel: str = "rbf"
     C: float = 1.0
-    n_components: int = 200
-    seed: int = SEED
-
-    def fit(self, train: DataFrame) -> SvmModel:
-        st = train.agg(*[F.avg(c).alias(f"m_{c}") for c in self.features],
-                       *[F.stddev_pop(c).alias(f"s_{c}") for c in self.features]).first()
-        scale = {c: (float(st[f"m_{c}"]), float(st[f"s_{c}"] or 1.0)) for c in self.features}
-        rff = None
-        if self.kernel == "rbf":
-            d = len(self.features)
-            gamma = 1.0 / d
-            rng = np.random.default_rng(self.seed)
-            Wm = rng.normal(0.0, np.sqrt(2 * gamma), size=(d, self.n_components))
-            b = rng.uniform(0, 2 * np.pi, size=self.n_components)
-            rff = (Wm, b, self.n_components)
-        indexer = StringIndexer(inputCol=self.label, outputCol="__y",
-                                stringOrderType="alphabetAsc").fit(train)
-        proto = SvmModel(list(self.features), scale, rff, indexer, None)
-        df = balanced_weight_column(indexer.transform(train), "__y")
-        total_w = df.agg(F.sum(W)).first()[0]
-        svc = LinearSVC(regParam=1.0 / (self.C * total_w), standardization=False, maxIter=100,
-                        weightCol=W, tol=1e-6)
-        ovr = OneVsRest(classifier=svc, featuresCol="__x", labelCol="__y",
-                        predictionCol="__pred", weightCol=W, parallelism=3)
-        design = proto._design(df).persist(StorageLevel.MEMORY_AND_DISK)
-        proto.model = ovr.fit(design)
-        design.unpersist()
-        return proto
+    n_landmarks: int = 200
+
+    def fit(self, train: DataFrame, fold: str | None = None) -> SvmModel:
+        """On all rows, or, with ``fold``, on the rows outside each fold in shared passes."""
+        return fit_svms(train, self.features, self.label, fold, self.kernel, self.C, n_landmarks=self.n_landmarks)
 
 
 def out_of_fold_probabilities(df: DataFrame, estimator, fold: str = "fold") -> DataFrame:

@@ -40,6 +40,15 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "") -> Data
     return df.select(*keep, *out)
 
 
+def at_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Null and NaN values of ``columns`` at the column's mean, so that every row has a place among the vectors.
+
+    A column without any value stays null, which a fit refuses."""
+    known = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    means = df.agg(*[F.avg(v).alias(c) for c, v in known.items()]).first()
+    return df.withColumns({c: F.coalesce(v, F.lit(means[c]).cast("double")) for c, v in known.items()})
+
+
 def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
     """Columns as one vector; a null value raises, no row is dropped."""
     return VectorAssembler(inputCols=list(columns), outputCol=name,
@@ -99,4 +108,4 @@ def select_n_components_by_bic(df: DataFrame, columns: Sequence[str],
     return df.sparkSession.createDataFrame([(k, m.bic()) for k, m in models.items()], "k int, bic double")
 
 
-__all__ = ["standardize", "fit_pca", "fit_kmeans", "silhouette", "fit_gmm", "select_n_components_by_bic"]
+__all__ = ["standardize", "at_mean", "fit_pca", "fit_kmeans", "silhouette", "fit_gmm", "select_n_components_by_bic"]

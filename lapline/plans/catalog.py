@@ -396,10 +396,9 @@ def q_logistic_coefficients(spark, sf):
 @register("tyre_svm")
 def q_tyre_svm(spark, sf):
     df = features.build_tyre_features(_lap_summary(spark, sf))
-    df = df.na.drop(subset=list(STYLE_COLUMNS))
-    df = folds.stratified_group_kfold(df, "group", "label", n_splits=5)
-    est = classify.TyreSvm(list(STYLE_COLUMNS), kernel="rbf")
-    oof = classify.out_of_fold_probabilities(df, est)
+    df = cells.shared_cut(folds.stratified_group_kfold(df, "group", "label", n_splits=5))
+    model = classify.TyreSvm(list(STYLE_COLUMNS), kernel="rbf").fit(df, "fold")
+    oof = model.transform(df, "fold")
     return metrics.cv_macro_metrics(oof, truth="label", prediction="prediction")
 
 
@@ -408,14 +407,13 @@ def q_tyre_svm(spark, sf):
 def _style_scaled(spark, sf, detrend=False):
     style = features.build_driving_style_features(_lap_summary(spark, sf), relative_to_driver=not detrend,
                                                   detrend_lap_number=detrend)
-    # laps without samples of a channel have no place among the vectors
-    style = style.na.drop(subset=list(STYLE_COLUMNS))
     # scaling, PCA and the clustering iterations each re-read this table:
     # write it once to the checkpoint folder instead of re-running the
     # as-of join for every pass
     ensure_checkpoint_dir(spark)
     style = style.checkpoint(eager=True)
-    return cluster.standardize(style, list(STYLE_COLUMNS))
+    # laps without samples of a channel stand at its mean
+    return cluster.standardize(cluster.at_mean(style, STYLE_COLUMNS), list(STYLE_COLUMNS))
 
 
 @register("zscore")
@@ -463,7 +461,7 @@ ONE_COMPONENT_COLUMNS = ("mean_speed_kmh", "mean_throttle_pct")
 @register("gmm_bic_one")
 def q_gmm_bic_one(spark, sf):
     """U7 at k = 1: the fit has a closed form."""
-    laps = _lap_summary(spark, sf).na.drop(subset=list(ONE_COMPONENT_COLUMNS))
+    laps = cluster.at_mean(cells.shared_cut(_lap_summary(spark, sf).select(*ONE_COMPONENT_COLUMNS)), ONE_COMPONENT_COLUMNS)
     return finish(cluster.select_n_components_by_bic(laps, ONE_COMPONENT_COLUMNS, (1,)))
 
 

@@ -483,7 +483,8 @@ pl AS (
     # log likelihood of one full-covariance normal, 1e-6 on the diagonal, at its own moments
     q["gmm_bic_one"] = (
         f"WITH {LAPS}{TEL}, m AS (SELECT count(*) AS n, var_pop(x) AS sx, var_pop(y) AS sy, covar_pop(x, y) AS sxy "
-        "FROM (SELECT mean_speed_kmh AS x, mean_throttle_pct AS y FROM summary) WHERE x IS NOT NULL AND y IS NOT NULL), "
+        "FROM (SELECT coalesce(mean_speed_kmh, avg(mean_speed_kmh) OVER ()) AS x, "
+        "coalesce(mean_throttle_pct, avg(mean_throttle_pct) OVER ()) AS y FROM summary)), "
         "c AS (SELECT *, sx + 1e-6 AS a, sy + 1e-6 AS b, (sx + 1e-6) * (sy + 1e-6) - sxy * sxy AS det FROM m) "
         "SELECT CAST(1 AS INTEGER) AS k, round(n * (2 * ln(2 * pi()) + ln(det) + (b * sx - 2 * sxy * sxy + a * sy) / det) "
         "+ 5 * ln(n), 6) AS bic FROM c")
