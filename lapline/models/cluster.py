@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapline.models.mixture import fit_gaussian_mixture, fit_kmeans_all, fit_mixtures
+from lapline.models.silhouette import euclidean_silhouette
 
 # EM stopping rule of the reference's mixture defaults (100 iterations, 1e-3)
 GMM_MAX_ITER = 100
@@ -85,7 +86,12 @@ def fit_kmeans(df: DataFrame, columns: Sequence[str], n_clusters: int = 3, name:
 
 
 def silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> float:
-    """U4: mean silhouette in Spark's linear-time form, on squared Euclidean distances."""
+    """U4: mean silhouette on Euclidean distances, within 1e-6 of all pairs' (``lapline.models.silhouette``); one or two columns."""
+    return euclidean_silhouette(df, columns, cluster)[0]
+
+
+def squared_silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> float:
+    """Mean silhouette in Spark's linear-time form, on squared Euclidean distances; any number of columns."""
     vec = assemble(df, columns, "__v")
     ev = ClusteringEvaluator(featuresCol="__v", predictionCol=cluster,
                              distanceMeasure="squaredEuclidean")
@@ -108,4 +114,4 @@ def select_n_components_by_bic(df: DataFrame, columns: Sequence[str],
     return df.sparkSession.createDataFrame([(k, m.bic()) for k, m in models.items()], "k int, bic double")
 
 
-__all__ = ["standardize", "at_mean", "fit_pca", "fit_kmeans", "silhouette", "fit_gmm", "select_n_components_by_bic"]
+__all__ = ["standardize", "at_mean", "fit_pca", "fit_kmeans", "silhouette", "squared_silhouette", "fit_gmm", "select_n_components_by_bic"]

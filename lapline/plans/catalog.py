@@ -473,6 +473,14 @@ def q_silhouette(spark, sf):
     return spark.createDataFrame([(value,)], "silhouette double")
 
 
+@register("silhouette_compound")
+def q_silhouette_compound(spark, sf):
+    """U4 of the compounds as clusters, on speed and throttle."""
+    laps = cells.shared_cut(_lap_summary(spark, sf).select(*ONE_COMPONENT_COLUMNS, "compound"))
+    value = cluster.silhouette(cluster.at_mean(laps, ONE_COMPONENT_COLUMNS), ONE_COMPONENT_COLUMNS, "compound")
+    return finish(spark.createDataFrame([(value,)], "silhouette double"))
+
+
 # -- documented experiments and profiles (C7, C8, A10, embeddings) ----------
 
 @register("capacity_sweep")

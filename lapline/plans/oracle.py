@@ -488,6 +488,16 @@ pl AS (
         "c AS (SELECT *, sx + 1e-6 AS a, sy + 1e-6 AS b, (sx + 1e-6) * (sy + 1e-6) - sxy * sxy AS det FROM m) "
         "SELECT CAST(1 AS INTEGER) AS k, round(n * (2 * ln(2 * pi()) + ln(det) + (b * sx - 2 * sxy * sxy + a * sy) / det) "
         "+ 5 * ln(n), 6) AS bic FROM c")
+    # all pairs: mean distance of each lap to each compound, its own lap apart
+    q["silhouette_compound"] = (
+        f"WITH {LAPS}{TEL}, v AS (SELECT row_number() OVER () AS r, compound AS c, "
+        "coalesce(mean_speed_kmh, avg(mean_speed_kmh) OVER ()) AS x, "
+        "coalesce(mean_throttle_pct, avg(mean_throttle_pct) OVER ()) AS y FROM summary), "
+        "g AS (SELECT a.r, a.c = b.c AS own, sum(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS far, count(*) AS n "
+        "FROM v a JOIN v b ON true GROUP BY a.r, a.c, b.c), "
+        "m AS (SELECT r, max(n) FILTER (WHERE own) AS size, max(far / greatest(n - 1, 1)) FILTER (WHERE own) AS a, "
+        "min(far / n) FILTER (WHERE NOT own) AS b FROM g GROUP BY r) "
+        "SELECT round(avg(CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM m")
     q.update(fits(RES))
     q["group_folds"] = (
         "WITH RECURSIVE c AS (SELECT 'S' || l_suppkey AS \"group\", count(*) AS n FROM lineitem GROUP BY 1), "
