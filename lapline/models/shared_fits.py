@@ -3,11 +3,13 @@
 A *fit* is a model for one held-out fold (and, for stacking, one held-out
 inner fold) with its own features and parameters.  All fits of a call
 advance together: a pass sums, for every (fit, tree, node, feature code) at once,
-two statistics of the cells, and the driver takes the splits from these
+two statistics of the cells, and the splits are taken from these
 sums, whose number depends on trees, nodes and codes but not on rows.
 
-* trees and forests: weighted Gini; the sums are whole numbers, class
-  weights come in on the driver, so results don't depend on partitions;
+* trees and forests: weighted Gini; a task takes a share of the trees over a
+  part of the cells, those that differ in no feature of a fit as one, and
+  only splits reach the driver.  The sums are whole numbers, class weights
+  come in afterwards, so results don't depend on partitions;
 * boosting: Newton steps on gradient and hessian sums, leaf ``-eta G / (H + lambda)``;
 * logistic regression: Newton's method on the gradient and the bordered-diagonal
   hessian (numeric columns dense, the one-hot diagonal), ended by the gradient's norm.
@@ -18,6 +20,7 @@ from hashes of both: the sum of its rows' Poisson(1) draws.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -34,6 +37,8 @@ from lapline.models.cells import Block, Cells, shared_cut, summed, unpack, with_
 PASS_SUMS = 4_000_000
 #: Entries of a worker's arrays of (tree, cell).
 WORK = 2_000_000
+#: Cells that a task of classification trees holds, and sums that it makes at once.
+TASK_CELLS, TASK_SUMS = 1_000_000, 250_000
 #: Rounds of boosting between two rewrites of the margins, fewer if walking them anew exceeds so many (model, cell) pairs of a block.
 REFRESH, REWALK = 16, 1_000_000
 ETA, LEAF_L2, MIN_HESSIAN, MIN_GAIN = 0.3, 1.0, 1.0, 1e-6
@@ -279,12 +284,11 @@ def _best(gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _split(cells: Cells, grown: _Growing, level: int, slot, gain, taken, left_value, right_value) -> None:
     """Write the chosen splits and their children's values."""
     starts = np.concatenate([[0], np.cumsum(cells.slots)])
-    first = (1 << level) - 1
-    for t, k in zip(*np.nonzero(taken), strict=True):
-        node, s = first + k, int(slot[t, k])
-        f = int(np.searchsorted(starts, s, side="right")) - 1
-        grown.feature[t, node], grown.cut[t, node], grown.gain[t, node] = f, s - starts[f], gain[t, k]
-        grown.value[t, 2 * node + 1], grown.value[t, 2 * node + 2] = left_value[t, k], right_value[t, k]
+    t, k = np.nonzero(taken)
+    node, own = (1 << level) - 1 + k, slot[t, k]
+    f = np.searchsorted(starts, own, side="right") - 1
+    grown.feature[t, node], grown.cut[t, node], grown.gain[t, node] = f, own - starts[f], gain[t, k]
+    grown.value[t, 2 * node + 1], grown.value[t, 2 * node + 2] = left_value[t, k], right_value[t, k]
 
 
 @lru_cache(64)
@@ -322,79 +326,178 @@ def _chosen_features(cells: Cells, fit: Fit, present: np.ndarray, tree: int, nod
 
 
 def _gini_trees(cells: Cells, fits: Sequence[Fit]) -> dict[Fit, Trees]:
-    """Classification trees and forests, all trees of all fits level by level."""
+    """Classification trees and forests, all trees of all fits level by level, a pass for each."""
     out = {}
     for depth in sorted({f.depth for f in fits}):
         own = [f for f in fits if f.depth == depth]
         # trees of a number lie together: fits that hold out other folds share its draw
         places, numbers = zip(*((k, t) for t in range(max(f.n_trees for f in own)) for k, f in enumerate(own) if t < f.n_trees), strict=True)
-        # as many trees together as a level's sums may have
-        step = max(1, PASS_SUMS // ((1 << max(0, depth - 1)) * sum(cells.slots)))
-        parts = [_grow_gini(cells, own, places[a:a + step], numbers[a:a + step], depth) for a in range(0, len(places), step)]
-        place = np.concatenate([g.fit for g in parts])
+        grown = _grow_gini(cells, own, places, numbers, depth)
         for k, f in enumerate(own):
-            out[f] = Trees(*(np.concatenate([getattr(g, n) for g in parts])[place == k] for n in ("feature", "cut", "value")),
-                           False, np.concatenate([g.gain for g in parts])[place == k])
+            out[f] = Trees(*(getattr(grown, n)[grown.fit == k] for n in ("feature", "cut", "value")), False, grown.gain[grown.fit == k])
     return out
 
 
+class _Merged:
+    """All cells of a task, and those with equal codes as one for each set of features."""
+
+    def __init__(self, blocks: Sequence[Block], slots: Sequence[int]):
+        self.code = np.concatenate([b.code for b in blocks])
+        self.fold, self.inner, self.hash, self.negatives, self.positives = (
+            np.concatenate([getattr(b, n) for b in blocks]) for n in ("fold", "inner", "hash", "negatives", "positives"))
+        self.slots, self.made, self.rows = slots, {}, {}
+
+    def codes(self, features: Sequence[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """The features, the distinct codes of these, and the place of each cell's among them.
+
+        The first and the last feature are always there: totals are read from their sums."""
+        key = tuple(sorted({0, *features, len(self.slots) - 1}))
+        if key not in self.made:
+            at = np.zeros(len(self.code), np.int64)
+            for k in key:  # numbered anew at each feature, so that no product of slots overflows
+                _, first, at = np.unique(at * self.slots[k] + self.code[:, k], return_index=True, return_inverse=True)
+            self.made[key] = list(key), np.ascontiguousarray(self.code[first].T), at
+        return self.made[key]
+
+    def trained(self, fit: Fit) -> np.ndarray:
+        key = fit.outer, fit.inner
+        if key not in self.rows:
+            self.rows[key] = fit.trains(self.fold, self.inner)
+        return self.rows[key]
+
+    def sums(self, fits: Sequence[Fit], grown: _Growing, own: slice, level: int) -> np.ndarray:
+        """(tree, node of the level, slot, 2): how many negatives and positives have each code."""
+        starts, nodes, last = np.concatenate([[0], np.cumsum(self.slots)]), 1 << level, len(self.slots) - 1
+        width = int(starts[-1])
+        out = np.zeros((len(grown.fit[own]), 2, nodes * width))
+        tree, drawn = None, None
+        for t, (k, number) in enumerate(zip(grown.fit[own].tolist(), grown.number[own].tolist(), strict=True)):
+            if fits[k].kind != "forest":
+                counts = self.negatives, self.positives
+            else:
+                if tree != number:  # fits that hold out other folds share the draw
+                    tree, drawn = number, [bootstrap_counts(self.hash, n, number, label) for label, n in enumerate((self.negatives, self.positives))]
+                counts = drawn
+            features, code, at = self.codes(fits[k].features)
+            rows = self.trained(fits[k])
+            v = [np.bincount(at, weights=c * rows, minlength=code.shape[1]) for c in counts]
+            i = np.flatnonzero((v[0] > 0) | (v[1] > 0))
+            v, node = [x[i] for x in v], np.zeros(len(i), np.int64)
+            feature, cut = grown.feature[own][t], grown.cut[own][t]
+            for _ in range(level):
+                f = feature[node]
+                if not (f >= 0).all():
+                    live = np.flatnonzero(f >= 0)
+                    i, v, node, f = i[live], [x[live] for x in v], node[live], f[live]
+                c, right = cut[node], np.zeros(len(i), bool)
+                for j in np.unique(f).tolist():
+                    here = np.flatnonzero(f == j)
+                    x = code[j][i[here]]
+                    right[here] = x == c[here] if j == last else x > c[here]
+                node = 2 * node + 1 + right
+            base = (node - (nodes - 1)) * width
+            for j in features:
+                key = base + (starts[j] + code[j][i])
+                for side in (0, 1):
+                    out[t, side] += np.bincount(key, weights=v[side], minlength=nodes * width)
+        return np.moveaxis(out.reshape(-1, 2, nodes, width), 1, 3)
+
+
+def _dealt(cells: Cells, trees: int) -> tuple[DataFrame, int, int]:
+    """The cells in parts of at most ``TASK_CELLS``, each part once for every share of the trees; a partition for each of both."""
+    parts = max(1, math.ceil(cells.number / TASK_CELLS))
+    tasks = 2 * cells.blocks.sparkSession.sparkContext.defaultParallelism
+    shares = min(trees, max(1, min(math.ceil(tasks / parts), math.ceil(trees * cells.number / WORK))))
+    names = cells.blocks.columns
+    wide = cells.blocks.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(parts))) \
+        .select(*names, "part", F.explode(F.lit(list(range(shares)))).alias("share"))
+    return shared_cut(wide.repartitionById(parts * shares, F.col("part") * F.lit(shares) + F.col("share"))), parts, shares
+
+
 def _grow_gini(cells: Cells, fits: Sequence[Fit], places, numbers, depth: int) -> _Growing:
+    """A task sums and splits the trees of its share over the cells of its part; with several parts the sums of a few trees meet first."""
     grown = _start(places, numbers, depth)
-    weights = np.array([f.class_weights(cells) for f in fits])[grown.fit]
-    allowed = np.stack([_allowed(cells, f.features) for f in fits])[grown.fit]
+    bare, slots = cells.bare(), cells.slots
+    weights = np.array([f.class_weights(cells) for f in fits])
+    allowed = np.stack([_allowed(cells, f.features) for f in fits])
     bagged = np.array([f.kind == "forest" for f in fits])
-    slots = cells.slots
-
-    def stats(block, fit, number):
-        values = np.zeros((len(fit), len(block), 2))
-        drawn: dict[int, np.ndarray] = {}
-        for t, (k, tree) in enumerate(zip(fit.tolist(), number.tolist(), strict=True)):
-            if not bagged[k]:
-                counts = np.stack([block.negatives, block.positives], axis=1)
-            else:
-                if tree not in drawn:  # fits that hold out other folds share the draw
-                    drawn[tree] = np.stack([bootstrap_counts(block.hash, n, tree, label)
-                                            for label, n in enumerate((block.negatives, block.positives))], axis=1)
-                counts = drawn[tree]
-            values[t] = counts * fits[k].trains(block.fold, block.inner)[:, None]
-        return values
-
-    open_ = np.ones((len(places), 1), bool)
+    names, trees = cells.blocks.columns, len(grown.fit)
+    dealt, parts, shares = _dealt(cells, trees)
+    edges = [trees * i // shares for i in range(shares + 1)]
+    open_ = np.ones((trees, 1), bool)
     for level in range(depth):
-        sums = _level_sums(cells, fits, grown, level, stats)
-        total, left = _sides(sums, slots)
-        right = total[:, :, None] - left
-
-        def impurity(x):  # weight times Gini
-            w = x * weights[:, None, None, :] if x.ndim == 4 else x * weights[:, None, :]
-            both = w.sum(axis=-1)
-            return 2 * w[..., 0] * w[..., 1] / np.where(both > 0, both, 1)
-
-        gain = impurity(total)[:, :, None] - impurity(left) - impurity(right)
-        usable = allowed[:, None, :] & (left.sum(axis=3) > 0) & (right.sum(axis=3) > 0)
-        if bagged[grown.fit].any():
-            present = sums.sum(axis=3)
-            for t in np.flatnonzero(bagged[grown.fit]):
-                for k in np.flatnonzero(open_[t]):
-                    usable[t, k] &= _chosen_features(cells, fits[grown.fit[t]], present[t, k], int(grown.number[t]),
-                                                     (1 << level) - 1 + int(k))
-        gain = np.where(usable, gain, -np.inf)
-        slot, best = _best(gain)
-        taken = open_ & (best > -np.inf) & (total > 0).all(axis=2)
-
-        def share(x):
-            w = x * weights[:, None, :]
-            return w[..., 1] / np.where(w.sum(axis=-1) > 0, w.sum(axis=-1), 1)
-
+        few = max(1, TASK_SUMS // ((1 << level) * sum(slots)))
+        # what tasks read of the trees so far
+        so_far, still = _Growing(grown.fit, grown.number, grown.feature, grown.cut, None, None), open_
+
+        def choose(first, sums, level=level, so_far=so_far, still=still):
+            own = slice(first, first + len(sums))
+            return _gini_splits(bare, fits, so_far.fit[own], so_far.number[own], level, sums, still[own], weights, allowed, bagged)
+
+        def run(batches, level=level, so_far=so_far, few=few):
+            blocks, share = [], None
+            for batch in batches:
+                if batch.num_rows:
+                    share = batch.column(batch.schema.get_field_index("share"))[0].as_py()
+                    blocks += list(unpack(batch.select(names)))
+            if share is None:
+                return
+            merged = _Merged(blocks, slots)
+            for a in range(edges[share], edges[share + 1], few):
+                sums = merged.sums(fits, so_far, slice(a, min(a + few, edges[share + 1])), level)
+                made = sums if parts > 1 else choose(a, sums)
+                yield pa.RecordBatch.from_arrays([pa.array([a], pa.int32()), pa.array([made.tobytes()], pa.binary())], names=["first", "made"])
+
+        def meet(table, level=level):
+            a = table.column("first")[0].as_py()
+            sums = sum(np.frombuffer(x.as_buffer()) for x in table.column("made")).reshape(-1, 1 << level, sum(slots), 2)
+            return pa.table({"first": pa.array([a], pa.int32()), "made": pa.array([choose(a, sums).tobytes()], pa.binary())})
+
+        found = dealt.mapInArrow(run, "first int, made binary")
+        if parts > 1:
+            found = found.groupBy("first").applyInArrow(meet, "first int, made binary")
+        made = np.zeros((6, trees, 1 << level))
+        for first, blob in found.collect():
+            own = np.frombuffer(blob).reshape(6, -1, 1 << level)
+            made[:, first:first + own.shape[1]] = own
+        slot, gain, taken, left, right, whole = made
         if level == 0:
-            grown.value[:, 0] = share(total)[:, 0]
-        at = slot[:, :, None, None].repeat(2, axis=3)
-        a, b = (np.take_along_axis(x, at, axis=2)[:, :, 0] for x in (left, right))
-        _split(cells, grown, level, slot, best, taken, share(a), share(b))
-        open_ = np.repeat(taken, 2, axis=1)
+            grown.value[:, 0] = whole[:, 0]
+        _split(cells, grown, level, slot.astype(np.int64), gain, taken > 0, left, right)
+        open_ = np.repeat(taken > 0, 2, axis=1)
     return grown
 
 
+def _gini_splits(cells: Cells, fits: Sequence[Fit], fit, number, level: int, sums, open_, weights, allowed, bagged) -> np.ndarray:
+    """(6, tree, node): slot and gain of the best cut, whether it is taken, the values of both sides and of the node."""
+    weights = weights[fit]
+    total, left = _sides(sums, cells.slots)
+    right = total[:, :, None] - left
+
+    def impurity(x):  # weight times Gini
+        w = x * weights[:, None, None, :] if x.ndim == 4 else x * weights[:, None, :]
+        both = w.sum(axis=-1)
+        return 2 * w[..., 0] * w[..., 1] / np.where(both > 0, both, 1)
+
+    gain = impurity(total)[:, :, None] - impurity(left) - impurity(right)
+    usable = allowed[fit][:, None, :] & (left.sum(axis=3) > 0) & (right.sum(axis=3) > 0)
+    if bagged[fit].any():
+        present = sums.sum(axis=3)
+        for t in np.flatnonzero(bagged[fit]):
+            for k in np.flatnonzero(open_[t]):
+                usable[t, k] &= _chosen_features(cells, fits[fit[t]], present[t, k], int(number[t]), (1 << level) - 1 + int(k))
+    slot, best = _best(np.where(usable, gain, -np.inf))
+    taken = open_ & (best > -np.inf) & (total > 0).all(axis=2)
+
+    def share(x):
+        w = x * weights[:, None, :]
+        return w[..., 1] / np.where(w.sum(axis=-1) > 0, w.sum(axis=-1), 1)
+
+    at = slot[:, :, None, None].repeat(2, axis=3)
+    a, b = (np.take_along_axis(x, at, axis=2)[:, :, 0] for x in (left, right))
+    return np.stack([slot, best, taken, share(a), share(b), share(total)]).astype(float)
+
+
 # -- boosting ----------------------------------------------------------------
 
 def _boosted_trees(cells: Cells, fits: Sequence[Fit]) -> dict[Fit, Trees]:

@@ -306,3 +306,21 @@ def test_many_values_fall_into_quantile_bins(spark):
     fit = sf.Fit("tree", (0,), depth=1)
     tree = sf.fit_all(cells, [fit])[fit]
     assert abs(cells.edges[0][tree.cut[0, 0] - 1] - 4500) < 160
+
+
+def test_trees_are_grown_by_tasks(table, cells, monkeypatch):
+    """Parts of the cells and shares of the trees give the same forest; no sums reach the driver."""
+    fits = [sf.Fit("forest", (0, 1, 2), outer=o, inner=i, n_trees=4) for o in (0, 2) for i in (1, None)] + [sf.Fit("forest", (1, 2), outer=0, n_trees=3)]
+    whole = sf.fit_all(cells, fits)
+    monkeypatch.setattr(ce, "CELLS_PER_PARTITION", 60)
+    many = ce.build_cells(table, ["a", "b"], "team", inner="inner_fold")
+    monkeypatch.setattr(sf, "TASK_CELLS", many.number // 3)
+    monkeypatch.setattr(sf, "TASK_SUMS", 400)
+    monkeypatch.setattr(sf, "WORK", 500)
+    monkeypatch.setattr(sf, "_level_sums", None)
+    dealt, parts, shares = sf._dealt(many, 19)
+    assert parts >= 3 and shares > 1 and dealt.rdd.getNumPartitions() == parts * shares
+    split = sf.fit_all(many, fits)
+    for f in fits:
+        assert (whole[f].feature == split[f].feature).all() and (whole[f].cut == split[f].cut).all()
+        assert (whole[f].value == split[f].value).all() and (whole[f].gain == split[f].gain).all()
