@@ -448,8 +448,8 @@ def _grow_gini(cells: Cells, fits: Sequence[Fit], places, numbers, depth: int) -
                 made = sums if parts > 1 else choose(a, sums)
                 yield pa.RecordBatch.from_arrays([pa.array([a], pa.int32()), pa.array([made.tobytes()], pa.binary())], names=["first", "made"])
 
-        def meet(table, level=level):
-            a = table.column("first")[0].as_py()
+        def meet(key, table):
+            a = key[0].as_py()
             sums = sum(np.frombuffer(x.as_buffer()) for x in table.column("made")).reshape(-1, 1 << level, sum(slots), 2)
             return pa.table({"first": pa.array([a], pa.int32()), "made": pa.array([choose(a, sums).tobytes()], pa.binary())})
 
