@@ -1,22 +1,25 @@
 """Mean silhouette on Euclidean distances, in time linear in the points and with a bound on its error (U4).
 
 All pairs would be quadratic.  Here the columns' cube is cut into cells, halved
-until no leaf holds more than ``leaf_points`` distinct points.  Distances
+until a point shares its leaf with ``leaf_points`` distinct points on average
+(a dense spot of few points doesn't halve the leaves of all others).  Distances
 between points of the same or of touching leaves are taken one by one.  All
 others are met at the first level at which their cells don't touch but their
 parents do: there the distance is smooth in both points, so polynomials
 through ``q`` Chebyshev nodes an axis stand for it.  A cell then is its weights
 on the nodes, one set for each cluster (upwards, children to parent), takes the sums
 of distances to at most 6^d - 3^d cells of its own level, and hands them down.
-Every step is a join or a grouping of cells on their places, whose groups
-(children, neighbours) are bounded.
+Every step is a grouping of cells on their places, whose groups are bounded
+(children; the children of a cell and of those that touch it).
 
 The polynomials' largest error over all such pairs of cells, in units of a
 cell's side, is measured on the driver on a fine lattice and doubled; it
-bounds every mean distance and so the silhouette.  ``q`` rises until the bound
-is within ``tol``.
+bounds every mean distance and so the silhouette.  ``q`` begins where distances
+of a tenth of the cube would do, and rises until the bound is within ``tol``.
 
-Equal points of a cluster are one point with a count.  A null or NaN raises;
+Equal points of a cluster are one point with a count; in more points than a leaf
+has, so are those that agree to 48 bits of the cube's side (rows whose values are
+the same but for the order of a sum), which the bound takes in.  A null or NaN raises;
 so do fewer than two clusters or as many as rows.  A point alone in its
 cluster has silhouette 0; so has every point if all are equal.
 """
@@ -35,11 +38,12 @@ from pyspark.sql import functions as F
 
 from lapline.session import ensure_checkpoint_dir, ship_code
 
-LEAF_POINTS = 128
+LEAF_POINTS = 512
 MAX_LEVEL = 30
 MAX_CLUSTERS = 64
 TOL = 1e-6
 NODES = (8, 10, 12, 14, 16)
+SNAP = 2.0 ** 48
 
 
 @lru_cache
@@ -118,21 +122,37 @@ class _Cells:
             return
         self.place = [f"i{a}" for a in range(self.d)]
         unit = [(F.col(v) - F.lit(float(lo))) / F.lit(self.side) for v, lo in zip(x, low, strict=True)]
+        self.snapped = row[2] > leaf_points
+        if self.snapped:
+            unit = [F.floor(u * F.lit(SNAP)).cast("double") / F.lit(SNAP) for u in unit]
         points = points.select(*(u.alias(v) for u, v in zip(unit, x, strict=True)), "n",
                                (F.array_position(F.lit([s[0] for s in sizes]), F.col("c")) - 1).cast("int").alias("c"))
-        self.level = max(0, math.ceil(math.log2(max(1.0, row[2] / leaf_points)) / self.d))
+        number = row[2]
+        if self.snapped:
+            points = points.groupBy(*x, "c").agg(F.sum("n").alias("n")).checkpoint()
+            number = points.count()
+        self.level = max(0, math.ceil(math.log2(max(1.0, number / leaf_points)) / self.d))
         while True:
             placed = points.select("*", *(F.floor(F.col(v) * F.lit(float(2 ** self.level))).cast("long").alias(i)
                                           for v, i in zip(x, self.place, strict=True)))
-            most = placed.groupBy(*self.place).count().agg(F.max("count")).first()[0]
-            if most <= leaf_points or self.level >= MAX_LEVEL:
+            sizes_of = placed.groupBy(*self.place).agg(F.count(F.lit(1)).alias("size"))
+            # the distances to be taken one by one go by this sum
+            together = sizes_of.agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0]
+            if together <= leaf_points * number or self.level >= MAX_LEVEL:
                 break
             self.level += 1
-        # leaves of the last level that are still full are dealt out over chunks, which all meet
-        chunks = math.ceil(most / leaf_points)
+        # leaves that are fuller are dealt out over chunks, which all meet
         packed = F.collect_list(F.struct(*(F.col(v).alias(v) for v in x), F.col("c").cast("double").alias("c"), F.col("n").cast("double").alias("n")))
-        self.leaves = placed.groupBy(*self.place, F.pmod(F.xxhash64(*x), F.lit(chunks)).alias("chunk")) \
-            .agg(F.transform(packed, lambda p: F.array(*(p[v] for v in [*x, "c", "n"]))).alias("points")).checkpoint()
+        chunk = F.pmod(F.xxhash64(*x), F.ceil(F.col("size") / F.lit(leaf_points)))
+        place, width = self.place, self.d + 2
+
+        def pack(frames):
+            for frame in frames:
+                yield frame[[*place, "chunk"]].assign(points=[_blob(np.stack(p).reshape(-1, width)) for p in frame["points"]])
+
+        self.leaves = placed.join(sizes_of, place).groupBy(*place, chunk.alias("chunk")) \
+            .agg(F.transform(packed, lambda p: F.array(*(p[v] for v in [*x, "c", "n"]))).alias("points")) \
+            .mapInPandas(pack, self._schema("chunk long", "points binary")).checkpoint()
 
     def _schema(self, *more: str) -> str:
         return ", ".join([*(f"{i} long" for i in self.place), *more])
@@ -145,7 +165,7 @@ class _Cells:
             for frame in frames:
                 out = []
                 for points, *at in zip(frame["points"], *(frame[i] for i in place), strict=True):
-                    p = np.stack(points)
+                    p = np.frombuffer(points).reshape(-1, d + 2)
                     own = np.zeros((len(p), k))
                     own[np.arange(len(p)), p[:, d].astype(int)] = p[:, d + 1]
                     out.append(_blob(weights(2 * (p[:, :d] * 2.0 ** level - np.array(at)) - 1, q).T @ own))
@@ -173,45 +193,37 @@ class _Cells:
     def downward(self, q: int) -> DataFrame | None:
         """The leaves' sums of distances, at the nodes, to all points outside the leaves that they touch."""
         place, d, k = self.place, self.d, len(self.sizes)
-        offsets = [o for o in product(range(-3, 4), repeat=d) if max(map(abs, o)) > 1]
-        steps = F.explode(F.lit([list(o) for o in offsets]))
+        around = F.explode(F.lit([list(o) for o in product((-1, 0, 1), repeat=d)]))
+        parent = [f"p{a}" for a in range(d)]
         schema = self._schema("near binary")
         local = None
         for at, cells in sorted(self.upward(q).items()):
             side = self.side / 2 ** at
 
             def gather(key, frame):
-                total = np.zeros((q ** d, k))
-                for w, o in zip(frame["w"], frame["o"], strict=True):
-                    total += between(q, tuple(int(v) for v in o)) @ np.frombuffer(w).reshape(-1, k)
-                return pd.DataFrame([[*key, _blob(side * total)]], columns=[*place, "near"])
-
-            reached = cells.select(*place, steps.alias("o"))
-            for a, i in enumerate(place):
-                reached = reached.withColumn(f"s{a}", F.col(i) + F.col("o")[a])
-                reached = reached.where(F.abs(F.floor(F.col(f"s{a}") / 2) - F.floor(F.col(i) / 2)) <= 1)
-            sources = cells.select(*(F.col(i).alias(f"s{a}") for a, i in enumerate(place)), "w")
-            own = reached.join(sources, [f"s{a}" for a in range(d)]).select(*place, "o", "w") \
-                .groupBy(*place).applyInPandas(gather, schema)
-            both = cells.select(*place).join(own, place, "left")
-            if local is None:
-                both = both.withColumn("far", F.lit(None).cast("binary"))
-            else:
-                up = local.select(*(F.col(i).alias(f"p{a}") for a, i in enumerate(place)), F.col("near").alias("far"))
-                both = both.select("*", *(F.floor(F.col(i) / 2).alias(f"p{a}") for a, i in enumerate(place))) \
-                    .join(up, [f"p{a}" for a in range(d)]).select(*place, "near", "far")
-
-            def hand_down(frames):
-                for frame in frames:
-                    out = []
-                    for near, far, *at in zip(frame["near"], frame["far"], *(frame[i] for i in place), strict=True):
-                        total = np.zeros((q ** d, k)) if near is None else np.frombuffer(near).reshape(-1, k)
-                        if far is not None:
-                            total = total + from_parent(q, tuple(int(v) % 2 for v in at)) @ np.frombuffer(far).reshape(-1, k)
-                        out.append(_blob(total))
-                    yield frame[place].assign(near=out)
-
-            local = both.mapInPandas(hand_down, schema).checkpoint()
+                """The sums of a cell's children: from the children of the cells around it, and what it hands down."""
+                known = frame[place[0]].notna()
+                met = frame[known]
+                cell, w = met[place].to_numpy(np.int64), [np.frombuffer(b).reshape(-1, k) for b in met["w"]]
+                far = [np.frombuffer(b).reshape(-1, k) for b in frame["w"][~known]]
+                out = []
+                for own in cell[(cell // 2 == np.array(key)).all(axis=1)]:
+                    total = np.zeros((q ** d, k))
+                    for source, weight in zip(cell - own, w, strict=True):
+                        if np.abs(source).max() > 1:
+                            total += between(q, tuple(source.tolist())) @ weight
+                    total *= side
+                    for f in far:
+                        total += from_parent(q, tuple((own % 2).tolist())) @ f
+                    out.append([*own.tolist(), _blob(total)])
+                return pd.DataFrame(out, columns=[*place, "near"])
+
+            sent = cells.select(*place, "w", around.alias("o")).select(
+                *((F.floor(F.col(i) / 2) + F.col("o")[a]).alias(v) for a, (i, v) in enumerate(zip(place, parent, strict=True))), *place, "w")
+            if local is not None:
+                sent = sent.unionByName(local.select(*(F.col(i).alias(v) for i, v in zip(place, parent, strict=True)),
+                                                     *(F.lit(None).cast("long").alias(i) for i in place), F.col("near").alias("w")))
+            local = sent.groupBy(*parent).applyInPandas(gather, schema).checkpoint()
         return local
 
     def mean(self, q: int) -> tuple[float, float]:
@@ -222,19 +234,23 @@ class _Cells:
             self.leaves.join(local.withColumnRenamed("near", "far"), place)
         # cells that don't touch are at most a quarter of the cube wide
         error = worst_error(q, d) * side / 4 if local is not None else 0.0
+        if self.snapped:
+            error += 2 * math.sqrt(d) / SNAP * side
         around = F.explode(F.lit([list(o) for o in product((-1, 0, 1), repeat=d)]))
-        pairs = own.select("*", around.alias("o")).select("*", *((F.col(i) + F.col("o")[a]).alias(f"s{a}") for a, i in enumerate(place)))
-        sources = self.leaves.select(*(F.col(i).alias(f"s{a}") for a, i in enumerate(place)), F.col("points").alias("met"))
-        pairs = pairs.join(sources, [f"s{a}" for a in range(d)]).select(*place, "chunk", "points", "far", "met")
+        sent = self.leaves.select(*place, "points", around.alias("o")).select(
+            *((F.col(i) + F.col("o")[a]).alias(i) for a, i in enumerate(place)), F.col("points").alias("met"))
+
+        def finish(key, frame, sources):
+            out = [_chunk(np.array(key), *row, sources["met"]) for row in zip(frame["points"], frame["far"], strict=True)]
+            return pd.DataFrame(out, columns=["s", "off"])
 
-        def finish(key, frame):
-            p = np.stack(frame["points"].iloc[0])
-            far = frame["far"].iloc[0]
+        def _chunk(at, points, far, met_points):
+            p = np.frombuffer(points).reshape(-1, d + 2)
             total = np.zeros((len(p), len(sizes)))
             if far is not None:
-                total += weights(2 * (p[:, :d] * 2.0 ** level - np.array(key[:d])) - 1, q) @ np.frombuffer(far).reshape(-1, len(sizes))
-            for met in frame["met"]:
-                m = np.stack(met)
+                total += weights(2 * (p[:, :d] * 2.0 ** level - at) - 1, q) @ np.frombuffer(far).reshape(-1, len(sizes))
+            for met in met_points:
+                m = np.frombuffer(met).reshape(-1, d + 2)
                 apart = np.sqrt(((p[:, None, :d] - m[None, :, :d]) ** 2).sum(axis=2)) * side
                 share = np.zeros((len(m), len(sizes)))
                 share[np.arange(len(m)), m[:, d].astype(int)] = m[:, d + 1]
@@ -249,9 +265,10 @@ class _Cells:
             value = np.where(alone, 0.0, (b - a) / np.where(alone, 1.0, top))
             # a mean over all but the point itself weighs each error by up to n / (n - 1)
             off = np.where(alone, 0.0, np.minimum(2.0, 4 * error / np.where(alone, 1.0, top)))
-            return pd.DataFrame([[p[:, d + 1] @ value, p[:, d + 1] @ off]], columns=["s", "off"])
+            return p[:, d + 1] @ value, p[:, d + 1] @ off
 
-        row = pairs.groupBy(*place, "chunk").applyInPandas(finish, "s double, off double").agg(F.sum("s"), F.sum("off")).first()
+        found = own.groupBy(*place).cogroup(sent.groupBy(*place)).applyInPandas(finish, "s double, off double")
+        row = found.agg(F.sum("s"), F.sum("off")).first()
         return float(row[0] / n), float(row[1] / n)
 
 
@@ -263,8 +280,13 @@ def euclidean_silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "
     cells = _Cells(df, columns, cluster, leaf_points)
     if not cells.side:
         return 0.0, 0.0
-    for q in NODES:
+    d, wanted = len(columns), tol / 10
+    while True:
+        q = next((q for q in NODES if worst_error(q, d) <= wanted), NODES[-1])
         value, bound = cells.mean(q)
         if bound <= tol:
             return value, bound
-    raise ValueError(f"the error is only bounded by {bound:.1e}")
+        if q == NODES[-1]:
+            raise ValueError(f"the error is only bounded by {bound:.1e}")
+        # the bound goes with the polynomials' error
+        wanted = min(worst_error(q, d) * tol / bound, worst_error(NODES[NODES.index(q) + 1], d))

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from lapline.models import silhouette
 from lapline.models.silhouette import euclidean_silhouette, worst_error
 
 
@@ -61,3 +62,24 @@ def test_odd_tables(spark):
                 df.selectExpr("x0", "if(x0 > 7, null, x1) as x1", "cluster")):
         with pytest.raises(ValueError):
             euclidean_silhouette(bad, ["x0", "x1"])
+
+
+def test_a_dense_spot_does_not_halve_all_leaves(spark):
+    """Forty points within a millionth of the cube are met one by one, the others' leaves stay as they are."""
+    rng = np.random.default_rng(3)
+    x, c = rng.uniform(size=(900, 2)), rng.integers(0, 3, 900)
+    x[:40] = x[0] + 1e-6 * rng.normal(size=(40, 2))
+    cells = silhouette._Cells(table(spark, x, c), ["x0", "x1"], "cluster", 16)
+    assert cells.level <= 4 and cells.leaves.selectExpr("max(length(points))").first()[0] <= 40 * 32
+    value, bound = cells.mean(12)
+    assert bound <= 1e-6 and abs(value - plain(x, c)) <= bound
+
+
+def test_points_equal_but_for_the_last_digit_are_one(spark):
+    """Every point twenty times, up to rounding: leaves stay as wide as for the points alone."""
+    x, c = blobs(150, 2, 8)
+    x, c = np.repeat(x, 20, axis=0) * (1 + 2.2e-16 * np.tile(np.arange(20) % 2, 150))[:, None], np.repeat(c, 20)
+    cells = silhouette._Cells(table(spark, x, c), ["x0", "x1"], "cluster", 16)
+    assert cells.level <= 5
+    value, bound = cells.mean(12)
+    assert bound <= 1e-6 and abs(value - plain(x, c)) <= bound
