@@ -106,9 +106,13 @@ def raw_telemetry_from_events(events: DataFrame) -> DataFrame:
 
 
 def schedule(spark: SparkSession) -> DataFrame:
-    """Bounded calendar table (12 rows): month -> event name."""
+    """Bounded calendar table (12 rows): month -> event name.
+
+    Spark can't tell the size of a table made from Python rows and would
+    exchange and sort the results by round; hence the hint.
+    """
     rows = [(i + 1, name, False) for i, name in enumerate(EVENT_NAMES)]
-    return spark.createDataFrame(rows, "round_number int, event_name string, is_testing boolean")
+    return F.broadcast(spark.createDataFrame(rows, "round_number int, event_name string, is_testing boolean"))
 
 
 def raw_results_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:

@@ -144,6 +144,25 @@ def test_season_results_leave_testing_events_out(spark):
     assert read_season_results(spark, path, 1995, sched, rounds=[2]).select("round_number").distinct().count() == 1
 
 
+def test_results_meet_the_calendar_in_place(spark, tmp_path):
+    """No month's results go to one task to be sorted."""
+    spark.createDataFrame([(i, i % 3) for i in range(60)], "o_orderkey long, o_custkey long").selectExpr(
+        "*", "'F' as o_orderstatus", "1.5D as o_totalprice",
+        "timestamp_ntz'2024-01-15 00:00:00' + make_ym_interval(0, cast(o_orderkey % 12 as int)) as o_orderdate",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(i, f"c{i}", i) for i in range(3)], "c_custkey long, c_name string, c_nationkey int") \
+        .write.parquet(str(tmp_path / "customer.parquet"))
+    df = I.season_results(spark, str(tmp_path)).groupBy("event_name").count()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # these results are large
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "hashpartitioning(round_number" not in plan
+    assert {r["event_name"]: r["count"] for r in df.collect()} == {name: 5 for name in A.EVENT_NAMES}
+
+
 def test_concat_of_nothing(spark):
     assert concat_frames([], LAPS, spark).columns == [f.name for f in LAPS]
     with pytest.raises(ValueError):
