@@ -41,6 +41,7 @@ from lapline.session import ship_code
 
 MAX_CLASSES = 32
 ROWS_PER_PART = 50_000
+PARTS_PER_CORE = 2
 SLICE = 4096             # rows whose kernel values are held at once
 PASS_SUMS = 4_000_000    # numbers that a pass may sum
 EIGEN_CUT = 1e-10        # of the landmarks' largest eigenvalue
@@ -61,8 +62,10 @@ class Space:
         return np.where(np.isnan(z), 0.0, z)
 
     def kernel(self, z: np.ndarray) -> np.ndarray:
-        far = (z ** 2).sum(axis=1)[:, None] + (self.landmarks ** 2).sum(axis=1) - 2 * z @ self.landmarks.T
-        return np.exp(-self.gamma * np.maximum(far, 0.0))
+        near = z @ (2 * self.gamma * self.landmarks.T)
+        near -= self.gamma * (z ** 2).sum(axis=1)[:, None]
+        near -= self.gamma * (self.landmarks ** 2).sum(axis=1)
+        return np.exp(np.minimum(near, 0.0, out=near), out=near)
 
     def settle(self, landmarks: np.ndarray) -> None:
         self.landmarks = self.scaled(landmarks)
@@ -70,11 +73,19 @@ class Space:
         kept = values > EIGEN_CUT * values[-1]
         self.whiten = axes[:, kept] / np.sqrt(values[kept])
 
-    def map(self, x: np.ndarray) -> np.ndarray:
-        """Rows in the kernel's space, with a last column of ones for the intercept."""
+    def plain(self, x: np.ndarray) -> np.ndarray:
+        """Kernel values of rows (the scaled columns, if linear), with a last column of ones for the intercept."""
         z = self.scaled(x)
-        phi = z if self.whiten is None else self.kernel(z) @ self.whiten
-        return np.column_stack([phi, np.ones(len(x))])
+        return np.column_stack([z if self.whiten is None else self.kernel(z), np.ones(len(x))])
+
+    @property
+    def turn(self) -> np.ndarray:
+        """The matrix that takes plain rows to the kernel's space."""
+        if self.whiten is None:
+            return np.eye(self.width)
+        out = np.zeros((len(self.whiten) + 1, self.width))
+        out[:-1, :-1], out[-1, -1] = self.whiten, 1.0
+        return out
 
     @property
     def width(self) -> int:
@@ -103,17 +114,22 @@ class PairFit:
         p = len(self.w)
         return 3 + p + p * (p + 1) // 2
 
-    def sums(self, phi: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Hinge losses, smoothed losses, dual variables, their weighted rows, curvature."""
-        at = (y == self.first) | (y == self.second)
-        rows, positive = phi[at], y[at] == self.first
-        sign, cost = np.where(positive, 1.0, -1.0), np.where(positive, *self.costs)
-        r = 1 - sign * (rows @ self.w)
+    def sums(self, plain: np.ndarray, turn: np.ndarray, margin: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Hinge losses, smoothed losses, dual variables, their weighted rows, curvature.
+
+        ``margin``: of all ``plain`` rows.  Points and sums are turned, not
+        the rows; only those that bend are mapped one by one.
+        """
+        sign = np.where(y == self.first, 1.0, np.where(y == self.second, -1.0, 0.0))
+        cost = np.where(sign > 0, self.costs[0], np.where(sign < 0, self.costs[1], 0.0))
+        r = 1 - sign * margin
         alpha = cost * np.clip(r / self.h, 0, 1)
         smooth = np.where(r >= self.h, r - self.h / 2, np.maximum(r, 0) ** 2 / (2 * self.h))
-        bent = (r > 0) & (r < self.h)
-        curve = (rows[bent] * (cost[bent] / self.h)[:, None]).T @ rows[bent]
-        return np.concatenate([[cost @ np.maximum(r, 0), cost @ smooth, alpha.sum()], (alpha * sign) @ rows,
+        bent = np.flatnonzero((r > 0) & (r < self.h) & (sign != 0))
+        rows = plain[bent] @ turn
+        rows *= np.sqrt(cost[bent] / self.h)[:, None]
+        curve = rows.T @ rows
+        return np.concatenate([[cost @ np.maximum(r, 0), cost @ smooth, alpha.sum()], ((alpha * sign) @ plain) @ turn,
                                curve[np.triu_indices(len(self.w))]])
 
     def advance(self, row: np.ndarray, tol: float, max_iter: int) -> None:
@@ -168,11 +184,12 @@ class SvmModel:
         own = [f for f in self.fits if f.fold == fold]
         if not own:
             return np.full(len(x), self.present[fold][0])
+        points = self.spaces[fold].turn @ np.column_stack([f.w for f in own])
         for lo in range(0, len(x), SLICE):
-            phi = self.spaces[fold].map(x[lo:lo + SLICE])
-            for f in own:
-                won = np.where(phi @ f.w > 0, f.first, f.second)
-                np.add.at(found, (np.arange(lo, lo + len(phi)), won), 1)
+            margins = self.spaces[fold].plain(x[lo:lo + SLICE]) @ points
+            for f, margin in zip(own, margins.T, strict=True):
+                won = np.where(margin > 0, f.first, f.second)
+                np.add.at(found, (np.arange(lo, lo + len(won)), won), 1)
         return found.argmax(axis=1)
 
     def transform(self, df: DataFrame, fold: str | None = None, name: str = "prediction") -> DataFrame:
@@ -258,10 +275,10 @@ def _fit(data, features, names, classes, label_type, folded, kernel, C, balanced
         for a, b in combinations(present[f], 2):
             ca, cb = float(weights[f][a]), float(weights[f][b])
             fits.append(PairFit(f, a, b, (ca, cb), float(ca * counts[a] + cb * counts[b]), np.zeros(spaces[f].width)))
-    parts = max(1, math.ceil(sum(r["n"] for r in stats) / ROWS_PER_PART))
-    blocks = data.where("y >= 0").drop("h")
-    # few rows need few tasks: each emits all sums
-    blocks = blocks.coalesce(parts)
+    # a task emits all sums, however many rows it has: few rows need few tasks, many no more than keep the cores busy
+    most = PARTS_PER_CORE * data.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(most, math.ceil(sum(r["n"] for r in stats) / ROWS_PER_PART)))
+    blocks = data.where("y >= 0").drop("h").coalesce(parts)
     while live := [f for f in fits if not f.ended]:
         for group in _passes(live):
             _measure(blocks, spaces, group, parts, tol, max_iter)
@@ -312,21 +329,21 @@ def _measure(blocks, spaces, fits, parts, tol, max_iter) -> None:
     starts = np.concatenate([[0], np.cumsum(sizes)])
     # only what a task needs: points and widths, not the steps on trial
     bare = [PairFit(f.fold, f.first, f.second, f.costs, f.total_cost, f.w, f.h) for f in fits]
-    used = {f: spaces[f] for f in {x.fold for x in fits}}
+    used = [(f, spaces[f], [k for k, x in enumerate(bare) if x.fold == f]) for f in sorted({x.fold for x in fits})]
 
     def run(batches):
         total = np.zeros(starts[-1])
         for batch in batches:
             fold, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             x = _matrix(batch.columns[2:], batch.num_rows)
-            for f, space in used.items():
-                at = np.flatnonzero(fold != f)
+            for f, space, own in used:
+                turn, at = space.turn, np.flatnonzero(fold != f)
+                points = turn @ np.column_stack([bare[k].w for k in own])
                 for lo in range(0, len(at), SLICE):
                     rows = at[lo:lo + SLICE]
-                    phi = space.map(x[rows])
-                    for k, fit in enumerate(bare):
-                        if fit.fold == f:
-                            total[starts[k]:starts[k + 1]] += fit.sums(phi, y[rows])
+                    plain = space.plain(x[rows])
+                    for k, margin in zip(own, (plain @ points).T, strict=True):
+                        total[starts[k]:starts[k + 1]] += bare[k].sums(plain, turn, margin, y[rows])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "v"])
 
     found = blocks.mapInArrow(run, "place long, v double")

@@ -105,6 +105,40 @@ def test_several_tasks_sum_to_one(spark, monkeypatch):
         assert abs(f.primal - g.primal) <= 2e-3 * f.primal
 
 
+def test_tasks_of_a_pass_do_not_grow_with_rows(spark, monkeypatch):
+    """Each task emits all sums, so tasks beyond the cores would only add to the exchange."""
+    x, y = laps(200)
+    found = []
+
+    def stop(blocks, spaces, fits, parts, *rest):
+        found.append((parts, blocks.rdd.getNumPartitions()))
+        for f in fits:
+            f.ended = True
+
+    monkeypatch.setattr(kernel_svm, "ROWS_PER_PART", 1)
+    monkeypatch.setattr(kernel_svm, "_measure", stop)
+    kernel_svm.fit_svms(table(spark, x, y).repartition(100), ["a", "b", "c"], n_landmarks=10)
+    assert found and max(found[0]) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_sums_equal_those_of_mapped_rows():
+    x, y = laps(300)
+    space = kernel_svm.Space(x.mean(axis=0), x.std(axis=0), 1 / 3)
+    space.settle(x[:40])
+    phi = np.column_stack([space.plain(x)[:, :-1] @ space.whiten, np.ones(len(x))])
+    fit = kernel_svm.PairFit(0, 0, 2, (1.0, 2.5), 1.0, RNG.normal(size=space.width), 0.5)
+    at = y != 1
+    rows, sign, cost = phi[at], np.where(y[at] == 0, 1.0, -1.0), np.where(y[at] == 0, 1.0, 2.5)
+    r = 1 - sign * (rows @ fit.w)
+    alpha = cost * np.clip(r / 0.5, 0, 1)
+    bent = (r > 0) & (r < 0.5)
+    curve = (rows[bent] * (cost[bent] / 0.5)[:, None]).T @ rows[bent]
+    got = fit.sums(space.plain(x), space.turn, space.plain(x) @ (space.turn @ fit.w), y)
+    p = space.width
+    assert np.allclose(got[[0, 2]], [cost @ np.maximum(r, 0), alpha.sum()])
+    assert np.allclose(got[3:3 + p], (alpha * sign) @ rows) and np.allclose(got[3 + p:], curve[np.triu_indices(p)])
+
+
 def test_odd_rows(spark):
     x, y = laps(60)
     df = table(spark, x, y)
