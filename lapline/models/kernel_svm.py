@@ -7,13 +7,18 @@ wherever the landmarks span the data (exactly, if there are no more distinct
 vectors than landmarks).  ``kernel="linear"`` takes the scaled columns.
 
 In that space each pair of classes solves the soft-margin problem with an
-unpenalised intercept.  The hinge is smoothed over a width that shrinks by
-four; its slopes are the dual variables, so the box limits hold as they are.
-A pass sums, for every pair and fold that hasn't ended, the objective, the
-gradient and the curvature at its point; the driver takes damped Newton
-steps on these small systems.  A fit ends when its duality gap, from the
-same sums, is within ``tol`` of the objective.  Every training set has its
-own scaling, class weights (n / (k n_c)) and kernel width (1 / (d var)).
+unpenalised intercept by an interior-point method, whose passes hardly grow
+with rows or costs.  The first pass is a Newton step on the hinge smoothed over
+a width of 2.  From there a row has a dual variable inside its box and two
+slacks; a pass sums, for every pair and fold that hasn't ended, the terms of
+the Newton step on all optimality conditions, and the driver solves these
+small systems and lowers the barrier.  Each row damps its own part of a step,
+so no pass looks for a common length; a step after which the mean product of
+variables and slacks is ``RISE`` times as large is shortened.  Nothing is
+stored with a row: its variables follow from the points that its pair went
+through.  A fit ends when its duality gap, from the same sums, is within
+``tol`` of the objective.  Every training set has its own scaling, class
+weights (n / (k n_c)) and kernel width (1 / (d var)).
 
 Rows: a null or NaN feature stands at the training mean (0 once scaled), no
 row goes; a row with a null label is scored but trains nothing; a null fold
@@ -45,6 +50,12 @@ PARTS_PER_CORE = 2
 SLICE = 4096             # rows whose kernel values are held at once
 PASS_SUMS = 4_000_000    # numbers that a pass may sum
 EIGEN_CUT = 1e-10        # of the landmarks' largest eigenvalue
+BARRIER = 0.3            # product of a row's variable, as a share of its cost, and slack at the start
+LOWER = 0.25             # a step aims at this share of the mean product, at more after steps that were shortened
+HOLD = 0.6               # share of the allowed gap; the barrier stays once the products are within
+KEEP = 0.1               # share of a row's variable or slack that a step leaves at least
+RISE = 2.0
+LEAST = 1e-100
 WHOLE = -1               # the training set of all rows
 
 
@@ -92,6 +103,45 @@ class Space:
         return 1 + (len(self.mean) if self.whiten is None else self.whiten.shape[1])
 
 
+@dataclass
+class Inside:
+    """Variables of rows: dual ones as shares of the costs, what is left to 1, slacks of the margin and of the loss."""
+    share: np.ndarray
+    left: np.ndarray
+    short: np.ndarray   # loss - r, the slack of ``share``
+    loss: np.ndarray    # the slack of ``left``
+    r: np.ndarray       # 1 - sign * margin
+
+    @classmethod
+    def central(cls, r: np.ndarray, barrier: float) -> Inside:
+        """The variables whose products with their slacks all are ``barrier``."""
+        q = np.sqrt(r ** 2 + 4 * barrier ** 2)
+        short, loss = (2 * barrier - r + q) / 2, (2 * barrier + r + q) / 2
+        short, loss = np.maximum(short, LEAST), np.maximum(loss, LEAST)
+        return cls(np.minimum(barrier / short, 1.0), np.minimum(barrier / loss, 1.0), short, loss, r)
+
+    @property
+    def bend(self) -> np.ndarray:
+        """Growth of a row's share with r."""
+        return 1 / (self.loss / self.left + self.short / self.share)
+
+    @property
+    def pull(self) -> np.ndarray:
+        """1 / share - 1 / left: the barrier's pull towards the middle."""
+        return 1 / self.share - 1 / self.left
+
+    def moved(self, r: np.ndarray, barrier: float, length: float) -> Inside:
+        """After ``length`` of the Newton step that led to ``r``; a row that would leave its limits stops before."""
+        step = self.bend * (r - self.r + length * (self.r + barrier * self.pull))
+        loss = self.loss + length * (barrier / self.left - self.loss) + self.loss / self.left * step
+        short = self.short + length * (barrier / self.share - self.short) - self.short / self.share * step
+        loss, short = np.maximum(loss, KEEP * self.loss), np.maximum(short, KEEP * self.short)
+        lift = r - (loss - short)
+        step = np.clip(step, (KEEP - 1) * self.share, (1 - KEEP) * self.left)
+        return Inside(*(np.maximum(v, LEAST) for v in (np.minimum(self.share + step, 1.0), np.minimum(self.left - step, 1.0),
+                                                       short + np.maximum(-lift, 0), loss + np.maximum(lift, 0))), r)
+
+
 @dataclass
 class PairFit:
     """Class ``first`` (positive) against ``second`` on the rows outside ``fold``."""
@@ -102,7 +152,10 @@ class PairFit:
     total_cost: float
     w: np.ndarray
     h: float = 2.0
-    base: tuple | None = None   # (point, objective, step, slope, length) of a step on trial
+    path: tuple = ()            # (point, barrier, length) of the start and of every step, the last one on trial
+    base: tuple | None = None   # (path, point, mean product, step, barrier, length) of a step on trial
+    best: tuple = (math.inf, None)
+    lower: float = LOWER
     gap: float = math.inf
     primal: float = math.inf
     n_iter: int = 0
@@ -112,16 +165,20 @@ class PairFit:
     @property
     def size(self) -> int:
         p = len(self.w)
-        return 3 + p + p * (p + 1) // 2
+        return 3 + p + p * (p + 1) // 2 + (1 + 2 * p if self.path else 0)
+
+    def signed(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """1 or -1 for each row of the pair, else 0, and costs."""
+        sign = np.where(y == self.first, 1.0, np.where(y == self.second, -1.0, 0.0))
+        return sign, np.where(sign > 0, self.costs[0], np.where(sign < 0, self.costs[1], 0.0))
 
     def sums(self, plain: np.ndarray, turn: np.ndarray, margin: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Hinge losses, smoothed losses, dual variables, their weighted rows, curvature.
+        """Of the smoothed hinge: hinge losses, smoothed losses, dual variables, their weighted rows, curvature.
 
         ``margin``: of all ``plain`` rows.  Points and sums are turned, not
         the rows; only those that bend are mapped one by one.
         """
-        sign = np.where(y == self.first, 1.0, np.where(y == self.second, -1.0, 0.0))
-        cost = np.where(sign > 0, self.costs[0], np.where(sign < 0, self.costs[1], 0.0))
+        sign, cost = self.signed(y)
         r = 1 - sign * margin
         alpha = cost * np.clip(r / self.h, 0, 1)
         smooth = np.where(r >= self.h, r - self.h / 2, np.maximum(r, 0) ** 2 / (2 * self.h))
@@ -132,41 +189,77 @@ class PairFit:
         return np.concatenate([[cost @ np.maximum(r, 0), cost @ smooth, alpha.sum()], ((alpha * sign) @ plain) @ turn,
                                curve[np.triu_indices(len(self.w))]])
 
+    def inside(self, rows: np.ndarray, sign: np.ndarray) -> Inside:
+        """The variables of mapped rows, followed along the path."""
+        margins = rows @ np.column_stack([w for w, _, _ in self.path])
+        (_, barrier, _), *steps = self.path
+        now = Inside.central(1 - sign * margins[:, 0], barrier)
+        for (_, barrier, length), margin in zip(steps, margins.T[1:], strict=True):
+            now = now.moved(1 - sign * margin, barrier, length)
+        return now
+
+    def inner_sums(self, mapped: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Hinge losses, products of dual variables and slacks, dual variables and their weighted rows,
+        products over what a row may lose, the step's two right sides (without and by the barrier), curvature."""
+        sign, cost = self.signed(y)
+        at = np.flatnonzero(sign)
+        rows, sign, cost = mapped[at], sign[at], cost[at]
+        now = self.inside(rows, sign)
+        bend = cost * now.bend
+        right = np.column_stack([cost * now.share, bend * now.r, bend * now.pull]) * sign[:, None]
+        sides = right.T @ rows
+        rows *= np.sqrt(bend)[:, None]
+        curve = rows.T @ rows
+        return np.concatenate([
+            [cost @ np.maximum(now.r, 0), cost @ (now.share * now.short + now.left * now.loss), cost @ now.share],
+            sides[0], curve[np.triu_indices(len(self.w))],
+            [cost @ (np.maximum(now.r, 0) - now.share * now.r)], sides[1], sides[2]])
+
     def advance(self, row: np.ndarray, tol: float, max_iter: int) -> None:
         p = len(self.w)
-        hinge, smooth, duals = row[:3]
-        pull, flat = row[3:3 + p], row[3 + p:]
+        start = 3 + p + p * (p + 1) // 2
+        hinge, products, duals = row[:3]
+        pull, flat = row[3:3 + p], row[3 + p:start]
         half = 0.5 * self.w[:-1] @ self.w[:-1]
-        value = half + smooth
         self.n_iter += 1
-        if self.base is not None:
-            point, before, step, slope, length = self.base
-            if value > before + 1e-4 * length * slope + 1e-12 * abs(before) and length > 1e-6:
-                shorter = -slope * length ** 2 / (2 * (value - before - slope * length))
-                length = float(np.clip(shorter, 0.1 * length, 0.5 * length))
-                self.base, self.w = (point, before, step, slope, length), point + length * step
-                self.ended = self.n_iter >= max_iter
-                return
         self.primal = half + hinge
         # the intercept is free, so the dual variables of both classes must balance
         self.gap = self.primal - (duals - 0.5 * pull[:-1] @ pull[:-1]) + abs(pull[-1] * self.w[-1])
         self.converged = bool(self.gap <= tol * self.primal and abs(pull[-1]) <= tol * max(duals, 1e-300))
+        if self.primal < self.best[0]:
+            self.best = self.primal, self.w
         self.ended = self.converged or self.n_iter >= max_iter
         if self.ended:
+            if not self.converged:
+                self.primal, self.w = self.best
             return
+        mean = products / (2 * self.total_cost)
+        if self.base is not None:
+            path, point, before, step, barrier, length = self.base
+            if mean > RISE * before and length > 1e-3:
+                self.lower = min(0.9, 2 * self.lower)
+                self._go(path, point, before, step, barrier, 0.25 * length)
+                return
         hessian = np.zeros((p, p))
         a, b = np.triu_indices(p)
         hessian[a, b] = hessian[b, a] = flat
         bend = hessian[-1, -1]
         hessian[np.diag_indices(p - 1)] += 1.0
         hessian[-1, -1] += 1e-9 * bend if bend > 0 else self.total_cost
-        gradient = np.append(self.w[:-1], 0.0) - pull
-        step = -np.linalg.solve(hessian, gradient)
-        slope = float(gradient @ step)
-        if -slope <= 0.1 * tol * self.primal and abs(pull[-1]) <= 0.1 * tol * max(duals, 1e-300):
-            self.w, self.h, self.base = self.w + step, self.h / 4, None
-        else:
-            self.base, self.w = (self.w, value, step, slope, 1.0), self.w + step
+        downhill = pull - np.append(self.w[:-1], 0.0)
+        if not self.path:
+            self.w = self.w + np.linalg.solve(hessian, downhill)
+            self.path = ((self.w, BARRIER, 1.0),)
+            return
+        between, (off, push) = row[start], row[start + 1:].reshape(2, p)
+        barrier = mean * (1.0 if between <= HOLD * tol * self.primal else self.lower)
+        self.lower = max(LOWER, 0.7 * self.lower)
+        self._go(self.path, self.w, mean, np.linalg.solve(hessian, downhill + off + barrier * push), barrier, 1.0)
+
+    def _go(self, path, point, before, step, barrier, length) -> None:
+        self.base = path, point, before, step, barrier, length
+        self.w = point + length * step
+        self.path = (*path, (self.w, barrier, length))
 
 
 @dataclass
@@ -327,23 +420,26 @@ def _landmarks(data, stats, folds, names, m) -> dict[int, np.ndarray]:
 def _measure(blocks, spaces, fits, parts, tol, max_iter) -> None:
     sizes = [f.size for f in fits]
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    # only what a task needs: points and widths, not the steps on trial
-    bare = [PairFit(f.fold, f.first, f.second, f.costs, f.total_cost, f.w, f.h) for f in fits]
+    # only what a task needs: points, widths and paths, not what judges a step
+    bare = [PairFit(f.fold, f.first, f.second, f.costs, f.total_cost, f.w, f.h, f.path) for f in fits]
     used = [(f, spaces[f], [k for k, x in enumerate(bare) if x.fold == f]) for f in sorted({x.fold for x in fits})]
 
     def run(batches):
         total = np.zeros(starts[-1])
+        turns = [space.turn for _, space, _ in used]
         for batch in batches:
             fold, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             x = _matrix(batch.columns[2:], batch.num_rows)
-            for f, space, own in used:
-                turn, at = space.turn, np.flatnonzero(fold != f)
-                points = turn @ np.column_stack([bare[k].w for k in own])
+            for (f, space, own), turn in zip(used, turns, strict=True):
+                at = np.flatnonzero(fold != f)
                 for lo in range(0, len(at), SLICE):
                     rows = at[lo:lo + SLICE]
                     plain = space.plain(x[rows])
-                    for k, margin in zip(own, (plain @ points).T, strict=True):
-                        total[starts[k]:starts[k + 1]] += bare[k].sums(plain, turn, margin, y[rows])
+                    inner = plain @ turn if any(bare[k].path for k in own) else None
+                    for k in own:
+                        g = bare[k]
+                        total[starts[k]:starts[k + 1]] += g.inner_sums(inner, y[rows]) if g.path else \
+                            g.sums(plain, turn, plain @ (turn @ g.w), y[rows])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "v"])
 
     found = blocks.mapInArrow(run, "place long, v double")

@@ -139,6 +139,53 @@ def test_sums_equal_those_of_mapped_rows():
     assert np.allclose(got[3:3 + p], (alpha * sign) @ rows) and np.allclose(got[3 + p:], curve[np.triu_indices(p)])
 
 
+def test_passes_do_not_grow_with_costs(spark):
+    """Costs 360 times as large are those of 360 copies of each lap."""
+    x, y = laps(200)
+    df = table(spark, x, y)
+    model = kernel_svm.fit_svms(df, ["a", "b", "c"], C=360.0)
+    assert all(f.converged for f in model.fits)
+    assert max(f.n_iter for f in model.fits) <= 30
+    _, objectives = plain_votes(x, y, x, C=360.0)
+    for f in model.fits:
+        assert abs(f.primal - objectives[f.first, f.second]) <= 2e-3 * f.primal
+
+
+def pair_fit(rows, sign, costs, max_iter=300):
+    y = np.where(sign > 0, 0, 1)
+    fit = kernel_svm.PairFit(0, 0, 1, costs, float(np.where(sign > 0, *costs).sum()), np.zeros(rows.shape[1]))
+    while not fit.ended:
+        sums = fit.inner_sums(rows, y) if fit.path else fit.sums(rows, np.eye(rows.shape[1]), rows @ fit.w, y)
+        fit.advance(sums, 1e-3, max_iter)
+    return fit
+
+
+@pytest.mark.parametrize("n,p,costs,most", [(20_000, 40, (1.0, 1.0), 20), (20_000, 40, (400.0, 400.0), 20), (2000, 30, (1e6, 500.0), 120)])
+def test_fits_end_on_noise_and_on_one_row_against_all(n, p, costs, most):
+    rng = np.random.default_rng(5)
+    rows = np.column_stack([rng.normal(size=(n, p)), np.ones(n)])
+    sign = rng.choice([-1.0, 1.0], n) if costs[0] == costs[1] else np.where(np.arange(n) == 0, 1.0, -1.0)
+    fit = pair_fit(rows, sign, costs)
+    assert fit.converged and fit.n_iter <= most
+    # the gap by all rows: dual variables inside their box, balanced, near the primal value
+    now, cost = fit.inside(rows, sign), np.where(sign > 0, *costs)
+    assert now.share.min() >= 0 and now.share.max() <= 1
+    pull = (cost * now.share * sign) @ rows
+    primal = 0.5 * fit.w[:-1] @ fit.w[:-1] + cost @ np.maximum(1 - sign * (rows @ fit.w), 0)
+    assert primal - (cost @ now.share - 0.5 * pull[:-1] @ pull[:-1]) <= 1.01e-3 * primal
+    assert abs(pull[-1]) <= 1e-3 * (cost @ now.share)
+
+
+def test_a_step_leaves_no_row_outside():
+    now = kernel_svm.Inside.central(RNG.normal(size=1000) * 50, 0.3)
+    for length in (1.0, 0.25, 1.0):
+        now = now.moved(now.r + RNG.normal(size=1000) * 100, 0.01, length)
+        for v in (now.share, now.left, now.short, now.loss):
+            assert np.isfinite(v).all() and (v > 0).all()
+        assert now.share.max() <= 1 and np.allclose(now.share + now.left, 1)
+        assert np.allclose(now.loss - now.short, now.r)
+
+
 def test_odd_rows(spark):
     x, y = laps(60)
     df = table(spark, x, y)
